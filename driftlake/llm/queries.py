@@ -9,6 +9,18 @@ from pyspark.sql import DataFrame, SparkSession
 from driftlake.llm.common import table
 
 
+def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from driftlake.llm.simhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from driftlake.llm.bpe import digests, encode
+
+    return digests(encode(table(spark, sf_dir, "documents")))
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from driftlake.llm.pack import pack
 
