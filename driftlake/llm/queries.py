@@ -15,12 +15,25 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op2_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from driftlake.llm.shard import shard
+
+    return shard(table(spark, sf_dir, "documents"))
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from driftlake.llm.bpe import digests, encode
 
     return digests(encode(table(spark, sf_dir, "documents")))
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from driftlake.llm.quality import score, train
+
+    docs = table(spark, sf_dir, "documents")
+    return score(docs, train(docs, table(spark, sf_dir, "labels")))
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from driftlake.llm.pack import pack
 
