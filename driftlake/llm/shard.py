@@ -11,6 +11,7 @@ checks reach are cut finer by one aggregation, until the capacity and its cuts a
 from __future__ import annotations
 
 from bisect import bisect_right
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -65,33 +66,45 @@ def search(ends: Ends, total: int, shards: int) -> tuple[int, int]:
     return least(False) - 1, least(True)
 
 
-def minimax_cuts(sums: DataFrame, total: int, shards: int) -> list[int]:
-    """The ends of the shards under the smallest feasible capacity. ``sums``: one ``end`` for each group."""
+def minimax_cuts(fetch: Callable[[list[tuple[int, int, int]]], list[tuple[int, int]]], total: int, shards: int) -> list[int]:
+    """The ends of the shards under the smallest feasible capacity.
 
-    def spans(rows: DataFrame, low: int, width: int) -> list[tuple[int, int]]:
-        block = F.floor((F.col("end") - F.lit(low)) / F.lit(width))
-        got = rows.groupBy(block.alias("b")).agg(F.min("end").alias("a"), F.max("end").alias("z")).collect()  # SPANS rows
-        return [(r["a"], r["z"]) for r in got]
-
-    ends = Ends(spans(sums, 0, -(-total // SPANS)))
+    ``fetch`` gives, for windows ``(first, last, width)``, the first and last group end in each block
+    of that width.
+    """
+    ends = Ends(fetch([(0, total, -(-total // SPANS))]))
     while True:
         small, enough = search(ends, total, shards)
-        reached = [(ends.cuts(small + 1, shards, True)[k], ends.cuts(enough, shards, False)[k]) for k in range(shards)]
-        wide = [s for s in ends.spans if s[0] < s[1] and any(a <= s[1] and s[0] <= b for a, b in reached)]
-        if enough - small == 1 and ends.cuts(enough, shards, True) == ends.cuts(enough, shards, False):
-            return ends.cuts(enough, shards, True)
-        within = [(min(s[0] for s in near), max(s[1] for s in near)) for a, b in reached if (near := [s for s in wide if a <= s[1] and s[0] <= b])]
+        lows, highs = ends.cuts(small + 1, shards, True), ends.cuts(enough, shards, False)
+        if enough - small == 1 and lows == highs:
+            return lows
         merged: list[list[int]] = []
-        for a, b in sorted(set(within)):
-            if merged and a <= merged[-1][1]:
-                merged[-1][1] = max(b, merged[-1][1])
-            else:
-                merged.append([a, b])
-        width = max(1, -(-sum(b - a + 1 for a, b in merged) * 2 // SPANS))
-        found = [s for s in ends.spans if not any(a <= s[0] and s[1] <= b for a, b in merged)]
-        for a, b in merged:
-            found += spans(sums.where(F.col("end").between(a, b)), a, max(1, min(width, (b - a + 1) // 2)))
-        ends.put(found)
+        widest = 1
+        for x, y in sorted(zip(lows, highs, strict=True)):
+            near = [s for s in ends.spans if s[0] < s[1] and x <= s[1] and s[0] <= y]
+            widest = max([widest, *(b - a + 1 for a, b in near)])
+            if near and merged and near[0][0] <= merged[-1][1]:
+                merged[-1][1] = max(merged[-1][1], near[-1][1])
+            elif near:
+                merged.append([near[0][0], near[-1][1]])
+        width = -(-2 * sum(b - a + 1 for a, b in merged) // SPANS)
+        width = max(1, min(width, widest // 2))  # never coarser than before
+        windows = [(a, b, width) for a, b in merged]
+        kept = [s for s in ends.spans if not any(a <= s[0] and s[1] <= b for a, b, _ in windows)]
+        ends.put(kept + fetch(windows))
+
+
+def spans_of(sums: DataFrame) -> Callable[[list[tuple[int, int, int]]], list[tuple[int, int]]]:
+    """``fetch`` of :func:`minimax_cuts` over a table with one ``end`` for each group: one job, a bounded result."""
+
+    def fetch(windows: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+        block = F.coalesce(
+            *[F.when(F.col("end").between(a, b), F.struct(F.lit(i).alias("w"), F.expr(f"(end - {a}L) div {w}L").alias("b"))) for i, (a, b, w) in enumerate(windows)]
+        )
+        rows = sums.groupBy(block.alias("block")).agg(F.min("end").alias("a"), F.max("end").alias("z"))
+        return [(r["a"], r["z"]) for r in rows.where("block IS NOT NULL").collect()]
+
+    return fetch
 
 
 def shard(docs: DataFrame, shards: int = 8) -> DataFrame:
@@ -117,7 +130,7 @@ def shard(docs: DataFrame, shards: int = 8) -> DataFrame:
     within = Window.partitionBy("_part").orderBy("first", "_text").rowsBetween(Window.unboundedPreceding, 0)
     sums = durable(parted.join(F.broadcast(before), "_part").select("_text", (F.sum("bytes").over(within) + F.col("_before")).alias("end")))
     total = sums.agg(F.max("end")).first()[0] or 0
-    cuts = minimax_cuts(sums, total, shards) if total else []
+    cuts = minimax_cuts(spans_of(sums), total, shards) if total else []
     number = sum([(F.col("end") > c).cast("int") for c in cuts[:-1]], F.lit(0))
     placed = rows.join(sums.select("_text", number.alias("shard")), "_text").drop("_text")
     # slots in the same way: counted in parts of a range order, then offset
