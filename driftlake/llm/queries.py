@@ -40,6 +40,12 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from driftlake.llm.substring import remove_repeats
+
+    return remove_repeats(table(spark, sf_dir, "documents"), keep_text=False).withColumnRenamed("kept", "kept_sha256")
+
+
 def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from driftlake.llm.embed import near_duplicates
 
@@ -47,8 +53,25 @@ def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {k: f for k, f in globals().items() if k.startswith("op")}
+    return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
+
+
+#: Every window as text, the least document of each, and the words that no repeated window covers.
+OP8_SQL = r"""
+WITH docs AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+windows AS (
+  SELECT doc_id, s, array_to_string(words[s:s + 12], ' ') AS w FROM docs, unnest(range(1, len(words) - 11)) AS t(s)),
+repeated AS (SELECT doc_id, s FROM (SELECT *, min(doc_id) OVER (PARTITION BY w) AS first FROM windows) WHERE first < doc_id),
+gone AS (SELECT DISTINCT doc_id, s + k AS i FROM repeated, unnest(range(13)) AS t(k)),
+placed AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM docs),
+kept AS (
+  SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS rest
+  FROM placed LEFT JOIN gone USING (doc_id, i) WHERE gone.i IS NULL GROUP BY doc_id)
+SELECT doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n, 0))::BIGINT AS n_removed,
+  sha256(coalesce(rest, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (doc_id)
+"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op8_substring_dedup": OP8_SQL}
