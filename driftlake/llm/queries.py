@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from driftlake.llm.common import table
 
@@ -34,6 +35,14 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(docs, train(docs, table(spark, sf_dir, "labels")))
 
 
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from driftlake.llm.pii import KINDS, find, train
+
+    docs = table(spark, sf_dir, "documents")
+    found = find(docs, train(docs))
+    return found.select("doc_id", *(f"n_{k}" for k in KINDS), F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from driftlake.llm.pack import pack
 
