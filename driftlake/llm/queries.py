@@ -28,6 +28,12 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(encode(table(spark, sf_dir, "documents")))
 
 
+def op4_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from driftlake.llm.materialise import materialise, scratch
+
+    return materialise(table(spark, sf_dir, "documents"), scratch(spark))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from driftlake.llm.quality import score, train
 
