@@ -1,20 +1,73 @@
-"""The corpus pipeline: quality rules, line dedup, near-dedup, personal data, packing."""
+"""The corpus pipeline: quality rules, line dedup, near-dedup, personal data, packing.
+
+Each stage takes all that the one before kept and writes its result out. All but the last return the
+columns of ``documents``; where a stage changes a text, ``n_chars`` follows it.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from driftlake.llm import linededup, pack, pii, quality, simhash
+from driftlake.llm.common import shared_dir, table
 
 #: DuckDB cannot express the trained stages; tests hold the pipeline against brute force.
 ORACLE_SQL = None
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
-STAGES: list[tuple[str, Stage]] = []
+_NO_KEY = -(1 << 63)
+
+
+def _count_chars(docs: DataFrame) -> DataFrame:
+    return docs.withColumn("n_chars", F.length("text").cast("long"))
+
+
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the rules and the classifier trained on the labelled ones."""
+    return quality.keep_good(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
+def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines that an earlier line is similar to."""
+    return _count_chars(linededup.remove_lines(docs).select(*docs.columns))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies, the one of least ``doc_id``; rows without one stay."""
+    groups = simhash.near_duplicates(docs)
+    kept = groups.where("doc_id = component_id").select(F.col("doc_id").alias("_key")).distinct()
+    kept = kept.union(spark.range(1).select(F.lit(_NO_KEY).alias("_key")))
+    keyed = docs.withColumn("_key", F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_KEY)))
+    return keyed.join(kept, "_key", "left_semi").select(*docs.columns)
+
+
+def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with personal data replaced by its kind."""
+    return _count_chars(pii.mask(docs, pii.train(docs)))
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document's pieces and their places in sequences."""
+    return pack.pack(docs)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality", keep_quality),
+    ("line dedup", drop_lines),
+    ("near dedup", drop_near_copies),
+    ("personal data", mask_personal_data),
+    ("packing", pack_sequences),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    """The stages one after the other over ``documents``, each written to the shared folder and read again."""
+    docs, at = table(spark, sf_dir, "documents"), f"{shared_dir(spark)}/pipeline-{uuid4().hex}"
+    for i, (_, stage) in enumerate(STAGES):
+        stage(spark, docs, sf_dir).write.parquet(f"{at}/{i}")
+        docs = spark.read.parquet(f"{at}/{i}")
     return docs
