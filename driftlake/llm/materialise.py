@@ -184,7 +184,7 @@ def slot_of(total: int, key: int):
     return apply
 
 
-def materialise(docs: DataFrame, path: str, length: int = 2048, rows: int = 8192, key: int = 20, vocabulary: str | None = None) -> DataFrame:
+def materialise(docs: DataFrame, path: str, length: int = 2048, rows: int = 2048, key: int = 20, vocabulary: str | None = None) -> DataFrame:
     """Write the shards under ``path`` and return the manifest: a row for each document's piece in a sequence.
 
     ``path/tokens`` keeps the numbered sequences, ``path/shards/shard=N`` one file of records each. The
@@ -211,7 +211,7 @@ def materialise(docs: DataFrame, path: str, length: int = 2048, rows: int = 8192
     return placed.select("sequence", "slot", "shard", "place", F.explode("pieces").alias("p")).select("p.*", "sequence", "slot", "shard", "place")
 
 
-def read_slots(spark: SparkSession, path: str, first: int, count: int, length: int = 2048, rows: int = 8192) -> DataFrame:
+def read_slots(spark: SparkSession, path: str, first: int, count: int, length: int = 2048, rows: int = 2048) -> DataFrame:
     """``slot, length`` and the raw ``ids`` of a run of slots: how a stopped reader goes on."""
     size = stride(length)
     wanted = list(range(first // rows, (first + count - 1) // rows + 1))

@@ -91,7 +91,16 @@ class WordBPE:
         return b"".join(map(self.cache.__getitem__, words))
 
     def many(self, texts: list[str | None]) -> list[bytes]:
-        """The ids of each text; a null text has none."""
+        """The ids of each text; a null text has none. Texts go in blocks, so their words fit in little memory."""
+        out, start, held = [], 0, 0
+        for i, text in enumerate(texts):
+            held += len(text or "")
+            if held >= 2_000_000:
+                out += self._block(texts[start : i + 1])
+                start, held = i + 1, 0
+        return out + self._block(texts[start:])
+
+    def _block(self, texts: list[str | None]) -> list[bytes]:
         out: list[bytes | None] = [None] * len(texts)
         get, waiting, new = self.cache.get, {}, set()
         for i, text in enumerate(texts):
