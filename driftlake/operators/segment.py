@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from driftlake.config import SECOND
-from driftlake.functions.ordered import WEEK_S, previous, running_total
+from driftlake.functions.ordered import WEEK_S, bucket_of, previous
 
 
 def cutoff(df: DataFrame, at: str, since) -> DataFrame:
@@ -24,9 +24,17 @@ def segments(df: DataFrame, by: list[str], at: str, order: list[str], max_gap: i
 
     A run ends before a step of more than ``max_gap``. ``at`` and ``max_gap`` are integers of one unit.
     """
-    stepped = previous(df, by, at, order, "_prev", width)
-    starts = F.when(F.col("_prev").isNull() | (F.col(at) - F.col("_prev") > max_gap), 1).otherwise(0)
-    runs = running_total(stepped, by, at, order, {"_run": starts}, width).drop("_prev")
+    # one exchange by series and time bucket serves the rows and the buckets' summary
+    within = Window.partitionBy(*by, "_b").orderBy(at, *order)
+    step = F.col(at) - F.lag(at).over(within)
+    marked = df.withColumn("_b", bucket_of(at, width)).withColumn("_gap", F.coalesce(step > max_gap, F.lit(False)).cast("int"))
+    buckets = marked.groupBy(*by, "_b").agg(F.min(at).alias("_lo"), F.max(at).alias("_hi"), F.sum("_gap").alias("_gaps"))
+    across = Window.partitionBy(*by).orderBy("_b")
+    edge = F.col("_lo") - F.lag("_hi").over(across)
+    buckets = buckets.withColumn("_edge", F.coalesce(edge > max_gap, F.lit(True)).cast("int"))
+    buckets = buckets.select(*by, "_b", (F.sum(F.col("_edge") + F.col("_gaps")).over(across) - F.col("_gaps")).alias("_base"))
+    running = F.sum("_gap").over(within.rowsBetween(Window.unboundedPreceding, 0))
+    runs = marked.withColumn("_in", running).join(buckets, [*by, "_b"]).select(*df.columns, (F.col("_base") + F.col("_in")).alias("_run"))
     sizes = runs.groupBy(*by, "_run").agg(F.count("*").alias("_n")).where(F.col("_n") >= min_size)
     dense = sizes.select(*by, "_run", (F.row_number().over(Window.partitionBy(*by).orderBy("_run")) - 1).cast("int").alias("segment_id"))
     return runs.join(dense, [*by, "_run"]).select(*df.columns, "segment_id")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from driftlake.config import SECOND, Settings
 from driftlake.functions import stats
 from driftlake.operators import align, matching, rebuild, segment
+from driftlake.session import settled
 from driftlake.sinks import writers
 
 BY = ["device_id"]
@@ -32,9 +33,10 @@ def correct(rows: DataFrame, anchors: DataFrame, settings: Settings = Settings()
     good = rows.where("reject_reason IS NULL") if "reject_reason" in rows.columns else rows
     since = F.lit(settings.cutoff).cast("timestamp")
     kept = good.where(F.col("rtc_time") >= since).withColumn("rtc", F.unix_micros("rtc_time")).withColumn("position", F.col("concat_position"))
-    cut = segment.segments(kept, BY, "rtc", ORDER, settings.max_gap_s * SECOND, settings.min_segment_size)
-    aligned = align.borrow_positions(align.align(cut, anchors, BY, strategy, settings), BY, settings)
-    aligned = align.correct_groups(align.propagate_back(aligned, BY, settings), [*BY, "concat_group_id"], ["position", "file_path"])
+    cut = settled(segment.segments(kept, BY, "rtc", ORDER, settings.max_gap_s * SECOND, settings.min_segment_size))
+    aligned = settled(align.align(cut, anchors, BY, strategy, settings))
+    aligned = align.propagate_back(align.borrow_positions(aligned, BY, settings), BY, settings)
+    aligned = settled(align.correct_groups(aligned, [*BY, "concat_group_id"], ["position", "file_path"]))
     unique = rebuild.keep_first(aligned, [*BY, "concat_group_id", "rtc", "data_values"], ["aligned", "rtc", *ORDER])
     laid = rebuild.spread(unique, BY, "aligned", "rtc", ORDER, interval_s, settings)
     laid = rebuild.local_hours(laid, "spread", settings.local_zone)

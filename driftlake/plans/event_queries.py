@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from driftlake.config import SECOND, Settings
 from driftlake.functions import stats
 from driftlake.operators import align, matching, rebuild, segment
+from driftlake.session import settled
 from driftlake.sinks import writers
 from driftlake.sources import anchors as anchor_source
 from driftlake.sources import sd_text, tables
@@ -78,11 +79,30 @@ def rows_of(ev: DataFrame) -> DataFrame:
 
 
 def segments_of(ev: DataFrame) -> DataFrame:
-    return segment.segments(rows_of(ev), BY, "rtc", ["event_id"], GAP, 2, WIDE)
+    return settled(segment.segments(rows_of(ev), BY, "rtc", ["event_id"], GAP, 2, WIDE))
+
+
+#: Added before rounding: engines break decimal ties differently, and no true digit is this small.
+NUDGE = 1.3e-9
 
 
 def rounded(df: DataFrame) -> DataFrame:
-    return df.select(*[F.round(c, 6).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
+    return df.select(*[(F.round(F.col(c) + NUDGE, 6) + 0.0).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
+
+
+def _rounded_sql(sql: str) -> str:
+    """``round(x, 4)`` of the oracles as what :func:`rounded` does."""
+    out, at = [], 0
+    while (start := sql.find("round(", at)) >= 0:
+        depth, end = 1, start + 6
+        while depth:
+            depth += {"(": 1, ")": -1}.get(sql[end], 0)
+            end += 1
+        inner = _rounded_sql(sql[start + 6 : end - 1])
+        whole = f"(round(({inner[:-3]}) + {NUDGE}::DOUBLE, 6) + 0.0::DOUBLE)" if inner.endswith(", 4") else f"round({inner})"
+        out += [sql[at:start], whole]
+        at = end
+    return "".join(out) + sql[at:]
 
 
 def query(sql: str | None = None, cte: str = CTE):
@@ -91,7 +111,7 @@ def query(sql: str | None = None, cte: str = CTE):
     def put(f: Callable[[DataFrame], DataFrame]):
         QUERIES[f.__name__] = lambda spark, sf_dir: rounded(f(events(spark, sf_dir)))
         if sql:
-            ORACLES[f.__name__] = f"WITH {cte} {sql}"
+            ORACLES[f.__name__] = _rounded_sql(f"WITH {cte} {sql}")
         return f
 
     return put
@@ -100,7 +120,7 @@ def query(sql: str | None = None, cte: str = CTE):
 # interpolation and matching
 
 
-@query("SELECT event_id, user_id, CAST(round((unix_time + interp_drift) * 1e6) AS BIGINT) AS interp_time, round(interp_drift, 6) AS interp_drift, interp_confidence FROM interp", CTE + INTERP.format(rows="rows"))
+@query("SELECT event_id, user_id, CAST(round((unix_time + interp_drift) * 1e6) AS BIGINT) AS interp_time, round(interp_drift, 4) AS interp_drift, interp_confidence FROM interp", CTE + INTERP.format(rows="rows"))
 def interp_drift(ev):
     out = align.interpolate(rows_of(ev), anchors_of(ev), BY)
     return out.select("event_id", "user_id", "interp_time", "interp_drift", "interp_confidence")
@@ -133,7 +153,7 @@ def closest_anchor_quality(ev):
     return out.select("event_id", "user_id", "matched_unix", "match_received", "match_delta", "match_quality")
 
 
-@query("SELECT r.event_id, count(a.unix) AS n, round(avg(a.received - a.unix * 1000000), 6) AS mean_drift_us FROM rows r LEFT JOIN anchors a ON a.user_id = r.user_id AND a.unix BETWEEN r.unix_time - 604800 AND r.unix_time + 604800 GROUP BY ALL")
+@query("SELECT r.event_id, count(a.unix) AS n, round(avg(a.received - a.unix * 1000000), 4) AS mean_drift_us FROM rows r LEFT JOIN anchors a ON a.user_id = r.user_id AND a.unix BETWEEN r.unix_time - 604800 AND r.unix_time + 604800 GROUP BY ALL")
 def neighbour_avg_drift(ev):
     week = 604_800
     out = matching.range_totals(rows_of(ev), matching.with_sums(anchors_of(ev), BY), BY, F.col("unix_time") - week, F.col("unix_time") + week, "n", "s")
@@ -154,12 +174,12 @@ def segment_gaps(ev):
     return segments_of(ev).select("event_id", "user_id", "segment_id")
 
 
-@query("SELECT user_id, segment_id, count(*) AS size, min(rtc) AS start_time, max(rtc) AS end_time, round((max(rtc) - min(rtc)) / 60000000.0::DOUBLE, 6) AS duration_minutes, count(DISTINCT rtc // 86400000000) AS num_files FROM seg GROUP BY ALL", SEG)
+@query("SELECT user_id, segment_id, count(*) AS size, min(rtc) AS start_time, max(rtc) AS end_time, round((max(rtc) - min(rtc)) / 60000000.0::DOUBLE, 4) AS duration_minutes, count(DISTINCT rtc // 86400000000) AS num_files FROM seg GROUP BY ALL", SEG)
 def segment_summary(ev):
     return segment.segment_summary(segments_of(ev).withColumn("day", F.expr(f"rtc div {DAY_US}")), BY, "rtc", "day")
 
 
-@query("SELECT user_id, segment_id, count(*) AS rows, round(100.0::DOUBLE * count(*) / sum(count(*)) OVER (PARTITION BY user_id), 6) AS pct FROM seg GROUP BY ALL", SEG)
+@query("SELECT user_id, segment_id, n AS rows, round(100.0::DOUBLE * n / sum(n) OVER (PARTITION BY user_id), 4) AS pct FROM (SELECT user_id, segment_id, count(*) AS n FROM seg GROUP BY ALL)", SEG)
 def segment_counts(ev):
     return segment.distinct_segments(segments_of(ev), BY)
 
@@ -190,7 +210,7 @@ aligned AS (SELECT event_id, user_id, segment_id, position, rtc,
     ELSE interp_confidence END::DOUBLE AS confidence,
   CASE how WHEN 'interpolate' THEN 'interpolated_drift' ELSE how END AS method, CASE WHEN how = 'anchor' THEN dd0 END AS reference_delta_seconds, CASE WHEN how = 'linear_drift' THEN rate END AS drift_rate FROM used)
 """
-SHOWN = "SELECT event_id, user_id, segment_id, position, aligned, confidence, method, reference_delta_seconds, round(drift_rate, 6) AS drift_rate, round((aligned - rtc) / 1e6, 6) AS drift_seconds FROM {t}"
+SHOWN = "SELECT event_id, user_id, segment_id, position, aligned, confidence, method, reference_delta_seconds, round(drift_rate, 4) AS drift_rate, round((aligned - rtc) / 1e6, 4) AS drift_seconds FROM {t}"
 ADAPTIVE = FACTS.format(want="choice")
 BORROWED = ADAPTIVE + """,
 pf AS (SELECT user_id, segment_id, position, max(confidence) AS best, median(aligned - rtc) AS drift FROM aligned GROUP BY ALL),
@@ -205,11 +225,11 @@ back AS (SELECT b.* REPLACE (CASE WHEN rtc < r[1] AND confidence < 0.6 THEN rtc
 
 
 def aligned_of(ev, strategy="adaptive"):
-    return align.align(segments_of(ev).drop("unix_time"), anchors_of(ev), BY, strategy)
+    return settled(align.align(segments_of(ev).drop("unix_time"), anchors_of(ev), BY, strategy))
 
 
 def borrowed_of(ev):
-    return align.borrow_positions(aligned_of(ev), BY)
+    return settled(align.borrow_positions(aligned_of(ev), BY))
 
 
 def shown(df):
@@ -253,7 +273,7 @@ def group_correction(ev):
     return align.correct_groups(grouped, ["line"], ["event_id"]).select("event_id", "aligned")
 
 
-@query("SELECT user_id, segment_id, lo AS start, hi AS \"end\", round(CASE WHEN hi <> lo THEN (b.match_received - a.match_received - (hi - lo) * 1000000) / ((hi - lo) * 1e6) END, 6) AS drift_rate FROM sg JOIN da a USING (id) JOIN db b USING (id)",
+@query("SELECT sg.user_id, segment_id, lo AS start, hi AS \"end\", round(CASE WHEN hi <> lo THEN (b.match_received - a.match_received - (hi - lo) * 1000000) / ((hi - lo) * 1e6) END, 4) AS drift_rate FROM sg JOIN da a USING (id) JOIN db b USING (id)",
        SEG + ", sg AS (SELECT user_id, segment_id, min(unix_time) AS lo, max(unix_time) AS hi, row_number() OVER () AS id FROM seg GROUP BY user_id, segment_id), da AS (" + CLOSEST.format(probes="(SELECT id, user_id, lo AS x FROM sg)") + "), db AS (" + CLOSEST.format(probes="(SELECT id, user_id, hi AS x FROM sg)") + ")")
 def segment_drift_rate(ev):
     spans = segments_of(ev).groupBy("user_id", "segment_id").agg(F.min("unix_time").alias("start"), F.max("unix_time").alias("end"))
@@ -262,10 +282,10 @@ def segment_drift_rate(ev):
 
 # statistics of the alignment
 
-CONF = "avg(confidence), 6) AS mean_confidence"
+CONF = "avg(confidence), 4) AS mean_confidence"
 
 
-@query("SELECT segment_id, count(*) AS num_samples, round(avg(d), 6) AS mean_drift_seconds, round(median(d), 6) AS median_drift_seconds, round(stddev_samp(d), 6) AS std_drift_seconds, round(min(d), 6) AS min_drift_seconds, round(max(d), 6) AS max_drift_seconds, round(avg(confidence), 6) AS mean_confidence, round(100.0::DOUBLE * count(*) FILTER (WHERE confidence >= 0.9) / count(*), 6) AS pct_high_confidence, round(100.0::DOUBLE * count(*) FILTER (WHERE confidence < 0.6) / count(*), 6) AS pct_low_confidence, count(DISTINCT method) AS methods FROM (SELECT *, (aligned - rtc) / 1e6 AS d FROM borrowed) GROUP BY ALL", BORROWED)
+@query("SELECT segment_id, count(*) AS num_samples, round(avg(d), 4) AS mean_drift_seconds, round(median(d), 4) AS median_drift_seconds, round(stddev_samp(d), 4) AS std_drift_seconds, round(min(d), 4) AS min_drift_seconds, round(max(d), 4) AS max_drift_seconds, round(avg(confidence), 4) AS mean_confidence, round(100.0::DOUBLE * count(*) FILTER (WHERE confidence >= 0.9) / count(*), 4) AS pct_high_confidence, round(100.0::DOUBLE * count(*) FILTER (WHERE confidence < 0.6) / count(*), 4) AS pct_low_confidence, count(DISTINCT method) AS methods FROM (SELECT *, (aligned - rtc) / 1e6 AS d FROM borrowed) GROUP BY ALL", BORROWED)
 def alignment_stats(ev):
     return stats.alignment_stats(borrowed_of(ev), ["segment_id"]).withColumn("methods", F.size("alignment_methods").cast("long")).drop("alignment_methods")
 
@@ -275,24 +295,24 @@ def method_comparison(ev):
     return stats.method_comparison(borrowed_of(ev))
 
 
-PCT = "round(100.0::DOUBLE * count(*) FILTER (WHERE confidence >= 0.9) / count(*), 6) AS pct_high, round(100.0::DOUBLE * count(*) FILTER (WHERE confidence >= 0.6 AND confidence < 0.9) / count(*), 6) AS pct_medium, round(100.0::DOUBLE * count(*) FILTER (WHERE confidence < 0.6) / count(*), 6) AS pct_low"
+PCT = "round(100.0::DOUBLE * count(*) FILTER (WHERE confidence >= 0.9) / count(*), 4) AS pct_high, round(100.0::DOUBLE * count(*) FILTER (WHERE confidence >= 0.6 AND confidence < 0.9) / count(*), 4) AS pct_medium, round(100.0::DOUBLE * count(*) FILTER (WHERE confidence < 0.6) / count(*), 4) AS pct_low"
 
 
-@query(f"SELECT user_id, round(avg(confidence), 6) AS mean_confidence, round(median(confidence), 6) AS median_confidence, {PCT} FROM borrowed GROUP BY ALL", BORROWED)
+@query(f"SELECT user_id, round(avg(confidence), 4) AS mean_confidence, round(median(confidence), 4) AS median_confidence, {PCT} FROM borrowed GROUP BY ALL", BORROWED)
 def confidence_bands(ev):
     return stats.confidence_distribution(borrowed_of(ev), BY)
 
 
 def _five(x, name):
-    return f"round(avg({x}), 6) AS mean_{name}, round(median({x}), 6) AS median_{name}, round(stddev_samp({x}), 6) AS std_{name}, round(min({x}), 6) AS min_{name}, round(max({x}), 6) AS max_{name}"
+    return f"round(avg({x}), 4) AS mean_{name}, round(median({x}), 4) AS median_{name}, round(stddev_samp({x}), 4) AS std_{name}, round(min({x}), 4) AS min_{name}, round(max({x}), 4) AS max_{name}"
 
 
-@query(f"SELECT {_five('d', 'drift')}, round(max(d) - min(d), 6) AS range_drift FROM (SELECT (aligned - rtc) / 1e6 AS d FROM borrowed)", BORROWED)
+@query(f"SELECT {_five('d', 'drift')}, round(max(d) - min(d), 4) AS range_drift FROM (SELECT (aligned - rtc) / 1e6 AS d FROM borrowed)", BORROWED)
 def drift_pattern(ev):
     return borrowed_of(ev).agg(*stats.spread_of(F.col("drift_seconds"), "drift", True))
 
 
-@query(f"SELECT * FROM (SELECT count(*) AS total, min(aligned) AS first_time, max(aligned) AS last_time, {_five('confidence', 'confidence')}, {PCT}, {_five('d', 'drift')}, round((max(d) - min(d)) / 3600, 6) AS drift_range_hours FROM (SELECT *, (aligned - rtc) / 1e6 AS d FROM borrowed)), (SELECT count(*) AS num_segments, round(avg(size), 6) AS mean_segment, round(median(size), 6) AS median_segment FROM (SELECT count(*) AS size FROM borrowed GROUP BY segment_id))", BORROWED)
+@query(f"SELECT * FROM (SELECT count(*) AS total, min(aligned) AS first_time, max(aligned) AS last_time, {_five('confidence', 'confidence')}, {PCT}, {_five('d', 'drift')}, round((max(d) - min(d)) / 3600, 4) AS drift_range_hours FROM (SELECT *, (aligned - rtc) / 1e6 AS d FROM borrowed)), (SELECT count(*) AS num_segments, round(avg(size), 4) AS mean_segment, round(median(size), 4) AS median_segment FROM (SELECT count(*) AS size FROM borrowed GROUP BY segment_id))", BORROWED)
 def quality_report(ev):
     return stats.quality_report(borrowed_of(ev))
 
@@ -303,7 +323,7 @@ near AS (SELECT p.*, CASE WHEN b.aligned IS NULL OR p.received - a.aligned <= b.
   ASOF LEFT JOIN (SELECT user_id, aligned, min(struct_pack(aligned := aligned, rtc := rtc, confidence := confidence, position := position, event_id := event_id)) AS s FROM borrowed GROUP BY ALL) b ON p.user_id = b.user_id AND p.received < b.aligned),
 err AS (SELECT user_id, unix, received, m.s.aligned AS aligned, m.s.rtc AS rtc, m.s.confidence AS confidence, m.s.position AS position, (m.s.aligned - received) / 1e6 AS e, (m.s.rtc - received) / 1e6 AS r FROM near WHERE abs(received - m.s.aligned) <= 3600000000)
 """
-ERRORS = "count(*) AS n, round(avg(abs(e)), 6) AS mae, round(median(abs(e)), 6) AS median_abs, round(sqrt(avg(e * e)), 6) AS rmse, round(quantile_cont(abs(e), 0.95), 6) AS p95, round(max(abs(e)), 6) AS max_abs, round(avg(abs(r) - abs(e)), 6) AS mean_improvement"
+ERRORS = "count(*) AS n, round(avg(abs(e)), 4) AS mae, round(median(abs(e)), 4) AS median_abs, round(sqrt(avg(e * e)), 4) AS rmse, round(quantile_cont(abs(e), 0.95), 4) AS p95, round(max(abs(e)), 4) AS max_abs, round(avg(abs(r) - abs(e)), 4) AS mean_improvement"
 
 
 def errors_of(ev):
@@ -312,7 +332,7 @@ def errors_of(ev):
     return stats.errors(found.select("user_id", "unix", "received", "match.*"))
 
 
-@query("SELECT user_id, unix, aligned, confidence, round(e, 6) AS error_seconds, round(abs(e), 6) AS abs_error_seconds, round(r, 6) AS rtc_error_seconds, round(abs(r) - abs(e), 6) AS correction_improvement FROM err", ERR)
+@query("SELECT user_id, unix, aligned, confidence, round(e, 4) AS error_seconds, round(abs(e), 4) AS abs_error_seconds, round(r, 4) AS rtc_error_seconds, round(abs(r) - abs(e), 4) AS correction_improvement FROM err", ERR)
 def direct_validation(ev):
     return errors_of(ev).select("user_id", "unix", "aligned", "confidence", "error_seconds", "abs_error_seconds", "rtc_error_seconds", "correction_improvement")
 
@@ -337,7 +357,7 @@ def anchor_counts(ev):
     return borrowed_of(ev).where(F.col("confidence") >= Settings().usable_confidence).groupBy("position").agg(F.count("*").alias("n"))
 
 
-@query("SELECT user_id, segment_id, count(*) AS rows, round(avg(confidence), 6) AS mean_confidence, min(confidence) AS min_confidence FROM borrowed GROUP BY ALL HAVING avg(confidence) < 0.6", BORROWED)
+@query("SELECT user_id, segment_id, count(*) AS rows, round(avg(confidence), 4) AS mean_confidence, min(confidence) AS min_confidence FROM borrowed GROUP BY ALL HAVING avg(confidence) < 0.6", BORROWED)
 def problem_segments(ev):
     return segment.problem_segments(borrowed_of(ev), BY)
 
@@ -381,7 +401,7 @@ def hour_local(ev):
     return rebuild.local_hours(ev, "us", "Europe/Copenhagen").select("event_id", "hour_key", "month_folder")
 
 
-@query("SELECT strftime(l, '%m') AS month_folder, strftime(l, '%y%m%d%H') AS hour_key, count(*) AS lines, min(us) AS start_time, max(us) AS end_time, round(avg(value), 6) AS mean_confidence, max(event_id % 12 + 1)::INTEGER AS width FROM (SELECT *, to_timestamp(us / 1000000) AT TIME ZONE 'Europe/Copenhagen' AS l FROM ev) GROUP BY ALL")
+@query("SELECT strftime(l, '%m') AS month_folder, strftime(l, '%y%m%d%H') AS hour_key, count(*) AS lines, min(us) AS start_time, max(us) AS end_time, round(avg(value), 4) AS mean_confidence, max(event_id % 12 + 1)::INTEGER AS width FROM (SELECT *, to_timestamp(us / 1000000) AT TIME ZONE 'Europe/Copenhagen' AS l FROM ev) GROUP BY ALL")
 def hour_manifest(ev):
     rows = ev.withColumn("confidence", F.col("value")).withColumn("data_values", F.array_repeat(F.lit("x"), F.expr("cast(event_id % 12 + 1 as int)")))
     return rebuild.manifest(rebuild.local_hours(rows, "us", "Europe/Copenhagen"), [], "us")
@@ -433,12 +453,12 @@ def cutoff(ev):
     return segment.cutoff(ev, "us", FROM).select("event_id")
 
 
-@query("SELECT user_id, coalesce(greatest(a0, b0) <= least(a1, b1), false) AS overlaps, round(CASE WHEN greatest(a0, b0) <= least(a1, b1) AND b0 IS NOT NULL THEN (least(a1, b1) - greatest(a0, b0)) / 86400000000.0::DOUBLE ELSE 0 END, 6) AS overlap_days FROM (SELECT user_id, min(rtc) AS a0, max(rtc) AS a1 FROM rows GROUP BY ALL) LEFT JOIN (SELECT user_id, min(received) AS b0, max(received) AS b1 FROM anchors GROUP BY ALL) USING (user_id)")
+@query("SELECT user_id, coalesce(greatest(a0, b0) <= least(a1, b1), false) AS overlaps, round(CASE WHEN greatest(a0, b0) <= least(a1, b1) AND b0 IS NOT NULL THEN (least(a1, b1) - greatest(a0, b0)) / 86400000000.0::DOUBLE ELSE 0 END, 4) AS overlap_days FROM (SELECT user_id, min(rtc) AS a0, max(rtc) AS a1 FROM rows GROUP BY ALL) LEFT JOIN (SELECT user_id, min(received) AS b0, max(received) AS b1 FROM anchors GROUP BY ALL) USING (user_id)")
 def overlap(ev):
     return stats.overlap(rows_of(ev), anchors_of(ev), BY, "rtc", "received")
 
 
-@query(f"SELECT * FROM (SELECT user_id, count(*) AS total_rows, count(DISTINCT us // {DAY_US}) AS files, min(us) AS first_time, max(us) AS last_time, count(*) FILTER (WHERE us BETWEEN {FROM} AND {TO}) AS valid_rows, count(*) FILTER (WHERE NOT us BETWEEN {FROM} AND {TO}) AS invalid_rows, round(100.0::DOUBLE * count(*) FILTER (WHERE us BETWEEN {FROM} AND {TO}) / count(*), 6) AS valid_pct, count(*) FILTER (WHERE event_type = 'error') AS recovered_rows, round(100.0::DOUBLE * count(*) FILTER (WHERE event_type = 'error') / count(*), 6) AS recovered_pct, count(DISTINCT us // {DAY_US}) FILTER (WHERE event_type = 'error') AS files_recovered FROM ev GROUP BY ALL) JOIN (SELECT user_id, sum(n - 1)::BIGINT AS duplicates FROM (SELECT user_id, count(*) AS n FROM ev GROUP BY user_id, us, us // {DAY_US}) GROUP BY ALL) USING (user_id)")
+@query(f"SELECT * FROM (SELECT user_id, count(*) AS total_rows, count(DISTINCT us // {DAY_US}) AS files, min(us) AS first_time, max(us) AS last_time, count(*) FILTER (WHERE us BETWEEN {FROM} AND {TO}) AS valid_rows, count(*) FILTER (WHERE NOT us BETWEEN {FROM} AND {TO}) AS invalid_rows, round(100.0::DOUBLE * count(*) FILTER (WHERE us BETWEEN {FROM} AND {TO}) / count(*), 4) AS valid_pct, count(*) FILTER (WHERE event_type = 'error') AS recovered_rows, round(100.0::DOUBLE * count(*) FILTER (WHERE event_type = 'error') / count(*), 4) AS recovered_pct, count(DISTINCT us // {DAY_US}) FILTER (WHERE event_type = 'error') AS files_recovered FROM ev GROUP BY ALL) JOIN (SELECT user_id, sum(n - 1)::BIGINT AS duplicates FROM (SELECT user_id, count(*) AS n FROM ev GROUP BY user_id, us, us // {DAY_US}) GROUP BY ALL) USING (user_id)")
 def load_check(ev):
     rows = ev.withColumn("file", F.expr(f"us div {DAY_US}")).withColumn("recovered", F.col("event_type") == "error")
     return stats.load_check(rows, BY, "us", "file", "recovered", FROM, TO)
@@ -466,7 +486,7 @@ def status_of(ev):
     return stats.file_status(qa_of(ev))
 
 
-QA = "user_id, day, num_lines, num_valid_timestamps, is_chronological, num_reversals, first_reversal, round(max_reversal_seconds, 6) AS max_reversal_seconds, round(max_gap_seconds, 6) AS max_gap_seconds, round(mean_gap_seconds, 6) AS mean_gap_seconds, round(median_gap_seconds, 6) AS median_gap_seconds, num_large_gaps, expected_hour, round(correct_hour_pct, 6) AS correct_hour_pct, start_time, end_time, round(duration_minutes, 6) AS duration_minutes, min_fields, max_fields, inconsistent_fields, sample_count_deviation"
+QA = "user_id, day, num_lines, num_valid_timestamps, is_chronological, num_reversals, first_reversal, round(max_reversal_seconds, 4) AS max_reversal_seconds, round(max_gap_seconds, 4) AS max_gap_seconds, round(mean_gap_seconds, 4) AS mean_gap_seconds, round(median_gap_seconds, 4) AS median_gap_seconds, num_large_gaps, expected_hour, round(correct_hour_pct, 4) AS correct_hour_pct, start_time, end_time, round(duration_minutes, 4) AS duration_minutes, min_fields, max_fields, inconsistent_fields, sample_count_deviation"
 
 
 @query(f"SELECT {QA} FROM qa", FILES)
@@ -484,7 +504,7 @@ def problem_files(ev):
     return stats.problem_files(qa_of(ev)).select("user_id", "day")
 
 
-@query("SELECT count(*) AS files, count(*) FILTER (WHERE status = 'OK') AS ok_files, sum(num_lines)::BIGINT AS lines, round(avg(num_lines), 6) AS mean_lines, count(*) FILTER (WHERE is_chronological) AS chronological_files, sum(num_reversals)::BIGINT AS reversals, sum(num_large_gaps)::BIGINT AS large_gaps, round(avg(correct_hour_pct), 6) AS mean_hour_pct, count(*) FILTER (WHERE correct_hour_pct >= 80) AS files_in_hour FROM status", STATUS)
+@query("SELECT count(*) AS files, count(*) FILTER (WHERE status = 'OK') AS ok_files, sum(num_lines)::BIGINT AS lines, round(avg(num_lines), 4) AS mean_lines, count(*) FILTER (WHERE is_chronological) AS chronological_files, sum(num_reversals)::BIGINT AS reversals, sum(num_large_gaps)::BIGINT AS large_gaps, round(avg(correct_hour_pct), 4) AS mean_hour_pct, count(*) FILTER (WHERE correct_hour_pct >= 80) AS files_in_hour FROM status", STATUS)
 def qa_report(ev):
     return stats.qa_report(status_of(ev))
 
@@ -497,12 +517,12 @@ def top_issue_files(ev):
 STEPS = "(SELECT user_id, (us - lag(us) OVER (PARTITION BY user_id ORDER BY us, event_id)) / 1000000 AS s FROM ev)"
 
 
-@query(f"SELECT user_id, count(*) AS intervals, round(avg(s), 6) AS mean_s, round(median(s), 6) AS median_s, round(stddev_pop(s), 6) AS std_s, round(100.0::DOUBLE * count(*) FILTER (WHERE abs(s - 3600) <= 0.1) / count(*), 6) AS pct_exact, round(100.0::DOUBLE * count(*) FILTER (WHERE s BETWEEN 2880 AND 4320) / count(*), 6) AS pct_near, count(*) FILTER (WHERE s > 60) AS over_minute FROM {STEPS} WHERE s IS NOT NULL GROUP BY ALL")
+@query(f"SELECT user_id, count(*) AS intervals, round(avg(s), 4) AS mean_s, round(median(s), 4) AS median_s, round(stddev_pop(s), 4) AS std_s, round(100.0::DOUBLE * count(*) FILTER (WHERE abs(s - 3600) <= 0.1) / count(*), 4) AS pct_exact, round(100.0::DOUBLE * count(*) FILTER (WHERE s BETWEEN 2880 AND 4320) / count(*), 4) AS pct_near, count(*) FILTER (WHERE s > 60) AS over_minute FROM {STEPS} WHERE s IS NOT NULL GROUP BY ALL")
 def interval_stats(ev):
     return stats.interval_stats(ev, BY, "us", ["event_id"], 3600, (2880, 4320))
 
 
-@query(f"SELECT user_id, count(*) AS gaps, round(avg(s), 6) AS mean_s, round(median(s), 6) AS median_s, round(max(s), 6) AS max_s, round(sum(s), 6) AS total_s FROM {STEPS} WHERE s > 600 GROUP BY ALL")
+@query(f"SELECT user_id, count(*) AS gaps, round(avg(s), 4) AS mean_s, round(median(s), 4) AS median_s, round(max(s), 4) AS max_s, round(sum(s), 4) AS total_s FROM {STEPS} WHERE s > 600 GROUP BY ALL")
 def gap_stats(ev):
     return stats.gap_stats(ev, BY, "us", ["event_id"])
 
@@ -510,28 +530,28 @@ def gap_stats(ev):
 SPANS = f"(SELECT user_id, us // {DAY_US} AS day, (max(us) - min(us)) / 60000000.0::DOUBLE AS minutes, min(us) // 60000000 % 60 + (min(us) // 1000000 % 60) / 60.0::DOUBLE AS start_minute FROM ev GROUP BY ALL)"
 
 
-@query(f"SELECT user_id, day, round(minutes, 6) AS minutes, round(start_minute, 6) AS start_minute FROM {SPANS}")
+@query(f"SELECT user_id, day, round(minutes, 4) AS minutes, round(start_minute, 4) AS start_minute FROM {SPANS}")
 def file_span(ev):
     return stats.file_spans(ev.withColumn("day", F.expr(f"us div {DAY_US}")), ["user_id", "day"], "us")
 
 
-@query(f"SELECT count(*) AS files, round(avg(minutes), 6) AS mean_minutes, round(median(minutes), 6) AS median_minutes, count(*) FILTER (WHERE minutes < 45) AS under_45, count(*) FILTER (WHERE minutes < 30) AS under_30, round(avg(start_minute), 6) AS mean_start_minute FROM {SPANS}")
+@query(f"SELECT count(*) AS files, round(avg(minutes), 4) AS mean_minutes, round(median(minutes), 4) AS median_minutes, count(*) FILTER (WHERE minutes < 45) AS under_45, count(*) FILTER (WHERE minutes < 30) AS under_30, round(avg(start_minute), 4) AS mean_start_minute FROM {SPANS}")
 def span_summary(ev):
     return stats.span_summary(stats.file_spans(ev.withColumn("day", F.expr(f"us div {DAY_US}")), ["user_id", "day"], "us"))
 
 
-@query(f"SELECT user_id, day, round(minutes, 6) AS minutes FROM {SPANS} ORDER BY minutes, user_id, day LIMIT 10")
+@query(f"SELECT user_id, day, round(minutes, 4) AS minutes FROM {SPANS} ORDER BY minutes, user_id, day LIMIT 10")
 def shortest_files(ev):
     spans = stats.file_spans(ev.withColumn("day", F.expr(f"us div {DAY_US}")), ["user_id", "day"], "us")
     return spans.orderBy("minutes", "user_id", "day").limit(10).select("user_id", "day", "minutes")
 
 
-@query(f"SELECT count(*) AS files, round(avg(n), 6) AS mean_lines, round(median(n), 6) AS median_lines, min(n) AS min_lines, max(n) AS max_lines, round(stddev_pop(n), 6) AS std_lines, round(100.0::DOUBLE * sum(n) / (count(*) * 3), 6) AS coverage_pct FROM (SELECT count(*) AS n FROM ev GROUP BY user_id, us // {DAY_US})")
+@query(f"SELECT count(*) AS files, round(avg(n), 4) AS mean_lines, round(median(n), 4) AS median_lines, min(n) AS min_lines, max(n) AS max_lines, round(stddev_pop(n), 4) AS std_lines, round(100.0::DOUBLE * sum(n) / (count(*) * 3), 4) AS coverage_pct FROM (SELECT count(*) AS n FROM ev GROUP BY user_id, us // {DAY_US})")
 def lines_per_file(ev):
     return stats.lines_per_file(ev.withColumn("day", F.expr(f"us div {DAY_US}")), ["user_id", "day"], 3)
 
 
-@query("SELECT a.n AS rows, b.n AS lines, round(100.0::DOUBLE * abs(a.n - b.n) / a.n, 6) AS difference_pct, 100.0::DOUBLE * abs(a.n - b.n) / a.n > 1 AS is_critical FROM (SELECT count(*) AS n FROM ev) a, (SELECT count(*) AS n FROM rows) b")
+@query("SELECT a.n AS rows, b.n AS lines, round(100.0::DOUBLE * abs(a.n - b.n) / a.n, 4) AS difference_pct, 100.0::DOUBLE * abs(a.n - b.n) / a.n > 1 AS is_critical FROM (SELECT count(*) AS n FROM ev) a, (SELECT count(*) AS n FROM rows) b")
 def row_reconciliation(ev):
     return stats.reconcile(ev, rows_of(ev))
 
@@ -549,7 +569,7 @@ def totals_of(ev):
     )
 
 
-@query(f"SELECT user_id, round(q, 6) AS quality_score, {LABEL.format(x='q', a=95, b=85, c=70)} AS quality_label FROM (SELECT *, {SCORE} AS q FROM {TOTALS})")
+@query(f"SELECT user_id, round(q, 4) AS quality_score, {LABEL.format(x='q', a=95, b=85, c=70)} AS quality_label FROM (SELECT *, {SCORE} AS q FROM {TOTALS})")
 def quality_score(ev):
     return stats.quality_score(totals_of(ev)).select("user_id", "quality_score", "quality_label")
 
@@ -566,7 +586,7 @@ def severity_lists(ev):
     return out.select("severity", "n", F.col("messages")[0].alias("first"))
 
 
-@query(f"SELECT user_id, day, count(*) AS num_samples, min(us) AS start_time, max(us) AS end_time, round((max(us) - min(us)) / 60000000.0::DOUBLE, 6) AS duration_minutes, round(avg(s), 6) AS mean_interval, round(max(s), 6) AS max_gap, round(avg(value), 6) AS value_mean, round(stddev_samp(value), 6) AS value_std FROM (SELECT *, us // {DAY_US} AS day, (us - lag(us) OVER (PARTITION BY user_id, us // {DAY_US} ORDER BY us, event_id)) / 1000000 AS s FROM ev) GROUP BY ALL")
+@query(f"SELECT user_id, day, count(*) AS num_samples, min(us) AS start_time, max(us) AS end_time, round((max(us) - min(us)) / 60000000.0::DOUBLE, 4) AS duration_minutes, round(avg(s), 4) AS mean_interval, round(max(s), 4) AS max_gap, round(avg(value), 4) AS value_mean, round(stddev_samp(value), 4) AS value_std FROM (SELECT *, us // {DAY_US} AS day, (us - lag(us) OVER (PARTITION BY user_id, us // {DAY_US} ORDER BY us, event_id)) / 1000000 AS s FROM ev) GROUP BY ALL")
 def hourly_sensor_summary(ev):
     return stats.sensor_summary(ev.withColumn("day", F.expr(f"us div {DAY_US}")), ["user_id", "day"], "us", ["value"], ["event_id"])
 
@@ -588,18 +608,12 @@ def concat_recovery(ev):
     return rows.select(F.col("line_number").cast("long"), "concat_position", "is_concatenated", F.col("rtc_time").cast("timestamp_ntz").alias("rtc_time"), F.col("data_values")[0].alias("id"), F.col("data_values")[1].alias("user"))
 
 
-@query("SELECT CASE WHEN min(us // 1000000) <> max(us // 1000000) THEN 1 ELSE 2 END AS join_type, count(*) * 2 AS rows FROM ev GROUP BY event_id // 2 HAVING count(*) > 1")
-def concat_types_by_line(ev):
-    good = sd_text.parse(lines_of(ev)).where("is_concatenated")
-    return good.groupBy("line_number").agg(F.when(F.min("rtc_time") != F.max("rtc_time"), 1).otherwise(2).alias("join_type"), (F.count("*") * 2 / F.count("*") * 1).cast("long").alias("rows")).drop("line_number")
-
-
 @query("SELECT j AS join_type, (2 * count(*))::BIGINT AS rows FROM (SELECT CASE WHEN min(us // 1000000) <> max(us // 1000000) THEN 1 ELSE 2 END AS j FROM ev GROUP BY event_id // 2 HAVING count(*) > 1) GROUP BY ALL")
 def concat_types(ev):
     return sd_text.join_types(sd_text.parse(lines_of(ev)))
 
 
-@query("SELECT 1::BIGINT AS files, count(*) AS lines, 0::BIGINT AS skipped_lines, count(*) FILTER (WHERE n > 1) AS joined_lines, sum(CASE WHEN n > 1 THEN n ELSE 0 END)::BIGINT AS recovered_rows, round(avg(CASE WHEN n > 1 THEN n END), 6) AS rows_per_joined_line, round(100.0::DOUBLE * count(*) FILTER (WHERE n > 1) / count(*), 6) AS pct_joined FROM (SELECT count(*) AS n FROM ev GROUP BY event_id // 2)")
+@query("SELECT 1::BIGINT AS files, count(*) AS lines, 0::BIGINT AS skipped_lines, count(*) FILTER (WHERE n > 1) AS joined_lines, sum(CASE WHEN n > 1 THEN n ELSE 0 END)::BIGINT AS recovered_rows, round(avg(CASE WHEN n > 1 THEN n END), 4) AS rows_per_joined_line, round(100.0::DOUBLE * count(*) FILTER (WHERE n > 1) / count(*), 4) AS pct_joined FROM (SELECT count(*) AS n FROM ev GROUP BY event_id // 2)")
 def recovery_counters(ev):
     return sd_text.counters(sd_text.parse(lines_of(ev)))
 
@@ -677,7 +691,7 @@ def device_history(ev):
     return tables.device_history(log, 3).select("device_id", "run_id", "run_number")
 
 
-@query("SELECT * FROM (SELECT count(*) AS rows, count(DISTINCT segment_id) AS segments, round(avg(confidence), 6) AS mean_confidence, round(avg((aligned - rtc) / 1e6), 6) AS mean_drift FROM borrowed), (SELECT count(*) AS files FROM (SELECT DISTINCT user_id, us // 86400000000 FROM ev))", BORROWED)
+@query("SELECT * FROM (SELECT count(*) AS rows, count(DISTINCT segment_id) AS segments, round(avg(confidence), 4) AS mean_confidence, round(avg((aligned - rtc) / 1e6), 4) AS mean_drift FROM borrowed), (SELECT count(*) AS files FROM (SELECT DISTINCT user_id, us // 86400000000 FROM ev))", BORROWED)
 def summary_report(ev):
     out = stats.summary(borrowed_of(ev), qa_of(ev))
     return out.select("data.rows", "data.segments", F.col("confidence.mean").alias("mean_confidence"), F.col("drift.mean_s").alias("mean_drift"), "output.files")
