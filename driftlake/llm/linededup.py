@@ -13,15 +13,18 @@ are joined with all earlier lines of their groups.
 from __future__ import annotations
 
 import math
+from uuid import uuid4
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from driftlake.llm.common import durable, partitions, text_or_empty
+from driftlake.llm.common import durable, partitions, shared_dir, text_or_empty
 
 SHINGLE = 5
 BUCKETS = 1 << 16
 _NO_KEY = -(1 << 63)
+_KEY = "_dedup_key"
+_TABLES: list[str] = []
 
 
 def words_of(line: str = "line") -> Column:
@@ -29,16 +32,20 @@ def words_of(line: str = "line") -> Column:
     return F.array_remove(F.split(F.translate(line, "\t\x0b\x0c\r", "    "), " "), "")
 
 
-def shingles_of(words: str = "words") -> Column:
-    """One hash for each run of five words; none for shorter lines."""
-    hashes = f"transform(sequence(1, size({words}) - {SHINGLE - 1}), i -> xxhash64(slice({words}, i, {SHINGLE})))"
-    return F.expr(f"if(size({words}) < {SHINGLE}, cast(array() as array<bigint>), {hashes})")
+def _shingle(i: str) -> str:
+    return "xxhash64(" + ", ".join(f"get(words, {i} + {k})" for k in range(SHINGLE)) + ")"
+
+
+def shingles_of() -> Column:
+    """One hash for each run of five of ``words``; none for shorter lines."""
+    return F.expr(f"transform(sequence(0, greatest(size(words), {SHINGLE}) - {SHINGLE}), i -> {_shingle('i')})")
 
 
 def bucket_counts(lines: DataFrame) -> bytes:
     """For each of a fixed number of hash buckets the logarithm of its shingles' count, as one letter."""
-    shingle = F.explode(shingles_of())
-    counts = lines.select(words_of().alias("words")).select(shingle.alias("s")).groupBy(F.expr(f"s & {BUCKETS - 1}").cast("int").alias("b")).count()
+    spots = lines.select(words_of().alias("words")).where(f"size(words) >= {SHINGLE}")
+    spots = spots.select("words", F.explode(F.expr(f"sequence(0, size(words) - {SHINGLE})")).alias("i"))
+    counts = spots.groupBy(F.expr(f"cast({_shingle('i')} & {BUCKETS - 1} as int)").alias("b")).count()
     out = bytearray(b"0" * BUCKETS)
     for row in counts.collect():  # at most BUCKETS rows
         out[row["b"]] = 48 + min(75, int(4 * math.log2(row["count"])))
@@ -70,10 +77,30 @@ def similar(pairs: DataFrame, tokens: DataFrame) -> DataFrame:
     return both.where(5 * shared >= 4 * (F.size("t") + F.size("o") - shared)).select("key", "no").distinct()
 
 
-def repeated_lines(docs: DataFrame) -> DataFrame:
-    """``key, no`` of the lines that go; ``key`` is the ``doc_id``, with nulls before all."""
-    n = partitions(docs.sparkSession)
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_KEY)).alias("key"), text_or_empty().alias("text"))
+def keyed_copy(docs: DataFrame) -> DataFrame:
+    """``docs`` with their key, written once to the shared folder in buckets of the key.
+
+    Three passes join the texts with what is known of their lines; none of them shuffles a text. The
+    table stays until :func:`clean_up`.
+    """
+    spark = docs.sparkSession
+    name = f"lines_{uuid4().hex}"
+    keyed = docs.withColumn(_KEY, F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_KEY)))
+    writer = keyed.write.format("parquet").option("compression", "zstd").option("path", f"{shared_dir(spark)}/{name}")
+    writer.bucketBy(partitions(spark), _KEY).saveAsTable(name)
+    _TABLES.append(name)
+    return spark.table(name)
+
+
+def clean_up(spark: SparkSession) -> None:
+    """Drop the copies that this session's results have read."""
+    while _TABLES:
+        spark.sql(f"DROP TABLE IF EXISTS {_TABLES.pop()}")
+
+
+def repeated_lines(copy: DataFrame) -> DataFrame:
+    """``key, no`` of the lines of :func:`keyed_copy` that go; ``key`` is the ``doc_id``, with nulls before all."""
+    rows = copy.select(F.col(_KEY).alias("key"), text_or_empty().alias("text"))
     lines = rows.select("key", F.posexplode(F.split("text", "\n")).alias("no", "line"))
     counts = F.lit(bucket_counts(lines))
 
@@ -83,27 +110,35 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     firsts = places.groupBy("h", "g").agg(F.min(F.struct("key", "no")).alias("f"), F.count("*").alias("copies"))
     copies = places.join(firsts, ["h", "g"]).where("key <> f.key OR no <> f.no").select("key", "no")
 
-    # the first places' prefixes; both reads of the texts share one exchange
-    dealt = rows.repartition(n, "key")
-    wanted = firsts.groupBy(F.col("f.key").alias("key")).agg(F.map_from_entries(F.collect_set(F.struct("f.no", "copies"))).alias("nos"))
-    chosen = dealt.join(wanted, "key").select("key", "nos", F.posexplode(F.split("text", "\n")).alias("no", "line"))
-    chosen = chosen.select("key", "no", F.col("nos")[F.col("no")].alias("copies"), "line").where("copies IS NOT NULL")
-    with_tokens = chosen.select("key", "no", "copies", words_of().alias("words")).select("key", "no", "copies", shingles_of().alias("s"))
-    with_tokens = with_tokens.withColumn("counts", counts).select("key", "no", "copies", tokens_of("s", "counts").alias("tokens"))
-    size = F.size("tokens")
-    first_part = F.slice("tokens", F.lit(1), size - F.expr("(4 * size(tokens) + 4) div 5").cast("int") + 1)
-    prefixes = with_tokens.select("key", "no", "copies", size.alias("n"), F.posexplode(first_part).alias("pos", "token"))
+    # the first places' prefixes; a row is three longs: the token, the document, and the line's number, its
+    # size, the token's place and the logarithm of the line's copies in one
+    log_copies = F.floor(F.log2(F.col("copies").cast("double"))).cast("int")
+    wanted = firsts.groupBy(F.col("f.key").alias("key")).agg(F.map_from_entries(F.collect_set(F.struct("f.no", log_copies.alias("c")))).alias("nos"))
+    chosen = rows.join(wanted, "key").select("key", "nos", F.posexplode(F.split("text", "\n")).alias("no", "line"))
+    chosen = chosen.select("key", "no", F.col("nos")[F.col("no")].alias("c"), "line").where("c IS NOT NULL")
+    with_tokens = chosen.select("key", "no", "c", words_of().alias("words")).select("key", "no", "c", shingles_of().alias("s"))
+    with_tokens = with_tokens.withColumn("counts", counts).select("key", "no", "c", tokens_of("s", "counts").alias("tokens"))
+    with_tokens = with_tokens.withColumn("n", F.size("tokens"))
+    first_part = F.slice("tokens", F.lit(1), F.expr("n - cast((4 * n + 4) div 5 as int) + 1"))
+    prefixes = with_tokens.select("key", "no", "c", "n", F.posexplode(first_part).alias("pos", "token"))
+    line_and_size = F.shiftleft(F.col("no").cast("long"), 32).bitwiseOR(F.col("n").cast("long"))
+    place_and_copies = F.shiftleft(F.col("pos").cast("long"), 8).bitwiseOR(F.col("c").cast("long"))
+    packed = prefixes.select("token", "key", line_and_size.alias("x"), place_and_copies.alias("y"))
     group = Window.partitionBy("token")
-    place = F.struct("key", "no", "n")
-    met = prefixes.select(
-        "token", "key", "no", "n", "pos",
-        F.count("*").over(group).alias("lines"),
-        F.min(place).over(group).alias("early"),
-        F.max(F.struct("copies", place.alias("p"))).over(group).getField("p").alias("common"),
-    ).where("lines > 1")
+    common = F.max(F.struct(F.expr("y & 255").alias("c"), F.struct("key", "x").alias("p"))).over(group).getField("p")
+    met = packed.withColumn("lines", F.count("*").over(group)).withColumn("early", F.min(F.struct("key", "x")).over(group)).withColumn("common", common)
+    number, size = "cast(shiftright({0}, 32) as int)", "cast({0} & 4294967295 as int)"
+
+    def leader(name: str) -> Column:
+        return F.struct(F.col(name)["key"].alias("key"), F.expr(number.format(f"{name}.x")).alias("no"), F.expr(size.format(f"{name}.x")).alias("n"))
+
+    met = met.where("lines > 1").select(
+        "token", "key", F.expr(number.format("x")).alias("no"), F.expr(size.format("x")).alias("n"), F.expr("cast(shiftright(y, 8) as int)").alias("pos"),
+        leader("early").alias("early"), leader("common").alias("common"),
+    )
     met = durable(met)
     in_groups = met.groupBy("key").agg(F.collect_set("no").alias("nos"))  # of one document
-    compared = dealt.join(in_groups, "key").select("key", "nos", F.posexplode(F.split("text", "\n")).alias("no", "line")).where("array_contains(nos, no)")
+    compared = rows.join(in_groups, "key").select("key", "nos", F.posexplode(F.split("text", "\n")).alias("no", "line")).where("array_contains(nos, no)")
     compared = compared.select("key", "no", words_of().alias("words")).select("key", "no", shingles_of().alias("s"))
     tokens = durable(compared.withColumn("counts", counts).select("key", "no", tokens_of("s", "counts").alias("tokens")))
 
@@ -126,9 +161,9 @@ def remove_lines(docs: DataFrame) -> DataFrame:
     remove each other; rows without a ``doc_id`` stand before all others. An empty table gives an
     empty result.
     """
-    gone = repeated_lines(docs).groupBy(F.col("key").alias("_key")).agg(F.collect_set("no").alias("_gone"))  # of one document
-    keyed = docs.withColumn("_key", F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_KEY)))
-    found = keyed.join(gone, "_key", "left")
+    copy = keyed_copy(docs)
+    gone = repeated_lines(copy).groupBy(F.col("key").alias(_KEY)).agg(F.collect_set("no").alias("_gone"))  # of one document
+    found = copy.join(gone, _KEY, "left")
     lines = F.split(F.col("text").cast("string"), "\n")
     kept = F.when(F.col("_gone").isNull(), F.col("text").cast("string")).otherwise(
         F.array_join(F.filter(lines, lambda _, i: ~F.array_contains(F.col("_gone"), i)), "\n")
