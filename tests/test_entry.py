@@ -7,6 +7,7 @@ import math
 import os
 
 import duckdb
+import pandas as pd
 import pytest
 
 import __spark_entry__ as entry
@@ -15,9 +16,15 @@ SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 SOME = ["interp_drift", "asof_nearest", "segment_gaps", "align_adaptive", "position_fallback", "spread_duplicates", "hour_manifest", "coverage_gaps", "file_qa_status", "concat_recovery", "new_anchor_text", "overlap"]
 
 
+def plain(x):
+    """Without the differences that pandas makes: nulls of any kind, and integers that turned into floats."""
+    if x is None or x is pd.NaT or x is pd.NA or isinstance(x, float) and math.isnan(x):
+        return None
+    return int(x) if isinstance(x, float) and x.is_integer() else x
+
+
 def rows(frame):
     frame = frame[sorted(frame.columns)].astype(object)
-    plain = lambda x: None if x is None or isinstance(x, float) and math.isnan(x) else x
     return sorted(repr([plain(x) for x in r]) for r in frame.itertuples(index=False))
 
 
