@@ -282,9 +282,6 @@ def segment_drift_rate(ev):
 
 # statistics of the alignment
 
-CONF = "avg(confidence), 4) AS mean_confidence"
-
-
 @query("SELECT segment_id, count(*) AS num_samples, round(avg(d), 4) AS mean_drift_seconds, round(median(d), 4) AS median_drift_seconds, round(stddev_samp(d), 4) AS std_drift_seconds, round(min(d), 4) AS min_drift_seconds, round(max(d), 4) AS max_drift_seconds, round(avg(confidence), 4) AS mean_confidence, round(100.0::DOUBLE * count(*) FILTER (WHERE confidence >= 0.9) / count(*), 4) AS pct_high_confidence, round(100.0::DOUBLE * count(*) FILTER (WHERE confidence < 0.6) / count(*), 4) AS pct_low_confidence, count(DISTINCT method) AS methods FROM (SELECT *, (aligned - rtc) / 1e6 AS d FROM borrowed) GROUP BY ALL", BORROWED)
 def alignment_stats(ev):
     return stats.alignment_stats(borrowed_of(ev), ["segment_id"]).withColumn("methods", F.size("alignment_methods").cast("long")).drop("alignment_methods")
@@ -393,9 +390,6 @@ def duplicate_counts(ev):
     return rebuild.mark_duplicates(ev.withColumn("slot", F.expr("us div 600000000")), ["slot"]).select("event_id", "is_duplicate")
 
 
-LOCAL = "timezone('Europe/Copenhagen', make_timestamptz(us))"
-
-
 @query("SELECT event_id, strftime(l, '%y%m%d%H') AS hour_key, strftime(l, '%m') AS month_folder FROM (SELECT event_id, to_timestamp(us / 1000000) AT TIME ZONE 'Europe/Copenhagen' AS l FROM ev)")
 def hour_local(ev):
     return rebuild.local_hours(ev, "us", "Europe/Copenhagen").select("event_id", "hour_key", "month_folder")
