@@ -23,8 +23,11 @@ from driftlake.llm.common import durable, partitions, shared_dir, text_or_empty
 SHINGLE = 5
 BUCKETS = 1 << 16
 _NO_KEY = -(1 << 63)
+#: A line with at least five words.
+_LONG = rf"^[ \t\x0b\f\r]*(?:[^ \t\x0b\f\r]++[ \t\x0b\f\r]++){{{SHINGLE - 1}}}[^ \t\x0b\f\r]"
 _KEY = "_dedup_key"
 _TABLES: list[str] = []
+_PATHS: list[str] = []
 
 
 def words_of(line: str = "line") -> Column:
@@ -68,6 +71,16 @@ def may_match(a: str, b: str) -> str:
     return f"5 * {b}n >= 4 * {a}n AND 5 * {a}n >= 4 * {b}n"
 
 
+def candidates(met: DataFrame) -> DataFrame:
+    """The pairs ``key, no, okey, ono`` that the tokens met in both prefixes leave possible.
+
+    All tokens that two lines share up to the last one met are among those met; after it, the rest of the
+    shorter remainder could be shared at most. That is the positional filter at its tightest.
+    """
+    pairs = met.groupBy("key", "no", "okey", "ono", "n", "on").agg(F.count("*").alias("k"), F.max(F.struct("pos", "opos")).alias("last"))
+    return pairs.where("9 * (k + least(n - last.pos, on - last.opos) - 1) >= 4 * (n + on)").select("key", "no", "okey", "ono")
+
+
 def similar(pairs: DataFrame, tokens: DataFrame) -> DataFrame:
     """The later lines ``key, no`` of those pairs ``key, no, okey, ono`` whose token sets are similar."""
     mine = tokens.select("key", "no", F.col("tokens").alias("t"))
@@ -92,10 +105,21 @@ def keyed_copy(docs: DataFrame) -> DataFrame:
     return spark.table(name)
 
 
+def kept(df: DataFrame) -> DataFrame:
+    """``df`` by way of a compressed table in the shared folder, a fraction of a checkpoint's size."""
+    path = f"{shared_dir(df.sparkSession)}/{uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    _PATHS.append(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def clean_up(spark: SparkSession) -> None:
-    """Drop the copies that this session's results have read."""
+    """Remove the copies and tables that this session's results have read."""
     while _TABLES:
         spark.sql(f"DROP TABLE IF EXISTS {_TABLES.pop()}")
+    while _PATHS:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_PATHS.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def repeated_lines(copy: DataFrame) -> DataFrame:
@@ -105,8 +129,8 @@ def repeated_lines(copy: DataFrame) -> DataFrame:
     counts = F.lit(bucket_counts(lines))
 
     # equal lines of five words or more: all places but the first go, the first stands for them
-    long_lines = lines.where(F.size(words_of()) >= SHINGLE)
-    places = durable(long_lines.select("key", "no", F.xxhash64("line").alias("h"), F.xxhash64(F.lit("#"), "line").alias("g")))
+    long_lines = lines.where(F.col("line").rlike(_LONG))
+    places = kept(long_lines.select("key", "no", F.xxhash64("line").alias("h"), F.xxhash64(F.lit("#"), "line").alias("g")))
     firsts = places.groupBy("h", "g").agg(F.min(F.struct("key", "no")).alias("f"), F.count("*").alias("copies"))
     copies = places.join(firsts, ["h", "g"]).where("key <> f.key OR no <> f.no").select("key", "no")
 
@@ -125,31 +149,30 @@ def repeated_lines(copy: DataFrame) -> DataFrame:
     place_and_copies = F.shiftleft(F.col("pos").cast("long"), 8).bitwiseOR(F.col("c").cast("long"))
     packed = prefixes.select("token", "key", line_and_size.alias("x"), place_and_copies.alias("y"))
     group = Window.partitionBy("token")
-    common = F.max(F.struct(F.expr("y & 255").alias("c"), F.struct("key", "x").alias("p"))).over(group).getField("p")
-    met = packed.withColumn("lines", F.count("*").over(group)).withColumn("early", F.min(F.struct("key", "x")).over(group)).withColumn("common", common)
+    common = F.max(F.struct(F.expr("y & 255").alias("c"), F.struct("key", "x", "y").alias("p"))).over(group).getField("p")
+    met = packed.withColumn("lines", F.count("*").over(group)).withColumn("early", F.min(F.struct("key", "x", "y")).over(group)).withColumn("common", common)
     number, size = "cast(shiftright({0}, 32) as int)", "cast({0} & 4294967295 as int)"
 
     def leader(name: str) -> Column:
-        return F.struct(F.col(name)["key"].alias("key"), F.expr(number.format(f"{name}.x")).alias("no"), F.expr(size.format(f"{name}.x")).alias("n"))
+        return F.struct(F.col(name)["key"].alias("key"), F.expr(number.format(f"{name}.x")).alias("no"), F.expr(size.format(f"{name}.x")).alias("n"), F.expr(f"cast(shiftright({name}.y, 8) as int)").alias("pos"))
 
     met = met.where("lines > 1").select(
         "token", "key", F.expr(number.format("x")).alias("no"), F.expr(size.format("x")).alias("n"), F.expr("cast(shiftright(y, 8) as int)").alias("pos"),
         leader("early").alias("early"), leader("common").alias("common"),
     )
-    met = durable(met)
+    met = kept(met)
     in_groups = met.groupBy("key").agg(F.collect_set("no").alias("nos"))  # of one document
     compared = rows.join(in_groups, "key").select("key", "nos", F.posexplode(F.split("text", "\n")).alias("no", "line")).where("array_contains(nos, no)")
     compared = compared.select("key", "no", words_of().alias("words")).select("key", "no", shingles_of().alias("s"))
-    tokens = durable(compared.withColumn("counts", counts).select("key", "no", tokens_of("s", "counts").alias("tokens")))
+    tokens = kept(compared.withColumn("counts", counts).select("key", "no", tokens_of("s", "counts").alias("tokens")))
 
-    leaders = met.select("key", "no", "n", F.explode(F.array("early", "common")).alias("o")).select("key", "no", "n", "o.*").toDF("key", "no", "n", "okey", "ono", "on")
-    leaders = leaders.where(later("", "o") + " AND " + may_match("", "o")).select("key", "no", "okey", "ono").distinct()
-    led = durable(similar(leaders, tokens))
+    leaders = met.select("key", "no", "n", "pos", F.explode(F.array_distinct(F.array("early", "common"))).alias("o"))
+    leaders = leaders.select("key", "no", "n", "pos", "o.*").toDF("key", "no", "n", "pos", "okey", "ono", "on", "opos")
+    led = durable(similar(candidates(leaders.where(later("", "o") + " AND " + may_match("", "o"))), tokens))
     rest = met.join(led, ["key", "no"], "left_anti").select("token", "key", "no", "n", "pos")
     others = met.select("token", *(F.col(c).alias("o" + c) for c in ("key", "no", "n", "pos")))
-    bound = "9 * (1 + least(n - pos, on - opos) - 1) >= 4 * (n + on)"  # the positional filter
-    pairs = rest.join(others, F.expr(f"{later('', 'o')} AND {may_match('', 'o')} AND {bound}") & (rest["token"] == others["token"]))
-    found = similar(pairs.select("key", "no", "okey", "ono").distinct(), tokens)
+    pairs = rest.join(others, F.expr(f"{later('', 'o')} AND {may_match('', 'o')}") & (rest["token"] == others["token"]))
+    found = similar(candidates(pairs), tokens)
     return copies.union(led).union(found).distinct()
 
 
