@@ -138,7 +138,9 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = 2000) -> Model:
     got = rows.mapInArrow(run, "doc_id long, good int, vector binary")
     last = Window.partitionBy("doc_id").orderBy("vector")
     found = got.withColumn("n", F.row_number().over(last)).where("n = 1").orderBy(F.xxhash64("doc_id", F.lit(6)), "doc_id").limit(max_rows).toArrow()
-    vectors = np.array([np.frombuffer(v, np.float16) for v in found["vector"].to_pylist()], np.float32).reshape(-1, BUCKETS)
+    vectors = np.empty((found.num_rows, BUCKETS), np.float32)
+    for i, v in enumerate(found["vector"]):
+        vectors[i] = np.frombuffer(v.as_buffer(), np.float16)
     return fit(vectors, found["good"].to_numpy() > 0)
 
 

@@ -36,10 +36,8 @@ class WordBPE:
     def __init__(self, path: str, cache_words: int = 500_000):
         import regex
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
+        self.path, self.library = path, None
         with open(path, encoding="utf-8") as f:
             vocab = json.load(f)["model"]["vocab"]
         alphabet = byte_alphabet()
@@ -56,6 +54,11 @@ class WordBPE:
         self.cache_words = cache_words
 
     def _library_ids(self, text: str) -> bytes:
+        if self.library is None:  # few workers ever need it
+            from tokenizers import Tokenizer
+
+            self.library = Tokenizer.from_file(self.path)
+            self.library.encode_special_tokens = True
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _learn(self, words: list[str]) -> None:
