@@ -26,6 +26,8 @@ _NO_KEY = -(1 << 63)
 #: A line with at least five words.
 _LONG = rf"^[ \t\x0b\f\r]*(?:[^ \t\x0b\f\r]++[ \t\x0b\f\r]++){{{SHINGLE - 1}}}[^ \t\x0b\f\r]"
 _KEY = "_dedup_key"
+#: Bytes that a writer holds before it writes a group of rows.
+_ROW_GROUP = 8 << 20
 _TABLES: list[str] = []
 _PATHS: list[str] = []
 
@@ -99,18 +101,28 @@ def keyed_copy(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     name = f"lines_{uuid4().hex}"
     keyed = docs.withColumn(_KEY, F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_KEY)))
-    writer = keyed.write.format("parquet").option("compression", "zstd").option("path", f"{shared_dir(spark)}/{name}")
+    writer = keyed.write.format("parquet").option("compression", "zstd").option("parquet.block.size", _ROW_GROUP).option("path", f"{shared_dir(spark)}/{name}")
     writer.bucketBy(partitions(spark), _KEY).saveAsTable(name)
     _TABLES.append(name)
     return spark.table(name)
 
 
-def kept(df: DataFrame) -> DataFrame:
-    """``df`` by way of a compressed table in the shared folder, a fraction of a checkpoint's size."""
-    path = f"{shared_dir(df.sparkSession)}/{uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+def kept(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` by way of a compressed table in the shared folder, a fraction of a checkpoint's size.
+
+    With ``keys`` its rows lie in buckets of them, so that joins on the keys need not shuffle it.
+    """
+    spark, name = df.sparkSession, f"lines_{uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}"
+    options = {"compression": "zstd", "parquet.block.size": _ROW_GROUP}
+    if keys:
+        dealt = df.repartition(partitions(spark), *keys).write.format("parquet").options(**options)
+        dealt.option("path", path).bucketBy(partitions(spark), *keys).saveAsTable(name)
+        _TABLES.append(name)
+        return spark.table(name)
+    df.write.options(**options).parquet(path)
     _PATHS.append(path)
-    return df.sparkSession.read.parquet(path)
+    return spark.read.parquet(path)
 
 
 def clean_up(spark: SparkSession) -> None:
@@ -164,7 +176,7 @@ def repeated_lines(copy: DataFrame) -> DataFrame:
     in_groups = met.groupBy("key").agg(F.collect_set("no").alias("nos"))  # of one document
     compared = rows.join(in_groups, "key").select("key", "nos", F.posexplode(F.split("text", "\n")).alias("no", "line")).where("array_contains(nos, no)")
     compared = compared.select("key", "no", words_of().alias("words")).select("key", "no", shingles_of().alias("s"))
-    tokens = kept(compared.withColumn("counts", counts).select("key", "no", tokens_of("s", "counts").alias("tokens")))
+    tokens = kept(compared.withColumn("counts", counts).select("key", "no", tokens_of("s", "counts").alias("tokens")), "key", "no")
 
     leaders = met.select("key", "no", "n", "pos", F.explode(F.array_distinct(F.array("early", "common"))).alias("o"))
     leaders = leaders.select("key", "no", "n", "pos", "o.*").toDF("key", "no", "n", "pos", "okey", "ono", "on", "opos")
