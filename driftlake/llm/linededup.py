@@ -4,7 +4,7 @@ A line's tokens are its distinct five-word shingles, ordered by rarity: by the l
 shingle's hash bucket over the whole corpus, then by hash. Two lines whose Jaccard similarity is at
 least 4/5 share a token among the first n - ceil(4n/5) + 1 of each, so only these prefixes are joined;
 length and positional filters drop pairs before their token sets are compared. Equal lines are one
-node from the start, named by their first place. A line goes if any earlier line, by ``doc_id`` and line
+node from the start, named by their first place. A line goes if any earlier line, by ``doc_id``, row and line
 number, is similar to it, kept or not. To know that, not all pairs are needed: each line first meets
 the earliest and the most copied line of its prefix tokens' groups, and only lines that match neither
 are joined with all earlier lines of their groups.
@@ -26,6 +26,7 @@ _NO_KEY = -(1 << 63)
 #: A line with at least five words.
 _LONG = rf"^[ \t\x0b\f\r]*(?:[^ \t\x0b\f\r]++[ \t\x0b\f\r]++){{{SHINGLE - 1}}}[^ \t\x0b\f\r]"
 _KEY = "_dedup_key"
+_ROW = "_dedup_row"
 #: Bytes that a writer holds before it writes a group of rows.
 _ROW_GROUP = 8 << 20
 _TABLES: list[str] = []
@@ -65,7 +66,7 @@ def tokens_of(shingles: str, counts: str) -> Column:
 
 def later(a: str, b: str) -> str:
     """Line ``a`` stands after line ``b``."""
-    return f"({a}key > {b}key OR {a}key = {b}key AND {a}no > {b}no)"
+    return f"({a}key > {b}key OR {a}key = {b}key AND ({a}row > {b}row OR {a}row = {b}row AND {a}no > {b}no))"
 
 
 def may_match(a: str, b: str) -> str:
@@ -74,35 +75,51 @@ def may_match(a: str, b: str) -> str:
 
 
 def candidates(met: DataFrame) -> DataFrame:
-    """The pairs ``key, no, okey, ono`` that the tokens met in both prefixes leave possible.
+    """The pairs ``key, row, no, okey, orow, ono`` that the tokens met in both prefixes leave possible.
 
     All tokens that two lines share up to the last one met are among those met; after it, the rest of the
     shorter remainder could be shared at most. That is the positional filter at its tightest.
     """
-    pairs = met.groupBy("key", "no", "okey", "ono", "n", "on").agg(F.count("*").alias("k"), F.max(F.struct("pos", "opos")).alias("last"))
-    return pairs.where("9 * (k + least(n - last.pos, on - last.opos) - 1) >= 4 * (n + on)").select("key", "no", "okey", "ono")
+    pairs = met.groupBy("key", "row", "no", "okey", "orow", "ono", "n", "on").agg(F.count("*").alias("k"), F.max(F.struct("pos", "opos")).alias("last"))
+    return pairs.where("9 * (k + least(n - last.pos, on - last.opos) - 1) >= 4 * (n + on)").select("key", "row", "no", "okey", "orow", "ono")
 
 
 def similar(pairs: DataFrame, tokens: DataFrame) -> DataFrame:
-    """The later lines ``key, no`` of those pairs ``key, no, okey, ono`` whose token sets are similar."""
-    mine = tokens.select("key", "no", F.col("tokens").alias("t"))
-    theirs = tokens.select(F.col("key").alias("okey"), F.col("no").alias("ono"), F.col("tokens").alias("o"))
-    both = pairs.join(mine, ["key", "no"]).join(theirs, ["okey", "ono"])
+    """The later lines ``key, row, no`` of those pairs ``key, row, no, okey, orow, ono`` whose token sets are similar."""
+    mine = tokens.select("key", "row", "no", F.col("tokens").alias("t"))
+    theirs = tokens.select(F.col("key").alias("okey"), F.col("row").alias("orow"), F.col("no").alias("ono"), F.col("tokens").alias("o"))
+    both = pairs.join(mine, ["key", "row", "no"]).join(theirs, ["okey", "orow", "ono"])
     shared = F.size(F.array_intersect("t", "o"))
-    return both.where(5 * shared >= 4 * (F.size("t") + F.size("o") - shared)).select("key", "no").distinct()
+    return both.where(5 * shared >= 4 * (F.size("t") + F.size("o") - shared)).select("key", "row", "no").distinct()
+
+
+def shared_ids(docs: DataFrame) -> bytes:
+    """For each of a fixed number of hash buckets whether a ``doc_id`` in it has more than one text, as one letter."""
+    ids = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("key"), F.xxhash64("text").alias("h"))
+    several = ids.groupBy("key").agg(F.min("h").alias("a"), F.max("h").alias("b")).where("a <> b")
+    out = bytearray(b"0" * BUCKETS)
+    for row in several.select(F.expr(f"cast(xxhash64(key) & {BUCKETS - 1} as int)").alias("b")).distinct().collect():  # at most BUCKETS rows
+        out[row["b"]] = 49
+    return bytes(out)
 
 
 def keyed_copy(docs: DataFrame) -> DataFrame:
-    """``docs`` with their key, written once to the shared folder in buckets of the key.
+    """``docs`` with their key and row, written once to the shared folder in buckets of both.
 
+    The row tells the texts of one ``doc_id`` apart by their hash, and rows without a ``doc_id`` by a number of
+    their own. It is zero where the ``doc_id`` has one text, but for few that meet a shared one in a hash bucket.
     Three passes join the texts with what is known of their lines; none of them shuffles a text. The
     table stays until :func:`clean_up`.
     """
     spark = docs.sparkSession
     name = f"lines_{uuid4().hex}"
+    flags = F.lit(shared_ids(docs))
     keyed = docs.withColumn(_KEY, F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_KEY)))
-    writer = keyed.write.format("parquet").option("compression", "zstd").option("parquet.block.size", _ROW_GROUP).option("path", f"{shared_dir(spark)}/{name}")
-    writer.bucketBy(partitions(spark), _KEY).saveAsTable(name)
+    spot = F.xxhash64(_KEY).bitwiseAND(F.lit(BUCKETS - 1)).cast("int") + 1
+    shared = F.substring(flags, spot, F.lit(1)).cast("string") == "1"
+    row = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id()).when(shared, F.xxhash64("text")).otherwise(F.lit(0))
+    writer = keyed.withColumn(_ROW, row).write.format("parquet").option("compression", "zstd").option("parquet.block.size", _ROW_GROUP)
+    writer.option("path", f"{shared_dir(spark)}/{name}").bucketBy(partitions(spark), _KEY, _ROW).saveAsTable(name)
     _TABLES.append(name)
     return spark.table(name)
 
@@ -135,54 +152,54 @@ def clean_up(spark: SparkSession) -> None:
 
 
 def repeated_lines(copy: DataFrame) -> DataFrame:
-    """``key, no`` of the lines of :func:`keyed_copy` that go; ``key`` is the ``doc_id``, with nulls before all."""
-    rows = copy.select(F.col(_KEY).alias("key"), text_or_empty().alias("text"))
-    lines = rows.select("key", F.posexplode(F.split("text", "\n")).alias("no", "line"))
+    """``key, row, no`` of the lines of :func:`keyed_copy` that go; ``key`` is the ``doc_id``, with nulls before all."""
+    rows = copy.select(F.col(_KEY).alias("key"), F.col(_ROW).alias("row"), text_or_empty().alias("text"))
+    lines = rows.select("key", "row", F.posexplode(F.split("text", "\n")).alias("no", "line"))
     counts = F.lit(bucket_counts(lines))
 
     # equal lines of five words or more: all places but the first go, the first stands for them
     long_lines = lines.where(F.col("line").rlike(_LONG))
-    places = kept(long_lines.select("key", "no", F.xxhash64("line").alias("h"), F.xxhash64(F.lit("#"), "line").alias("g")))
-    firsts = places.groupBy("h", "g").agg(F.min(F.struct("key", "no")).alias("f"), F.count("*").alias("copies"))
-    copies = places.join(firsts, ["h", "g"]).where("key <> f.key OR no <> f.no").select("key", "no")
+    places = kept(long_lines.select("key", "row", "no", F.xxhash64("line").alias("h"), F.xxhash64(F.lit("#"), "line").alias("g")))
+    firsts = places.groupBy("h", "g").agg(F.min(F.struct("key", "row", "no")).alias("f"), F.count("*").alias("copies"))
+    copies = places.join(firsts, ["h", "g"]).where("key <> f.key OR row <> f.row OR no <> f.no").select("key", "row", "no")
 
-    # the first places' prefixes; a row is three longs: the token, the document, and the line's number, its
-    # size, the token's place and the logarithm of the line's copies in one
+    # the first places' prefixes; a row is five longs: the token, the document's key and row, the line's
+    # number and size, and the token's place and the logarithm of the line's copies
     log_copies = F.floor(F.log2(F.col("copies").cast("double"))).cast("int")
-    wanted = firsts.groupBy(F.col("f.key").alias("key")).agg(F.map_from_entries(F.collect_set(F.struct("f.no", log_copies.alias("c")))).alias("nos"))
-    chosen = rows.join(wanted, "key").select("key", "nos", F.posexplode(F.split("text", "\n")).alias("no", "line"))
-    chosen = chosen.select("key", "no", F.col("nos")[F.col("no")].alias("c"), "line").where("c IS NOT NULL")
-    with_tokens = chosen.select("key", "no", "c", words_of().alias("words")).select("key", "no", "c", shingles_of().alias("s"))
-    with_tokens = with_tokens.withColumn("counts", counts).select("key", "no", "c", tokens_of("s", "counts").alias("tokens"))
+    wanted = firsts.groupBy(F.col("f.key").alias("key"), F.col("f.row").alias("row")).agg(F.map_from_entries(F.collect_set(F.struct("f.no", log_copies.alias("c")))).alias("nos"))
+    chosen = rows.join(wanted, ["key", "row"]).select("key", "row", "nos", F.posexplode(F.split("text", "\n")).alias("no", "line"))
+    chosen = chosen.select("key", "row", "no", F.col("nos")[F.col("no")].alias("c"), "line").where("c IS NOT NULL")
+    with_tokens = chosen.select("key", "row", "no", "c", words_of().alias("words")).select("key", "row", "no", "c", shingles_of().alias("s"))
+    with_tokens = with_tokens.withColumn("counts", counts).select("key", "row", "no", "c", tokens_of("s", "counts").alias("tokens"))
     with_tokens = with_tokens.withColumn("n", F.size("tokens"))
     first_part = F.slice("tokens", F.lit(1), F.expr("n - cast((4 * n + 4) div 5 as int) + 1"))
-    prefixes = with_tokens.select("key", "no", "c", "n", F.posexplode(first_part).alias("pos", "token"))
+    prefixes = with_tokens.select("key", "row", "no", "c", "n", F.posexplode(first_part).alias("pos", "token"))
     line_and_size = F.shiftleft(F.col("no").cast("long"), 32).bitwiseOR(F.col("n").cast("long"))
     place_and_copies = F.shiftleft(F.col("pos").cast("long"), 8).bitwiseOR(F.col("c").cast("long"))
-    packed = prefixes.select("token", "key", line_and_size.alias("x"), place_and_copies.alias("y"))
+    packed = prefixes.select("token", "key", "row", line_and_size.alias("x"), place_and_copies.alias("y"))
     group = Window.partitionBy("token")
-    common = F.max(F.struct(F.expr("y & 255").alias("c"), F.struct("key", "x", "y").alias("p"))).over(group).getField("p")
-    met = packed.withColumn("lines", F.count("*").over(group)).withColumn("early", F.min(F.struct("key", "x", "y")).over(group)).withColumn("common", common)
+    common = F.max(F.struct(F.expr("y & 255").alias("c"), F.struct("key", "row", "x", "y").alias("p"))).over(group).getField("p")
+    met = packed.withColumn("lines", F.count("*").over(group)).withColumn("early", F.min(F.struct("key", "row", "x", "y")).over(group)).withColumn("common", common)
     number, size = "cast(shiftright({0}, 32) as int)", "cast({0} & 4294967295 as int)"
 
     def leader(name: str) -> Column:
-        return F.struct(F.col(name)["key"].alias("key"), F.expr(number.format(f"{name}.x")).alias("no"), F.expr(size.format(f"{name}.x")).alias("n"), F.expr(f"cast(shiftright({name}.y, 8) as int)").alias("pos"))
+        return F.struct(F.col(name)["key"].alias("key"), F.col(name)["row"].alias("row"), F.expr(number.format(f"{name}.x")).alias("no"), F.expr(size.format(f"{name}.x")).alias("n"), F.expr(f"cast(shiftright({name}.y, 8) as int)").alias("pos"))
 
     met = met.where("lines > 1").select(
-        "token", "key", F.expr(number.format("x")).alias("no"), F.expr(size.format("x")).alias("n"), F.expr("cast(shiftright(y, 8) as int)").alias("pos"),
+        "token", "key", "row", F.expr(number.format("x")).alias("no"), F.expr(size.format("x")).alias("n"), F.expr("cast(shiftright(y, 8) as int)").alias("pos"),
         leader("early").alias("early"), leader("common").alias("common"),
     )
     met = kept(met)
-    in_groups = met.groupBy("key").agg(F.collect_set("no").alias("nos"))  # of one document
-    compared = rows.join(in_groups, "key").select("key", "nos", F.posexplode(F.split("text", "\n")).alias("no", "line")).where("array_contains(nos, no)")
-    compared = compared.select("key", "no", words_of().alias("words")).select("key", "no", shingles_of().alias("s"))
-    tokens = kept(compared.withColumn("counts", counts).select("key", "no", tokens_of("s", "counts").alias("tokens")), "key", "no")
+    in_groups = met.groupBy("key", "row").agg(F.collect_set("no").alias("nos"))  # of one document
+    compared = rows.join(in_groups, ["key", "row"]).select("key", "row", "nos", F.posexplode(F.split("text", "\n")).alias("no", "line")).where("array_contains(nos, no)")
+    compared = compared.select("key", "row", "no", words_of().alias("words")).select("key", "row", "no", shingles_of().alias("s"))
+    tokens = kept(compared.withColumn("counts", counts).select("key", "row", "no", tokens_of("s", "counts").alias("tokens")), "key", "row", "no")
 
-    leaders = met.select("key", "no", "n", "pos", F.explode(F.array_distinct(F.array("early", "common"))).alias("o"))
-    leaders = leaders.select("key", "no", "n", "pos", "o.*").toDF("key", "no", "n", "pos", "okey", "ono", "on", "opos")
+    leaders = met.select("key", "row", "no", "n", "pos", F.explode(F.array_distinct(F.array("early", "common"))).alias("o"))
+    leaders = leaders.select("key", "row", "no", "n", "pos", "o.*").toDF("key", "row", "no", "n", "pos", "okey", "orow", "ono", "on", "opos")
     led = durable(similar(candidates(leaders.where(later("", "o") + " AND " + may_match("", "o"))), tokens))
-    rest = met.join(led, ["key", "no"], "left_anti").select("token", "key", "no", "n", "pos")
-    others = met.select("token", *(F.col(c).alias("o" + c) for c in ("key", "no", "n", "pos")))
+    rest = met.join(led, ["key", "row", "no"], "left_anti").select("token", "key", "row", "no", "n", "pos")
+    others = met.select("token", *(F.col(c).alias("o" + c) for c in ("key", "row", "no", "n", "pos")))
     pairs = rest.join(others, F.expr(f"{later('', 'o')} AND {may_match('', 'o')}") & (rest["token"] == others["token"]))
     found = similar(candidates(pairs), tokens)
     return copies.union(led).union(found).distinct()
@@ -192,13 +209,13 @@ def remove_lines(docs: DataFrame) -> DataFrame:
     """``docs`` with all its columns, its texts without their repeated lines, and ``_n_lines``, ``_n_removed``.
 
     Lines are what ``\\n`` separates. Lines with fewer than five words always stay. A null text stays null
-    and has no lines. Rows that repeat a ``doc_id`` count as one document, whose equal line numbers don't
-    remove each other; rows without a ``doc_id`` stand before all others. An empty table gives an
+    and has no lines. Rows of one ``doc_id`` with different texts are different documents, ordered by a
+    hash; equal rows count as one document. Rows without a ``doc_id`` are each a document and stand before all others. An empty table gives an
     empty result.
     """
     copy = keyed_copy(docs)
-    gone = repeated_lines(copy).groupBy(F.col("key").alias(_KEY)).agg(F.collect_set("no").alias("_gone"))  # of one document
-    found = copy.join(gone, _KEY, "left")
+    gone = repeated_lines(copy).groupBy(F.col("key").alias(_KEY), F.col("row").alias(_ROW)).agg(F.collect_set("no").alias("_gone"))  # of one document
+    found = copy.join(gone, [_KEY, _ROW], "left")
     lines = F.split(F.col("text").cast("string"), "\n")
     kept = F.when(F.col("_gone").isNull(), F.col("text").cast("string")).otherwise(
         F.array_join(F.filter(lines, lambda _, i: ~F.array_contains(F.col("_gone"), i)), "\n")

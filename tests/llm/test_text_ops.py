@@ -378,6 +378,19 @@ def test_lines(spark, docs, empty):
     linededup.clean_up(spark)
 
 
+def test_lines_of_rows_that_share_an_id(spark):
+    line = lambda i: " ".join(f"{c}{i}" for c in "abcdefgh")
+    rows = [(None, f"{line(0)}\n{line(1)}"), (None, f"{line(0)}\n{line(2)}"), (None, f"{line(3)}\n{line(1)}"), (None, line(0))]
+    rows += [(7, f"{line(4)}\n{line(5)}"), (7, f"{line(6)}\n{line(5)}"), (8, f"{line(4)}\n{line(7)}"), (8, f"{line(8)}\n{line(9)}"), (8, line(8)), (9, line(9))]
+    got = linededup.remove_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    left = Counter(x for r in got for x in r["text"].split("\n") if x)
+    assert left == Counter(line(i) for i in range(10))  # each line stays once, none goes with another row's
+    assert sum(r["_n_removed"] for r in got) == 7
+    mine = {r["doc_id"]: r["text"] for r in got if r["doc_id"] in (9,)}
+    assert mine == {9: ""} and line(4) in " ".join(r["text"] for r in got if r["doc_id"] == 7)
+    linededup.clean_up(spark)
+
+
 def test_pipeline(spark, tmp_path):
     import corpus_pipeline
 
