@@ -32,8 +32,8 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that an earlier line is similar to."""
-    return _count_chars(linededup.remove_lines(docs).select(*docs.columns))
+    """Documents without the lines that an earlier line is similar to, short lines among them."""
+    return _count_chars(linededup.remove_lines(docs, short=True).select(*docs.columns))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

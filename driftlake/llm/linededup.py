@@ -151,22 +151,31 @@ def clean_up(spark: SparkSession) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def repeated_lines(copy: DataFrame) -> DataFrame:
-    """``key, row, no`` of the lines of :func:`keyed_copy` that go; ``key`` is the ``doc_id``, with nulls before all."""
+def repeated_lines(copy: DataFrame, short: bool = False) -> DataFrame:
+    """``key, row, no`` of the lines of :func:`keyed_copy` that go; ``key`` is the ``doc_id``, with nulls before all.
+
+    With ``short`` a line of one to four words has all its words as its one token. Such lines are similar only
+    where their words are equal, so that the step for equal lines settles them.
+    """
     rows = copy.select(F.col(_KEY).alias("key"), F.col(_ROW).alias("row"), text_or_empty().alias("text"))
     lines = rows.select("key", "row", F.posexplode(F.split("text", "\n")).alias("no", "line"))
     counts = F.lit(bucket_counts(lines))
 
-    # equal lines of five words or more: all places but the first go, the first stands for them
-    long_lines = lines.where(F.col("line").rlike(_LONG))
-    places = kept(long_lines.select("key", "row", "no", F.xxhash64("line").alias("h"), F.xxhash64(F.lit("#"), "line").alias("g")))
-    firsts = places.groupBy("h", "g").agg(F.min(F.struct("key", "row", "no")).alias("f"), F.count("*").alias("copies"))
-    copies = places.join(firsts, ["h", "g"]).where("key <> f.key OR row <> f.row OR no <> f.no").select("key", "row", "no")
+    # equal lines: all places but the first go, the first stands for them
+    is_long = F.col("line").rlike(_LONG)
+    if short:
+        same = F.when(is_long, F.col("line")).otherwise(F.array_join(words_of(), " "))
+        chosen_lines = lines.select("key", "row", "no", is_long.alias("long"), same.alias("line")).where("line <> ''")
+    else:
+        chosen_lines = lines.where(is_long).withColumn("long", F.lit(True))
+    places = kept(chosen_lines.select("key", "row", "no", "long", F.xxhash64("line").alias("h"), F.xxhash64(F.lit("#"), "line").alias("g")))
+    firsts = places.groupBy("h", "g", "long").agg(F.min(F.struct("key", "row", "no")).alias("f"), F.count("*").alias("copies"))
+    copies = places.join(firsts, ["h", "g", "long"]).where("key <> f.key OR row <> f.row OR no <> f.no").select("key", "row", "no")
 
     # the first places' prefixes; a row is five longs: the token, the document's key and row, the line's
     # number and size, and the token's place and the logarithm of the line's copies
     log_copies = F.floor(F.log2(F.col("copies").cast("double"))).cast("int")
-    wanted = firsts.groupBy(F.col("f.key").alias("key"), F.col("f.row").alias("row")).agg(F.map_from_entries(F.collect_set(F.struct("f.no", log_copies.alias("c")))).alias("nos"))
+    wanted = firsts.where("long").groupBy(F.col("f.key").alias("key"), F.col("f.row").alias("row")).agg(F.map_from_entries(F.collect_set(F.struct("f.no", log_copies.alias("c")))).alias("nos"))
     chosen = rows.join(wanted, ["key", "row"]).select("key", "row", "nos", F.posexplode(F.split("text", "\n")).alias("no", "line"))
     chosen = chosen.select("key", "row", "no", F.col("nos")[F.col("no")].alias("c"), "line").where("c IS NOT NULL")
     with_tokens = chosen.select("key", "row", "no", "c", words_of().alias("words")).select("key", "row", "no", "c", shingles_of().alias("s"))
@@ -205,16 +214,17 @@ def repeated_lines(copy: DataFrame) -> DataFrame:
     return copies.union(led).union(found).distinct()
 
 
-def remove_lines(docs: DataFrame) -> DataFrame:
+def remove_lines(docs: DataFrame, short: bool = False) -> DataFrame:
     """``docs`` with all its columns, its texts without their repeated lines, and ``_n_lines``, ``_n_removed``.
 
-    Lines are what ``\\n`` separates. Lines with fewer than five words always stay. A null text stays null
+    Lines are what ``\\n`` separates. Lines with fewer than five words stay, as ``OP10_SQL`` has it; with ``short``
+    only blank ones do, and those of one to four words go where an earlier line has the same words. A null text stays null
     and has no lines. Rows of one ``doc_id`` with different texts are different documents, ordered by a
     hash; equal rows count as one document. Rows without a ``doc_id`` are each a document and stand before all others. An empty table gives an
     empty result.
     """
     copy = keyed_copy(docs)
-    gone = repeated_lines(copy).groupBy(F.col("key").alias(_KEY), F.col("row").alias(_ROW)).agg(F.collect_set("no").alias("_gone"))  # of one document
+    gone = repeated_lines(copy, short).groupBy(F.col("key").alias(_KEY), F.col("row").alias(_ROW)).agg(F.collect_set("no").alias("_gone"))  # of one document
     found = copy.join(gone, [_KEY, _ROW], "left")
     lines = F.split(F.col("text").cast("string"), "\n")
     kept = F.when(F.col("_gone").isNull(), F.col("text").cast("string")).otherwise(

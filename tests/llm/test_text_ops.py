@@ -391,6 +391,28 @@ def test_lines_of_rows_that_share_an_id(spark):
     linededup.clean_up(spark)
 
 
+def test_short_lines(spark, docs):
+    def gone_of(rows):
+        seen, gone = [], set()
+        for i, no, line in sorted((i, no, line) for i, r in enumerate(rows) for no, line in enumerate((r[1] or "").split("\n"))):
+            words = tuple(re.findall(r"[^\x20\x09\x0B-\x0D]+", line))
+            tokens = {words[k : k + 5] for k in range(max(1, len(words) - 4))} if words else set()
+            if any(5 * len(tokens & s) >= 4 * len(tokens | s) for s in seen) and tokens:
+                gone.add((i, no))
+            seen.append(tokens)
+        return gone
+
+    import corpus_pipeline
+
+    rows = [(1, "Home\n\nAll rights reserved\na b c d e"), (2, " Home \n\nall rights reserved\na b c d"), (3, "All  rights\treserved\nHome page\n\na b c d\na b c d e"), (4, "Home\nHome"), (5, None)]
+    for source in (rows, [r[:2] for r in make_docs()[:69]]):
+        gone = gone_of(source)
+        table = spark.createDataFrame(source, "doc_id long, text string").withColumn("n_chars", F.lit(0))
+        got = {r["doc_id"]: r["text"] for r in corpus_pipeline.drop_lines(spark, table, "").collect()}
+        assert got == {r[0]: None if r[1] is None else "\n".join(x for no, x in enumerate(r[1].split("\n")) if (i, no) not in gone) for i, r in enumerate(source)}
+    linededup.clean_up(spark)
+
+
 def test_pipeline(spark, tmp_path):
     import corpus_pipeline
 
