@@ -12,14 +12,13 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftlake.llm import linededup, pack, pii, quality, simhash
+from driftlake.llm import linededup, neardup, pack, pii, quality
 from driftlake.llm.common import shared_dir, table
 
 #: DuckDB cannot express the trained stages; tests hold the pipeline against brute force.
 ORACLE_SQL = None
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
-_NO_KEY = -(1 << 63)
 
 
 def _count_chars(docs: DataFrame) -> DataFrame:
@@ -37,12 +36,8 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, the one of least ``doc_id``; rows without one stay."""
-    groups = simhash.near_duplicates(docs)
-    kept = groups.where("doc_id = component_id").select(F.col("doc_id").alias("_key")).distinct()
-    kept = kept.union(spark.range(1).select(F.lit(_NO_KEY).alias("_key")))
-    keyed = docs.withColumn("_key", F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_KEY)))
-    return keyed.join(kept, "_key", "left_semi").select(*docs.columns)
+    """One row of each group of near copies, five-word shingles and Jaccard similarity 0.8: that of least ``doc_id``."""
+    return neardup.keep_one(docs)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from driftlake.llm import bpe, embed, linededup, materialise, pack, pii, quality, shard, simhash, substring, tokens
+from driftlake.llm import bpe, embed, linededup, materialise, neardup, pack, pii, quality, shard, simhash, substring, tokens
 
 SCHEMA = "doc_id long, text string, lang string, Text2 string, slot string"
 #: Nulls, empty and long texts, repeated rows, near copies, columns that clash with what operators add.
@@ -413,6 +413,39 @@ def test_short_lines(spark, docs):
     linededup.clean_up(spark)
 
 
+def near_groups(rows):
+    """Brute force: a root for each row's text, by the Jaccard similarity of whole shingle sets."""
+    sets = []
+    for r in rows:
+        words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), r[1] or ""))
+        sets.append({tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))} if words else {()})
+    return components(len(rows), [(i, j) for i in range(len(rows)) for j in range(i) if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])])
+
+
+def test_near_copies(spark, empty):
+    import corpus_pipeline
+
+    rng = random.Random(11)
+    texts = []
+    for g in range(25):
+        base = [f"w{rng.randint(0, 5000)}" for _ in range(rng.choice([4, 12, 60, 200]))]
+        texts.append(" ".join(base))
+        for _ in range(rng.randint(0, 5)):  # from a chain of copies, each a few words away from the last
+            for _ in range(rng.randint(0, 1 + len(base) // 40)):
+                base[rng.randrange(len(base))] = f"v{rng.randint(0, 5000)}"
+            texts.append((" ".join(base)).upper() if rng.random() < 0.2 else "  ".join(base))
+    texts += ["", None, " \n ", "one two", "One  two", "one"]
+    many = " ".join(f"m{i}" for i in range(100))
+    texts += [many.replace(f"m{i} ", f"x{i} ") for i in range(1, 40)]  # a large group
+    rng.shuffle(texts)
+    rows = [(i, t) for i, t in enumerate(texts)]
+    roots = near_groups(rows)
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = [r["doc_id"] for r in corpus_pipeline.drop_near_copies(spark, table, "").collect()]
+    assert sorted(kept) == sorted({r: min(i for i in range(len(rows)) if roots[i] == r) for r in roots}.values())
+    assert corpus_pipeline.drop_near_copies(spark, empty, "").count() == 0
+
+
 def test_pipeline(spark, tmp_path):
     import corpus_pipeline
 
