@@ -446,6 +446,18 @@ def test_near_copies(spark, empty):
     assert corpus_pipeline.drop_near_copies(spark, empty, "").count() == 0
 
 
+def test_near_copies_keep_one_row(spark, monkeypatch):
+    import corpus_pipeline
+
+    a, b, c = (" ".join(f"{x}{i}" for i in range(30)) for x in "abc")
+    rows = [(5, a), (5, a), (5, b), (6, b), (None, c), (None, c + " tail"), (None, a), (9, c), (None, None), (None, "")]
+    for few in (neardup.FEW, -1):
+        monkeypatch.setattr(neardup, "FEW", few)
+        table = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+        kept = [(r["doc_id"], r["text"] or "") for r in corpus_pipeline.drop_near_copies(spark, table, "").collect()]
+        assert Counter(kept) == Counter([(5, a), (5, b), (9, c), (None, "")])
+
+
 def test_pipeline(spark, tmp_path):
     import corpus_pipeline
 
