@@ -260,13 +260,13 @@ def sensor_summary(df: DataFrame, file: list[str], at: str, sensors: list[str],
     )
 
 
-def holdout(anchors: DataFrame, by: list[str], fraction: float = 0.2, least: int = 50) -> DataFrame:
+def holdout(anchors: DataFrame, by: list[str], fraction: float = 0.2, least: int = 50, seed: int = 42) -> DataFrame:
     """``anchors`` with ``is_test``, a split by a hash of ``unix`` that needs no shuffle of rows.
 
     Series with fewer than ``least`` anchors have no test rows.
     """
     size = anchors.groupBy(*by).agg(F.count("*").alias("_n"))
-    picked = F.pmod(F.xxhash64("unix"), F.lit(10_000)) < int(10_000 * fraction)
+    picked = F.pmod(F.xxhash64(F.lit(seed), "unix"), F.lit(10_000)) < int(10_000 * fraction)
     return anchors.join(size, by).withColumn("is_test", picked & (F.col("_n") >= least)).drop("_n")
 
 

@@ -45,10 +45,20 @@ def correct(rows: DataFrame, anchors: DataFrame, settings: Settings = Settings()
 
 def validate(aligned: DataFrame, anchors: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Anchors with the nearest corrected row within the tolerance, and the errors there."""
+    return _errors_at(aligned, anchors, settings, strict=False)
+
+
+def validate_holdout(aligned: DataFrame, anchors: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """The same at the test rows of the hold-out split alone, where the tolerance itself is excluded."""
+    split = stats.holdout(anchors, BY, settings.holdout_fraction, settings.min_anchors_for_holdout, settings.holdout_seed)
+    return _errors_at(aligned, split.where("is_test"), settings, strict=True)
+
+
+def _errors_at(aligned: DataFrame, anchors: DataFrame, settings: Settings, strict: bool) -> DataFrame:
     probes = anchors.select(*BY, "unix", "received")
     rows = aligned.select(*BY, "aligned", "rtc", "confidence", "position", "concat_group_id")
     width = 7 * 86_400 * SECOND
-    found = matching.nearest(probes, rows, BY, "received", "aligned", settings.direct_tolerance_s * SECOND, width=width).where("match IS NOT NULL")
+    found = matching.nearest(probes, rows, BY, "received", "aligned", settings.direct_tolerance_s * SECOND, strict, width).where("match IS NOT NULL")
     return stats.errors(found.select(*BY, "unix", "received", "match.*"))
 
 
@@ -77,6 +87,7 @@ def run(spark: SparkSession, devices: dict[str, tuple[str, str]], out: str, sett
             writers.write_table(result.segments, f"{base}/segments", "csv")
             writers.write_table(result.manifest, f"{base}/manifest", "csv")
             writers.write_table(validate(result.aligned, anchors, settings), f"{base}/direct_validation", "csv")
+            writers.write_table(validate_holdout(result.aligned, anchors, settings), f"{base}/holdout_validation", "csv")
             files = writers.write_hourly(result.spread, f"{base}/hourly", settings.local_zone)
             report = result.aligned.agg(F.count("*").alias("rows"), F.avg("confidence").alias("mean_confidence"), F.avg("drift_seconds").alias("mean_drift_seconds"))
             reports[device] = {"status": "ok", "files": files} | writers.write_report(report, f"{base}/summary")

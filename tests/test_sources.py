@@ -91,6 +91,20 @@ def test_whole_run(spark, tmp_path):
     assert tables.list_files(spark, str(out / "A" / "hourly")).where("file_name = '25060113.TXT'").count() == 1
 
 
+def test_holdout_validation(spark):
+    marks = [("A", 60 * i, 60_000_000 * i + 1_000_000) for i in range(1000)] + [("B", 60 * i, 60_000_000 * i) for i in range(49)]
+    anchors = spark.createDataFrame(marks, "device_id string, unix long, received long")
+    late = {("A", 60 * i): 30_000_000 - i % 2 for i in range(1000)}  # at the tolerance, or just within
+    rows = [(d, r + late.get((d, u), 0), u * 1_000_000, 0.9, 1, u) for d, u, r in marks]
+    aligned = spark.createDataFrame(rows, "device_id string, aligned long, rtc long, confidence double, position int, concat_group_id long")
+    test = correct.stats.holdout(anchors, ["device_id"]).where("is_test").collect()
+    assert {r["device_id"] for r in test} == {"A"} and 150 < len(test) < 250
+    got = correct.validate_holdout(aligned, anchors, Settings()).collect()
+    assert {r["unix"] for r in got} == {r["unix"] for r in test if r["unix"] // 60 % 2}
+    assert correct.validate(aligned, anchors, Settings()).count() > 1000
+    assert correct.validate_holdout(aligned, anchors, Settings(min_anchors_for_holdout=1001)).count() == 0
+
+
 def test_live_segments(spark, tmp_path):
     from driftlake.streaming.live import live_segments
 
