@@ -29,6 +29,7 @@ _TRIGGER = re.compile("[0-9@]")
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]*")
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
+_QUAD = re.compile(r"[0-9]+(?:\.[0-9]+){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
@@ -50,7 +51,8 @@ def luhn(number: str) -> bool:
 
 
 def octets(text: str) -> bool:
-    return all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or 0) <= 255 for p in text.split("."))
+    """Whether the text is four runs of digits, a point apart, of at most 255 each."""
+    return bool(_QUAD.fullmatch(text)) and all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or 0) <= 255 for p in text.split("."))
 
 
 def _emails(text: str) -> Iterator[tuple[int, int]]:
@@ -112,7 +114,7 @@ def plausible(span: str) -> list[str]:
         out.append("email")
     if "@" in span or re.search("[A-Za-z_%]", span):
         return out
-    if n >= 4 and span.count(".") == 3 and " " not in span and span[0].isdigit() and span[-1].isdigit():
+    if _QUAD.fullmatch(span):
         out.append("ip")
     if 12 <= n <= 20 and span[0].isdigit() and not re.search("[().+]", span):
         out.append("card")
@@ -142,28 +144,31 @@ def span_features(text: str, start: int, end: int, kind: str) -> list[str]:
 
 
 class Region:
-    """The atoms of a region and its candidate segments with their features."""
+    """The atoms of a region and its candidate segments, whose features are made when asked for."""
 
     def __init__(self, text: str, start: int, end: int):
+        self.text = text
         self.cuts = [start + m.start() for m in _ATOM.finditer(text[start:end])] + [end]
-        self.by_end: list[list[tuple[int, str, list[str]]]] = [[] for _ in self.cuts]
-        for i, a in enumerate(self.cuts[:-1]):
-            if text[a] in ") @":
-                continue
-            for j in range(i + 1, min(i + MAX_ATOMS, len(self.cuts) - 1) + 1):
-                z = self.cuts[j]
-                if z - a > MAX_CHARS or not _INSIDE.fullmatch(text, self.cuts[j - 1], z):
-                    break
-                if text[z - 1].isalnum():
-                    for kind in plausible(text[a:z]):
-                        self.by_end[j].append((i, kind, span_features(text, a, z, kind)))
+
+    def ending_at(self, j: int) -> Iterator[tuple[int, str, list[str]]]:
+        """The first atom, kind and features of every candidate that ends before atom ``j``; long spans come last."""
+        text, z = self.text, self.cuts[j]
+        if not text[z - 1].isalnum():
+            return
+        for i in range(j - 1, max(j - MAX_ATOMS, 0) - 1, -1):
+            a = self.cuts[i]
+            if z - a > MAX_CHARS or not _INSIDE.fullmatch(text, a, self.cuts[i + 1]):
+                return
+            if text[a] not in ") @":
+                for kind in plausible(text[a:z]):
+                    yield i, kind, span_features(text, a, z, kind)
 
     def best(self, weights: dict[str, float]) -> list[Span]:
-        """The segmentation with the greatest score."""
+        """The segmentation with the greatest score; of equal ones that with single atoms, then shorter spans, last."""
         top = [(0.0, -1, "")]
         for j in range(1, len(self.cuts)):
             choice = (top[j - 1][0], j - 1, "")
-            for i, kind, names in self.by_end[j]:
+            for i, kind, names in self.ending_at(j):
                 score = top[i][0] + sum(weights.get(n, 0.0) for n in names)
                 if score > choice[0]:
                     choice = (score, i, kind)
@@ -176,13 +181,17 @@ class Region:
             j = i
         return out[::-1]
 
-    def gradient(self, weights: dict[str, float], gold: set[Span], out: dict[str, float]) -> None:
-        """Add observed less expected feature counts, by the forward-backward sums over segmentations."""
+    def candidates(self) -> list[list[tuple[int, str, list[str]]]]:
+        """:meth:`ending_at` for every end, for training on short regions."""
+        return [[], *(list(self.ending_at(j)) for j in range(1, len(self.cuts)))]
+
+    def gradient(self, by_end: list, weights: dict[str, float], gold: set[Span], out: dict[str, float]) -> None:
+        """Add observed less expected feature counts, by the forward-backward sums over segmentations of :meth:`candidates`."""
         n = len(self.cuts)
-        scores = [[sum(weights.get(x, 0.0) for x in names) for _, _, names in ends] for ends in self.by_end]
+        scores = [[sum(weights.get(x, 0.0) for x in names) for _, _, names in ends] for ends in by_end]
         forward = [0.0] * n
         for j in range(1, n):
-            terms = [forward[j - 1], *(forward[c[0]] + s for c, s in zip(self.by_end[j], scores[j], strict=True))]
+            terms = [forward[j - 1], *(forward[c[0]] + s for c, s in zip(by_end[j], scores[j], strict=True))]
             top = max(terms)
             forward[j] = top + math.log(sum(math.exp(t - top) for t in terms))
         backward = [-math.inf] * n
@@ -194,10 +203,10 @@ class Region:
 
         for j in range(n - 1, 0, -1):
             backward[j - 1] = add(backward[j - 1], backward[j])
-            for (i, _, _), s in zip(self.by_end[j], scores[j], strict=True):
+            for (i, _, _), s in zip(by_end[j], scores[j], strict=True):
                 backward[i] = add(backward[i], backward[j] + s)
         for j in range(1, n):
-            for (i, kind, names), s in zip(self.by_end[j], scores[j], strict=True):
+            for (i, kind, names), s in zip(by_end[j], scores[j], strict=True):
                 share = ((kind, self.cuts[i], self.cuts[j]) in gold) - math.exp(forward[i] + s + backward[j] - forward[-1])
                 if abs(share) > 1e-4:
                     for x in names:
@@ -221,8 +230,14 @@ def _variants(text: str, spans: list[Span], rng: random.Random) -> list[tuple[st
     return out
 
 
-def train(docs: DataFrame, max_docs: int = 4000, max_regions: int = 1200, rounds: int = 12) -> dict[str, float]:
-    """Feature weights from regions of at most ``max_docs`` documents, the first by a hash of their id."""
+def train(docs: DataFrame, max_docs: int = 4000, max_regions: int = 1200, max_length: int = 400, rounds: int = 12) -> dict[str, float]:
+    """Feature weights from a bounded sample.
+
+    It has at most ``max_regions`` different regions, the first by a hash of their text, of at most ``max_length``
+    characters, from at most ``max_docs`` documents, the first by a hash of their id. Regions of any length are
+    searched. Null texts and rows without a ``doc_id`` teach nothing; repeated rows count once; only ``doc_id`` and
+    ``text`` are read. Without regions, as in an empty table, there are no weights, and the field then adds nothing.
+    """
     small_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     chosen = rows.select("doc_id").where("doc_id IS NOT NULL").distinct().orderBy(F.xxhash64("doc_id", F.lit(3)), "doc_id").limit(max_docs)
@@ -232,7 +247,7 @@ def train(docs: DataFrame, max_docs: int = 4000, max_regions: int = 1200, rounds
         for batch in batches:
             found = set()
             for text in batch.column(1).to_pylist():
-                found.update((text or "")[max(0, a - 12) : b + 12] for a, b in regions(text or "") if b - a <= 400)
+                found.update((text or "")[max(0, a - 12) : b + 12] for a, b in regions(text or "") if b - a <= max_length)
             yield pa.RecordBatch.from_arrays([pa.array(sorted(found), pa.string())], ["region"])
 
     got = sample.mapInArrow(run, "region string").distinct().orderBy(F.xxhash64("region"), "region").limit(max_regions)
@@ -240,14 +255,14 @@ def train(docs: DataFrame, max_docs: int = 4000, max_regions: int = 1200, rounds
     rng = random.Random(7)
     examples += [v for text, spans in examples for v in _variants(text, spans, rng)]
     cut = [(Region(text, a, b), set(spans)) for text, spans in examples for a, b in regions(text)]
-    cut = [x for x in cut if any(x[0].by_end)]
+    cut = [(region, by_end, gold) for region, gold in cut if any(by_end := region.candidates())]
     weights: dict[str, float] = defaultdict(float)
     for i in range(rounds):
         rate = 0.5 / (1 + 0.3 * i)
         rng.shuffle(cut)
-        for region, gold in cut:
+        for region, by_end, gold in cut:
             change: dict[str, float] = defaultdict(float)
-            region.gradient(weights, gold, change)
+            region.gradient(by_end, weights, gold, change)
             for name, g in change.items():
                 weights[name] += rate * (g - 1e-3 * weights[name])
     return dict(weights)
@@ -302,7 +317,11 @@ def find(docs: DataFrame, weights: dict[str, float]) -> DataFrame:
 
 
 def mask(docs: DataFrame, weights: dict[str, float]) -> DataFrame:
-    """``docs`` with all its columns and every span of its texts replaced by its kind; null texts stay null."""
+    """``docs`` with all its columns and every span of its texts replaced by its kind.
+
+    Null texts stay null, empty ones empty; repeated rows are masked alike; other columns, whatever their names, stay as
+    they are; an empty table gives an empty result.
+    """
     small_batches(docs.sparkSession)
 
     @F.pandas_udf("string")
