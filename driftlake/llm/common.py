@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 import tempfile
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: White space of the word contracts: space, tab, LF, VT, FF, CR.
 ASCII_SPACE = "\t\n\x0b\x0c\r "
+#: Bytes that a writer of intermediate tables holds before it writes a group of rows.
+_ROW_GROUP = 8 << 20
+#: Paths of intermediate tables that results may still read, and whether the catalog knows them.
+_HELD: list[tuple[str, bool]] = []
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,25 +27,60 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the cluster's shared folder.
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share, which ``spark.checkpoint.dir`` of the session names.
 
-    ``spark.checkpoint.dir`` of the session names the folder. A local one is set only where the
-    session names none, as in tests. The files go when Spark's cleaner sees that nothing reads them.
+    A local one is set only where a local session names none, as in tests.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-"))
-    return df.checkpoint()
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if named is None and not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoints-"))
+    return context.getCheckpointDir()
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-"))
-    return context.getCheckpointDir()
+def durable(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` by way of a compressed table in the shared folder: its lineage ends there, whatever executors are lost.
+
+    With ``keys`` its rows lie in buckets of them, so that joins on the keys need not shuffle it. The table
+    stays until :func:`release`.
+    """
+    spark, name = df.sparkSession, f"held_{uuid4().hex}"
+    path, options = f"{shared_dir(spark)}/{name}", {"compression": "zstd", "parquet.block.size": _ROW_GROUP}
+    _HELD.append((path, bool(keys)))
+    if keys:
+        df.write.format("parquet").options(**options).option("path", path).bucketBy(partitions(spark), *keys).saveAsTable(name)
+        return spark.table(name)
+    df.write.options(**options).parquet(path)
+    return spark.read.parquet(path)
+
+
+def mark() -> int:
+    """Where the tables made from now on begin, for :func:`release`."""
+    return len(_HELD)
+
+
+def release(spark: SparkSession, since: int = 0, but: int = 0) -> None:
+    """Remove the tables made since :func:`mark`, all but the last ``but``; nothing may read them any more.
+
+    A driver that dies leaves its tables behind, all named ``held_...``.
+    """
+    for path, named in _HELD[since : len(_HELD) - but]:
+        if named:
+            spark.sql(f"DROP TABLE IF EXISTS {path.rpartition('/')[2]}")
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    del _HELD[since : len(_HELD) - but]
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores as it takes to clash with no column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def text_or_empty(name: str = "text") -> Column:

@@ -1,9 +1,10 @@
 """Line dedup by an exact set-similarity join, in DataFrame operations alone.
 
 A line's tokens are its distinct five-word shingles, ordered by rarity: by the logarithm of the count of the
-shingle's hash bucket over the whole corpus, then by hash. Two lines whose Jaccard similarity is at
-least 4/5 share a token among the first n - ceil(4n/5) + 1 of each, so only these prefixes are joined;
-length and positional filters drop pairs before their token sets are compared. Equal lines are one
+shingle's hash bucket over the whole corpus, then by hash. A line of one to four words has all its words as its one
+token; a line without words has none and stays. Two lines whose Jaccard similarity is at least 4/5 share a token
+among the first n - ceil(4n/5) + 1 of the longer and the first n - ceil(8n/9) + 1 of the shorter, so only these prefixes
+are joined; length and positional filters drop pairs before their token sets are compared. Equal lines are one
 node from the start, named by their first place. A line goes if any earlier line, by ``doc_id``, row and line
 number, is similar to it, kept or not. To know that, not all pairs are needed: each line first meets
 the earliest and the most copied line of its prefix tokens' groups, and only lines that match neither
@@ -13,55 +14,58 @@ are joined with all earlier lines of their groups.
 from __future__ import annotations
 
 import math
-from uuid import uuid4
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from driftlake.llm.common import durable, partitions, shared_dir, text_or_empty
+from driftlake.llm.common import durable, free_name, mark, partitions, release, text_or_empty
 
 SHINGLE = 5
 BUCKETS = 1 << 16
+#: Tokens of buckets with so many times the mean count are grouped by partial aggregates and a join instead of a window.
+HOT = 16
 _NO_KEY = -(1 << 63)
-#: A line with at least five words.
-_LONG = rf"^[ \t\x0b\f\r]*(?:[^ \t\x0b\f\r]++[ \t\x0b\f\r]++){{{SHINGLE - 1}}}[^ \t\x0b\f\r]"
-_KEY = "_dedup_key"
-_ROW = "_dedup_row"
-#: Bytes that a writer holds before it writes a group of rows.
-_ROW_GROUP = 8 << 20
-_TABLES: list[str] = []
-_PATHS: list[str] = []
+#: A line with a word, and one with at least five, once other white space is spaces.
+_SOME, _LONG = "[^ ]", rf"^ *(?:[^ ]++ ++){{{SHINGLE - 1}}}[^ ]"
+_PLACE = ["key", "row", "no"]
+
+
+def spaced(text: Column) -> Column:
+    """The text with spaces for tab, VT, FF and CR."""
+    return F.when(text.rlike("[\t\x0b\f\r]"), F.translate(text, "\t\x0b\x0c\r", "    ")).otherwise(text)
 
 
 def words_of(line: str = "line") -> Column:
-    """The words of a line: runs without space, tab, VT, FF or CR."""
-    return F.array_remove(F.split(F.translate(line, "\t\x0b\x0c\r", "    "), " "), "")
+    """The words of a line of :func:`spaced` text."""
+    return F.array_remove(F.split(line, " "), "")
 
 
-def _shingle(i: str) -> str:
-    return "xxhash64(" + ", ".join(f"get(words, {i} + {k})" for k in range(SHINGLE)) + ")"
+def _runs(words: str = "words") -> str:
+    """All runs of five of the words, as structures; none for shorter lines."""
+    return "arrays_zip(" + ", ".join(f"slice({words}, {k + 1}, greatest(size({words}), {SHINGLE - 1}) - {SHINGLE - 1})" for k in range(SHINGLE)) + ")"
 
 
-def shingles_of() -> Column:
-    """One hash for each run of five of ``words``; none for shorter lines."""
-    return F.expr(f"transform(sequence(0, greatest(size(words), {SHINGLE}) - {SHINGLE}), i -> {_shingle('i')})")
+def bucket_counts(lines: DataFrame) -> list[int]:
+    """For each of a fixed number of hash buckets the count of its shingles over all lines."""
+    words = lines.where(F.col("line").rlike(_LONG)).select(words_of().alias("words"))
+    runs = words.select(F.expr(f"inline({_runs()})")).toDF(*(f"w{k}" for k in range(SHINGLE)))
+    bucket = F.xxhash64(*runs.columns).bitwiseAND(F.lit(BUCKETS - 1)).cast("int").alias("b")
+    out = [0] * BUCKETS
+    for row in runs.groupBy(bucket).count().collect():  # at most BUCKETS rows
+        out[row["b"]] = row["count"]
+    return out
 
 
-def bucket_counts(lines: DataFrame) -> bytes:
-    """For each of a fixed number of hash buckets the logarithm of its shingles' count, as one letter."""
-    spots = lines.select(words_of().alias("words")).where(f"size(words) >= {SHINGLE}")
-    spots = spots.select("words", F.explode(F.expr(f"sequence(0, size(words) - {SHINGLE})")).alias("i"))
-    counts = spots.groupBy(F.expr(f"cast({_shingle('i')} & {BUCKETS - 1} as int)").alias("b")).count()
-    out = bytearray(b"0" * BUCKETS)
-    for row in counts.collect():  # at most BUCKETS rows
-        out[row["b"]] = 48 + min(75, int(4 * math.log2(row["count"])))
-    return bytes(out)
+def rank(count: int) -> int:
+    """The logarithm of a bucket's count, as the code of a letter."""
+    return 48 + min(75, int(4 * math.log2(count))) if count else 48
 
 
-def tokens_of(shingles: str, counts: str) -> Column:
-    """The distinct shingles as longs that sort by rarity."""
-    rank = f"shiftleft(cast(ascii(cast(substring({counts}, cast(s & {BUCKETS - 1} as int) + 1, 1) as string)) as bigint), 56)"
-    return F.expr(f"sort_array(array_distinct(transform({shingles}, s -> {rank} | shiftrightunsigned(s, 8))))")
+def tokens_of(words: DataFrame, ranks: Column, *keep: str) -> DataFrame:
+    """``keep`` columns and ``tokens``, the distinct shingles of ``words`` as longs that sort by rarity."""
+    hashed = words.select(*keep, F.expr(f"transform({_runs()}, x -> xxhash64(x))").alias("s")).withColumn("ranks", ranks)
+    letter = f"shiftleft(cast(ascii(cast(substring(ranks, cast(s & {BUCKETS - 1} as int) + 1, 1) as string)) as bigint), 56)"
+    return hashed.select(*keep, F.expr(f"sort_array(array_distinct(transform(s, s -> {letter} | shiftrightunsigned(s, 8))))").alias("tokens"))
 
 
 def later(a: str, b: str) -> str:
@@ -70,8 +74,14 @@ def later(a: str, b: str) -> str:
 
 
 def may_match(a: str, b: str) -> str:
-    """The length filter."""
-    return f"5 * {b}n >= 4 * {a}n AND 5 * {a}n >= 4 * {b}n"
+    """The filters by length, and by place: what stands before a shared token in either line and after it bounds what they share."""
+    length = f"5 * {b}n >= 4 * {a}n AND 5 * {a}n >= 4 * {b}n"
+    return f"{length} AND 9 * (least({a}pos, {b}pos) + least({a}n - {a}pos, {b}n - {b}pos)) >= 4 * ({a}n + {b}n)"
+
+
+def in_short_prefix(a: str, b: str) -> str:
+    """The shared token is among the first n - ceil(8n/9) + 1 of the line with fewer tokens."""
+    return f"CASE WHEN {a}n < {b}n OR {a}n = {b}n AND {later(b, a)} THEN 9 * {a}pos <= {a}n ELSE 9 * {b}pos <= {b}n END"
 
 
 def candidates(met: DataFrame) -> DataFrame:
@@ -80,17 +90,17 @@ def candidates(met: DataFrame) -> DataFrame:
     All tokens that two lines share up to the last one met are among those met; after it, the rest of the
     shorter remainder could be shared at most. That is the positional filter at its tightest.
     """
-    pairs = met.groupBy("key", "row", "no", "okey", "orow", "ono", "n", "on").agg(F.count("*").alias("k"), F.max(F.struct("pos", "opos")).alias("last"))
-    return pairs.where("9 * (k + least(n - last.pos, on - last.opos) - 1) >= 4 * (n + on)").select("key", "row", "no", "okey", "orow", "ono")
+    pairs = met.groupBy(*_PLACE, *("o" + c for c in _PLACE), "n", "on").agg(F.count("*").alias("k"), F.max(F.struct("pos", "opos")).alias("last"))
+    return pairs.where("9 * (k + least(n - last.pos, on - last.opos) - 1) >= 4 * (n + on)").select(*_PLACE, *("o" + c for c in _PLACE))
 
 
 def similar(pairs: DataFrame, tokens: DataFrame) -> DataFrame:
     """The later lines ``key, row, no`` of those pairs ``key, row, no, okey, orow, ono`` whose token sets are similar."""
-    mine = tokens.select("key", "row", "no", F.col("tokens").alias("t"))
-    theirs = tokens.select(F.col("key").alias("okey"), F.col("row").alias("orow"), F.col("no").alias("ono"), F.col("tokens").alias("o"))
-    both = pairs.join(mine, ["key", "row", "no"]).join(theirs, ["okey", "orow", "ono"])
+    mine = tokens.select(*_PLACE, F.col("tokens").alias("t"))
+    theirs = tokens.select(*(F.col(c).alias("o" + c) for c in _PLACE), F.col("tokens").alias("o"))
+    both = pairs.join(mine, _PLACE).join(theirs, ["o" + c for c in _PLACE])
     shared = F.size(F.array_intersect("t", "o"))
-    return both.where(5 * shared >= 4 * (F.size("t") + F.size("o") - shared)).select("key", "row", "no").distinct()
+    return both.where(5 * shared >= 4 * (F.size("t") + F.size("o") - shared)).select(*_PLACE).distinct()
 
 
 def shared_ids(docs: DataFrame) -> bytes:
@@ -103,133 +113,112 @@ def shared_ids(docs: DataFrame) -> bytes:
     return bytes(out)
 
 
-def keyed_copy(docs: DataFrame) -> DataFrame:
+def keyed_copy(docs: DataFrame, key: str, row: str) -> DataFrame:
     """``docs`` with their key and row, written once to the shared folder in buckets of both.
 
     The row tells the texts of one ``doc_id`` apart by their hash, and rows without a ``doc_id`` by a number of
     their own. It is zero where the ``doc_id`` has one text, but for few that meet a shared one in a hash bucket.
-    Three passes join the texts with what is known of their lines; none of them shuffles a text. The
-    table stays until :func:`clean_up`.
+    The passes that join the texts with what is known of their lines then shuffle no text.
     """
-    spark = docs.sparkSession
-    name = f"lines_{uuid4().hex}"
     flags = F.lit(shared_ids(docs))
-    keyed = docs.withColumn(_KEY, F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_KEY)))
-    spot = F.xxhash64(_KEY).bitwiseAND(F.lit(BUCKETS - 1)).cast("int") + 1
+    keyed = docs.withColumn(key, F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_KEY)))
+    spot = F.xxhash64(key).bitwiseAND(F.lit(BUCKETS - 1)).cast("int") + 1
     shared = F.substring(flags, spot, F.lit(1)).cast("string") == "1"
-    row = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id()).when(shared, F.xxhash64("text")).otherwise(F.lit(0))
-    writer = keyed.withColumn(_ROW, row).write.format("parquet").option("compression", "zstd").option("parquet.block.size", _ROW_GROUP)
-    writer.option("path", f"{shared_dir(spark)}/{name}").bucketBy(partitions(spark), _KEY, _ROW).saveAsTable(name)
-    _TABLES.append(name)
-    return spark.table(name)
+    number = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id()).when(shared, F.xxhash64("text")).otherwise(F.lit(0))
+    return durable(keyed.withColumn(row, number), key, row)
 
 
-def kept(df: DataFrame, *keys: str) -> DataFrame:
-    """``df`` by way of a compressed table in the shared folder, a fraction of a checkpoint's size.
+def groups_of(prefixes: DataFrame, hot_rank: int) -> DataFrame:
+    """The rows of :func:`prefixes` whose token has more than one line, with ``early``, its first line, and ``common``, its most copied one."""
+    line = F.struct("key", "row", "x", "y")
+    stats = {"lines": F.count("*"), "early": F.min(line), "common": F.max(F.struct(F.expr("y & 255").alias("c"), line.alias("p"))).getField("p")}
+    hot = F.expr(f"shiftright(token, 56) >= {hot_rank}")
+    group = Window.partitionBy("token")
+    cold = prefixes.where(~hot).select("*", F.count("*").over(group).alias("lines"), F.min(line).over(group).alias("early"),
+        F.max(F.struct(F.expr("y & 255").alias("c"), line.alias("p"))).over(group).getField("p").alias("common"))
+    summed = prefixes.where(hot).groupBy("token").agg(*(v.alias(k) for k, v in stats.items())).where("lines > 1")
+    return cold.where("lines > 1").unionByName(prefixes.where(hot).join(summed, "token"))
 
-    With ``keys`` its rows lie in buckets of them, so that joins on the keys need not shuffle it.
-    """
-    spark, name = df.sparkSession, f"lines_{uuid4().hex}"
-    path = f"{shared_dir(spark)}/{name}"
-    options = {"compression": "zstd", "parquet.block.size": _ROW_GROUP}
-    if keys:
-        dealt = df.repartition(partitions(spark), *keys).write.format("parquet").options(**options)
-        dealt.option("path", path).bucketBy(partitions(spark), *keys).saveAsTable(name)
-        _TABLES.append(name)
-        return spark.table(name)
-    df.write.options(**options).parquet(path)
-    _PATHS.append(path)
-    return spark.read.parquet(path)
-
-
-def clean_up(spark: SparkSession) -> None:
-    """Remove the copies and tables that this session's results have read."""
-    while _TABLES:
-        spark.sql(f"DROP TABLE IF EXISTS {_TABLES.pop()}")
-    while _PATHS:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_PATHS.pop())
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
-def repeated_lines(copy: DataFrame, short: bool = False) -> DataFrame:
-    """``key, row, no`` of the lines of :func:`keyed_copy` that go; ``key`` is the ``doc_id``, with nulls before all.
-
-    With ``short`` a line of one to four words has all its words as its one token. Such lines are similar only
-    where their words are equal, so that the step for equal lines settles them.
-    """
-    rows = copy.select(F.col(_KEY).alias("key"), F.col(_ROW).alias("row"), text_or_empty().alias("text"))
+
+def lasting_lines(copy: DataFrame, hot: int = HOT, floor: int = 10_000) -> DataFrame:
+    """``key, row, no`` of the lines with words of :func:`keyed_copy` that stay; ``key`` is the ``doc_id``, with nulls before all."""
+    rows = copy.select("key", "row", spaced(text_or_empty()).alias("text"))
     lines = rows.select("key", "row", F.posexplode(F.split("text", "\n")).alias("no", "line"))
-    counts = F.lit(bucket_counts(lines))
+    counts = bucket_counts(lines.coalesce(partitions(copy.sparkSession)))
+    ranks, hot_rank = F.lit(bytes(map(rank, counts))), rank(max(floor, hot * sum(counts) // BUCKETS))
 
-    # equal lines: all places but the first go, the first stands for them
+    # equal lines: the first place stands for all
     is_long = F.col("line").rlike(_LONG)
-    if short:
-        same = F.when(is_long, F.col("line")).otherwise(F.array_join(words_of(), " "))
-        chosen_lines = lines.select("key", "row", "no", is_long.alias("long"), same.alias("line")).where("line <> ''")
-    else:
-        chosen_lines = lines.where(is_long).withColumn("long", F.lit(True))
-    places = kept(chosen_lines.select("key", "row", "no", "long", F.xxhash64("line").alias("h"), F.xxhash64(F.lit("#"), "line").alias("g")))
-    firsts = places.groupBy("h", "g", "long").agg(F.min(F.struct("key", "row", "no")).alias("f"), F.count("*").alias("copies"))
-    copies = places.join(firsts, ["h", "g", "long"]).where("key <> f.key OR row <> f.row OR no <> f.no").select("key", "row", "no")
+    same = F.when(is_long, F.col("line")).otherwise(F.array_join(words_of(), " "))
+    named = lines.where(F.col("line").rlike(_SOME)).select(*_PLACE, is_long.alias("long"), F.xxhash64(same).alias("h"), F.xxhash64(F.lit("#"), same).alias("g"))
+    firsts = named.groupBy("h", "g", "long").agg(F.min(F.struct(*_PLACE)).alias("f"), F.count("*").alias("copies"))
+    log_copies = F.floor(F.log2(F.col("copies").cast("double"))).cast("int")
+    firsts = durable(firsts.select("f.*", "long", log_copies.alias("c")))
+
+    def lines_at(wanted: DataFrame) -> DataFrame:
+        """``key, row, no, c, words`` of the ``wanted`` lines, read by one join of each document with all of its own."""
+        spots = wanted.groupBy("key", "row").agg(F.collect_set(F.struct("no", "c")).alias("spots"))  # of one document
+        found = rows.join(spots, ["key", "row"]).select("key", "row", "spots", F.split("text", "\n").alias("lines"))
+        found = found.select("key", "row", F.expr("inline(transform(spots, s -> struct(s.no AS no, s.c AS c, lines[s.no] AS line)))"))
+        return found.select(*_PLACE, "c", words_of().alias("words"))
 
     # the first places' prefixes; a row is five longs: the token, the document's key and row, the line's
     # number and size, and the token's place and the logarithm of the line's copies
-    log_copies = F.floor(F.log2(F.col("copies").cast("double"))).cast("int")
-    wanted = firsts.where("long").groupBy(F.col("f.key").alias("key"), F.col("f.row").alias("row")).agg(F.map_from_entries(F.collect_set(F.struct("f.no", log_copies.alias("c")))).alias("nos"))
-    chosen = rows.join(wanted, ["key", "row"]).select("key", "row", "nos", F.posexplode(F.split("text", "\n")).alias("no", "line"))
-    chosen = chosen.select("key", "row", "no", F.col("nos")[F.col("no")].alias("c"), "line").where("c IS NOT NULL")
-    with_tokens = chosen.select("key", "row", "no", "c", words_of().alias("words")).select("key", "row", "no", "c", shingles_of().alias("s"))
-    with_tokens = with_tokens.withColumn("counts", counts).select("key", "row", "no", "c", tokens_of("s", "counts").alias("tokens"))
-    with_tokens = with_tokens.withColumn("n", F.size("tokens"))
+    with_tokens = tokens_of(lines_at(firsts.where("long")), ranks, *_PLACE, "c").withColumn("n", F.size("tokens"))
     first_part = F.slice("tokens", F.lit(1), F.expr("n - cast((4 * n + 4) div 5 as int) + 1"))
-    prefixes = with_tokens.select("key", "row", "no", "c", "n", F.posexplode(first_part).alias("pos", "token"))
+    prefixes = with_tokens.select(*_PLACE, "c", "n", F.posexplode(first_part).alias("pos", "token"))
     line_and_size = F.shiftleft(F.col("no").cast("long"), 32).bitwiseOR(F.col("n").cast("long"))
     place_and_copies = F.shiftleft(F.col("pos").cast("long"), 8).bitwiseOR(F.col("c").cast("long"))
-    packed = prefixes.select("token", "key", "row", line_and_size.alias("x"), place_and_copies.alias("y"))
-    group = Window.partitionBy("token")
-    common = F.max(F.struct(F.expr("y & 255").alias("c"), F.struct("key", "row", "x", "y").alias("p"))).over(group).getField("p")
-    met = packed.withColumn("lines", F.count("*").over(group)).withColumn("early", F.min(F.struct("key", "row", "x", "y")).over(group)).withColumn("common", common)
-    number, size = "cast(shiftright({0}, 32) as int)", "cast({0} & 4294967295 as int)"
-
-    def leader(name: str) -> Column:
-        return F.struct(F.col(name)["key"].alias("key"), F.col(name)["row"].alias("row"), F.expr(number.format(f"{name}.x")).alias("no"), F.expr(size.format(f"{name}.x")).alias("n"), F.expr(f"cast(shiftright({name}.y, 8) as int)").alias("pos"))
-
-    met = met.where("lines > 1").select(
-        "token", "key", "row", F.expr(number.format("x")).alias("no"), F.expr(size.format("x")).alias("n"), F.expr("cast(shiftright(y, 8) as int)").alias("pos"),
-        leader("early").alias("early"), leader("common").alias("common"),
-    )
-    met = kept(met)
-    in_groups = met.groupBy("key", "row").agg(F.collect_set("no").alias("nos"))  # of one document
-    compared = rows.join(in_groups, ["key", "row"]).select("key", "row", "nos", F.posexplode(F.split("text", "\n")).alias("no", "line")).where("array_contains(nos, no)")
-    compared = compared.select("key", "row", "no", words_of().alias("words")).select("key", "row", "no", shingles_of().alias("s"))
-    tokens = kept(compared.withColumn("counts", counts).select("key", "row", "no", tokens_of("s", "counts").alias("tokens")), "key", "row", "no")
-
-    leaders = met.select("key", "row", "no", "n", "pos", F.explode(F.array_distinct(F.array("early", "common"))).alias("o"))
-    leaders = leaders.select("key", "row", "no", "n", "pos", "o.*").toDF("key", "row", "no", "n", "pos", "okey", "orow", "ono", "on", "opos")
-    led = durable(similar(candidates(leaders.where(later("", "o") + " AND " + may_match("", "o"))), tokens))
-    rest = met.join(led, ["key", "row", "no"], "left_anti").select("token", "key", "row", "no", "n", "pos")
-    others = met.select("token", *(F.col(c).alias("o" + c) for c in ("key", "row", "no", "n", "pos")))
-    pairs = rest.join(others, F.expr(f"{later('', 'o')} AND {may_match('', 'o')}") & (rest["token"] == others["token"]))
-    found = similar(candidates(pairs), tokens)
-    return copies.union(led).union(found).distinct()
-
-
-def remove_lines(docs: DataFrame, short: bool = False) -> DataFrame:
+    met = groups_of(prefixes.select("token", "key", "row", line_and_size.alias("x"), place_and_copies.alias("y")), hot_rank)
+    number, size, spot = "cast(shiftright({0}x, 32) as int)", "cast({0}x & 4294967295 as int)", "cast(shiftright({0}y, 8) as int)"
+
+    def unpacked(of: str = "") -> list[Column]:
+        return [F.col(f"{of}key"), F.col(f"{of}row"), F.expr(number.format(of)).alias("no"), F.expr(size.format(of)).alias("n"), F.expr(spot.format(of)).alias("pos")]
+
+    met = durable(met.select("token", *unpacked(), F.struct(*unpacked("early.")).alias("early"), F.struct(*unpacked("common.")).alias("common")))
+    compared = lines_at(met.select(*_PLACE).distinct().withColumn("c", F.lit(0)))
+    tokens = durable(tokens_of(compared, ranks, *_PLACE).repartition(partitions(copy.sparkSession), *_PLACE), *_PLACE)
+
+    leaders = met.select(*_PLACE, "n", "pos", F.explode(F.array_distinct(F.array("early", "common"))).alias("o"))
+    leaders = leaders.select(*_PLACE, "n", "pos", "o.*").toDF(*_PLACE, "n", "pos", "okey", "orow", "ono", "on", "opos")
+    led = durable(similar(candidates(leaders.where(f"{later('', 'o')} AND {may_match('', 'o')}")), tokens))
+    rest = met.join(led, _PLACE, "left_anti").select("token", *_PLACE, "n", "pos")
+    others = met.select("token", *(F.col(c).alias("o" + c) for c in (*_PLACE, "n", "pos")))
+    pairs = rest.join(others, F.expr(f"{later('', 'o')} AND {may_match('', 'o')} AND {in_short_prefix('', 'o')}") & (rest["token"] == others["token"]))
+    gone = led.union(similar(candidates(pairs), tokens))
+    return firsts.select(*_PLACE).join(gone, _PLACE, "left_anti")
+
+
+def remove_lines(docs: DataFrame) -> DataFrame:
     """``docs`` with all its columns, its texts without their repeated lines, and ``_n_lines``, ``_n_removed``.
 
-    Lines are what ``\\n`` separates. Lines with fewer than five words stay, as ``OP10_SQL`` has it; with ``short``
-    only blank ones do, and those of one to four words go where an earlier line has the same words. A null text stays null
-    and has no lines. Rows of one ``doc_id`` with different texts are different documents, ordered by a
-    hash; equal rows count as one document. Rows without a ``doc_id`` are each a document and stand before all others. An empty table gives an
-    empty result.
+    Lines are what ``\\n`` separates; blank ones stay. Lines of one to four words go where an earlier line has the same
+    words, longer ones where an earlier one is similar. A null text stays null and has no lines; an empty one has one. Rows of
+    one ``doc_id`` with different texts are different documents, ordered by a hash; equal rows count as one
+    document and lose the same lines. Rows without a ``doc_id`` are each a document and stand before all others. An empty
+    table gives an empty result. Columns of ``docs`` named ``_n_lines`` or ``_n_removed`` are replaced; any other
+    name is safe. The result reads a copy of ``docs`` in the shared folder, until :func:`common.release`; the other
+    intermediate tables go before this returns, or when it fails.
     """
-    copy = keyed_copy(docs)
-    gone = repeated_lines(copy, short).groupBy(F.col("key").alias(_KEY), F.col("row").alias(_ROW)).agg(F.collect_set("no").alias("_gone"))  # of one document
-    found = copy.join(gone, [_KEY, _ROW], "left")
-    lines = F.split(F.col("text").cast("string"), "\n")
-    kept = F.when(F.col("_gone").isNull(), F.col("text").cast("string")).otherwise(
-        F.array_join(F.filter(lines, lambda _, i: ~F.array_contains(F.col("_gone"), i)), "\n")
-    )
-    removed = F.coalesce(F.size(F.array_intersect(F.col("_gone"), F.sequence(F.lit(0), F.size(lines) - 1))), F.lit(0))
-    found = found.withColumn("_n_lines", F.coalesce(F.size(lines), F.lit(0)).cast("long")).withColumn("_n_removed", removed.cast("long"))
-    return found.withColumn("text", kept).select(*docs.columns, "_n_lines", "_n_removed")
+    spark, began = docs.sparkSession, mark()
+    columns = [c for c in docs.columns if c.lower() not in ("_n_lines", "_n_removed")]
+    docs = docs.select(*(F.col(f"`{c}`") for c in columns))
+    key, row = free_name(docs, "_dedup_key"), free_name(docs, "_dedup_row")
+    try:
+        copy = keyed_copy(docs, key, row)
+        own = mark()
+        lasting = lasting_lines(copy.select(F.col(key).alias("key"), F.col(row).alias("row"), "text"))
+        lasting = durable(lasting.groupBy("key", "row").agg(F.collect_set("no").alias("nos")))  # of one document
+        release(spark, own, but=1)
+    except BaseException:
+        release(spark, began)
+        raise
+    nos, lines, stay = (free_name(docs, n) for n in ("_dedup_nos", "_dedup_lines", "_dedup_stay"))
+    found = copy.join(lasting.toDF(key, row, nos), [key, row], "left").withColumn(lines, F.split(F.col("text").cast("string"), "\n"))
+    blank = F.filter(F.sequence(F.lit(0), F.size(lines) - 1), lambda i: ~F.get(lines, i).rlike("[^ \t\x0b\f\r]"))
+    found = found.withColumn(stay, F.when(F.col(lines).isNotNull(), F.sort_array(F.concat(blank, F.coalesce(nos, F.array().cast("array<int>"))))))
+    left = F.array_join(F.expr(f"transform(`{stay}`, i -> `{lines}`[i])"), "\n")
+    total, less = (F.coalesce(F.when(F.col(lines).isNotNull(), F.size(lines) - n), F.lit(0)).cast("long") for n in (F.lit(0), F.size(stay)))
+    text = F.when(F.size(stay) < F.size(lines), left).otherwise(F.col("text").cast("string"))
+    found = found.withColumn("_n_lines", total).withColumn("_n_removed", less)
+    return found.withColumn("text", text).select(*(F.col(f"`{c}`") for c in columns), "_n_lines", "_n_removed")

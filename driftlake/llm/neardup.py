@@ -21,8 +21,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from driftlake.llm.common import durable, small_batches
+from driftlake.llm.common import durable as kept
 from driftlake.llm.components import components
-from driftlake.llm.linededup import kept
 
 WORDS = 5
 BUCKETS = 1 << 16

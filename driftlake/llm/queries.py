@@ -95,22 +95,27 @@ FROM docs LEFT JOIN kept USING (doc_id)
 """
 
 
-#: All pairs of lines with a common shingle, by their whole shingle sets.
+#: All pairs of lines with a common token, by their whole token sets: five-word shingles, or all the words of a shorter line.
 OP10_SQL = r"""
 WITH split AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents),
 lines AS (SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS no FROM split),
 words AS (SELECT doc_id, no, regexp_extract_all(line, '[^\x20\x09\x0B-\x0D]+') AS ws FROM lines),
-shingles AS (SELECT DISTINCT doc_id, no, array_to_string(ws[i:i + 4], ' ') AS s FROM words, unnest(range(1, len(ws) - 3)) AS t(i)),
+shingles AS (
+  SELECT DISTINCT doc_id, no, array_to_string(ws[i:i + 4], ' ') AS s
+  FROM words, unnest(range(1, greatest(len(ws) - 3, 2))) AS t(i) WHERE len(ws) > 0),
 sizes AS (SELECT doc_id, no, count(*) AS n FROM shingles GROUP BY ALL),
 pairs AS (
   SELECT a.doc_id, a.no, b.doc_id AS od, b.no AS ono, count(*) AS c FROM shingles a JOIN shingles b USING (s)
   WHERE (b.doc_id, b.no) < (a.doc_id, a.no) GROUP BY ALL),
 gone AS (
   SELECT DISTINCT p.doc_id, p.no, true AS g FROM pairs p JOIN sizes x ON x.doc_id = p.doc_id AND x.no = p.no
-  JOIN sizes y ON y.doc_id = p.od AND y.no = p.ono WHERE 5 * c >= 4 * (x.n + y.n - c))
-SELECT doc_id, count(*) AS n_lines, count(g) AS n_removed,
-  sha256(coalesce(string_agg(line, chr(10) ORDER BY no) FILTER (WHERE g IS NULL), '')) AS kept_sha256
-FROM lines LEFT JOIN gone USING (doc_id, no) GROUP BY doc_id
+  JOIN sizes y ON y.doc_id = p.od AND y.no = p.ono WHERE 5 * c >= 4 * (x.n + y.n - c)),
+kept AS (
+  SELECT doc_id, count(*) AS n_lines, count(g) AS n_removed,
+    sha256(coalesce(string_agg(line, chr(10) ORDER BY no) FILTER (WHERE g IS NULL), '')) AS kept_sha256
+  FROM lines LEFT JOIN gone USING (doc_id, no) GROUP BY doc_id)
+SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed, kept_sha256
+FROM documents LEFT JOIN kept USING (doc_id)
 """
 
 

@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from driftlake.llm import bpe, embed, linededup, materialise, neardup, pack, pii, quality, shard, simhash, substring, tokens
+from driftlake.llm import bpe, common, embed, linededup, materialise, neardup, pack, pii, quality, shard, simhash, substring, tokens
 
 SCHEMA = "doc_id long, text string, lang string, Text2 string, slot string"
 #: Nulls, empty and long texts, repeated rows, near copies, columns that clash with what operators add.
@@ -351,31 +351,82 @@ def test_embeddings(spark):
     assert embed.near_duplicates(df.limit(0)).count() == 0
 
 
+def line_tokens(line):
+    words = re.findall(r"[^\x20\x09\x0B-\x0D]+", line)
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
 def brute_lines(rows):
+    """The numbers of the lines that go, for each row; rows without an id come first, equal rows are one document."""
     seen, gone = [], defaultdict(set)
-    for key, no, line in sorted((-1 if r[0] is None else r[0], no, line) for r in rows for no, line in enumerate((r[1] or "").split("\n"))):
-        words = re.findall(r"[^\x20\x09\x0B-\x0D]+", line)
-        shingles = {tuple(words[i : i + 5]) for i in range(len(words) - 4)}
-        if shingles:
-            if any(5 * len(shingles & s) >= 4 * len(shingles | s) and (k, n) != (key, no) for k, n, s in seen):
-                gone[key].add(no)
-            seen.append((key, no, shingles))
-    return gone
-
-
-def test_lines(spark, docs, empty):
-    base = [f"w{i}" for i in range(60)]
-    rows = [(500, " ".join(base) + "\nshort line\nshort line"), (501, " ".join(base[:30] + ["new"] + base[31:])), (502, " ".join(base[:59])), (503, " ".join(base[5:40])), (504, None), (505, ""), (506, " ".join(base) + "\n" + " ".join(base))]
-    rows += [(600 + i, " ".join(base[:i] + [f"v{i}"] + base[i + 1 :])) for i in range(50)]  # a large group of near copies
-    for table, source in ((spark.createDataFrame(rows, "doc_id long, text string"), rows), (docs, make_docs())):
-        gone = brute_lines(source)
-        got = linededup.remove_lines(table).collect()
-        want = Counter((r[0], None if r[1] is None else "\n".join(x for i, x in enumerate(r[1].split("\n")) if i not in gone[-1 if r[0] is None else r[0]])) for r in source)
-        assert Counter((r["doc_id"], r["text"]) for r in got) == want
+    order = sorted({(-1, i, r[1]) if r[0] is None else (r[0], 0, r[1]) for i, r in enumerate(rows)}, key=lambda x: (x[0], x[1], str(x[2])))
+    for key, i, text in order:
+        for no, line in enumerate((text or "").split("\n")):
+            if tokens := line_tokens(line):
+                if any(5 * len(tokens & s) >= 4 * len(tokens | s) for s in seen):
+                    gone[key, i, text].add(no)
+                seen.append(tokens)
+    return [gone[(-1, i, r[1]) if r[0] is None else (r[0], 0, r[1])] for i, r in enumerate(rows)]
+
+
+def cut(rows):
+    return Counter((r[0], None if r[1] is None else "\n".join(x for n, x in enumerate(r[1].split("\n")) if n not in g)) for r, g in zip(rows, brute_lines(rows)))
+
+
+LINE_BASE = [f"w{i}" for i in range(60)]
+
+
+def line_rows():
+    base = LINE_BASE
+    rows = [(500, " ".join(base) + "\nshort line\nshort line"), (501, " ".join([*base[:30], "new", *base[31:]])), (502, " ".join(base[:59])), (503, " ".join(base[5:40])), (504, None), (505, ""), (506, " ".join(base) + "\n" + " ".join(base))]
+    rows += [(600 + i, " ".join([*base[:i], f"v{i}", *base[i + 1 :]])) for i in range(50)]  # a large group of near copies
+    rng = random.Random(6)
+    for i in range(150):  # lines of all lengths, some words away from each other
+        line = base[: rng.choice([4, 5, 6, 9, 14, 23, 60])]
+        for _ in range(rng.randint(0, 2)):
+            line = line[: (k := rng.randrange(len(line)))] + [f"u{rng.randint(0, 3)}"] * rng.randint(0, 2) + line[k + 1 :]
+        rows.append((700 + i, rng.choice(["", "\n", "  "]) + rng.choice([" ", "  ", "\t"]).join(line)))
+    return rows
+
+
+@pytest.mark.parametrize("hot", [None, 0])
+def test_lines(spark, docs, empty, monkeypatch, hot):
+    if hot is not None:  # every token takes the way of the frequent ones
+        whole = linededup.lasting_lines
+        monkeypatch.setattr(linededup, "lasting_lines", lambda copy: whole(copy, 0, 0))
+    for table, source in ((spark.createDataFrame(line_rows(), "doc_id long, text string"), line_rows()), (docs, make_docs())):
+        got = linededup.remove_lines(table.repartition(3)).collect()
+        kept_null = [r for r in source if r[0] is None]
+        if not kept_null:
+            assert Counter((r["doc_id"], r["text"]) for r in got) == cut(source)
+        else:  # which of the rows without an id comes first is open
+            assert Counter((r["doc_id"], r["text"]) for r in got if r["doc_id"] is not None) == Counter({k: v for k, v in cut(source).items() if k[0] is not None})
         assert sum(r["_n_removed"] for r in got) > 0
+        assert Counter((r["doc_id"], r["_n_lines"]) for r in got) == Counter((r[0], 0 if r[1] is None else r[1].count("\n") + 1) for r in source)
     assert linededup.remove_lines(docs).columns == [*docs.columns, "_n_lines", "_n_removed"]
     assert linededup.remove_lines(empty).count() == 0
-    linededup.clean_up(spark)
+    common.release(spark)
+
+
+def test_lines_with_clashing_columns(spark):
+    line = " ".join(f"a{i}" for i in range(8))
+    names = ["_gone", "_dedup_key", "_dedup_row", "_dedup_nos", "_n_lines", "key", "row", "no", "tokens", "h", "a b.c"]
+    table = spark.createDataFrame([(1, line, *"ghijklmnopq"), (2, line + "\nxy", *"GHIJKLMNOPQ")], ["doc_id", "text", *names])
+    got = {r["doc_id"]: r for r in linededup.remove_lines(table).collect()}
+    assert [got[2][c] for c in names] == list("GHIJ") + [2] + list("LMNOPQ") and got[2]["text"] == "xy" and got[1]["text"] == line
+    common.release(spark)
+
+
+def test_lines_leave_one_copy_behind(spark, monkeypatch):
+    common.release(spark)
+    before = len(spark.catalog.listTables())
+    linededup.remove_lines(spark.createDataFrame(line_rows(), "doc_id long, text string")).count()
+    assert len(common._HELD) == 2 and len(spark.catalog.listTables()) == before + 1  # the copy and the lines that stay
+    common.release(spark)
+    monkeypatch.setattr(linededup, "similar", lambda *_: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        linededup.remove_lines(spark.createDataFrame(line_rows(), "doc_id long, text string"))
+    assert not common._HELD and len(spark.catalog.listTables()) == before
 
 
 def test_lines_of_rows_that_share_an_id(spark):
@@ -388,29 +439,17 @@ def test_lines_of_rows_that_share_an_id(spark):
     assert sum(r["_n_removed"] for r in got) == 7
     mine = {r["doc_id"]: r["text"] for r in got if r["doc_id"] in (9,)}
     assert mine == {9: ""} and line(4) in " ".join(r["text"] for r in got if r["doc_id"] == 7)
-    linededup.clean_up(spark)
-
+    common.release(spark)
 
-def test_short_lines(spark, docs):
-    def gone_of(rows):
-        seen, gone = [], set()
-        for i, no, line in sorted((i, no, line) for i, r in enumerate(rows) for no, line in enumerate((r[1] or "").split("\n"))):
-            words = tuple(re.findall(r"[^\x20\x09\x0B-\x0D]+", line))
-            tokens = {words[k : k + 5] for k in range(max(1, len(words) - 4))} if words else set()
-            if any(5 * len(tokens & s) >= 4 * len(tokens | s) for s in seen) and tokens:
-                gone.add((i, no))
-            seen.append(tokens)
-        return gone
 
+def test_short_lines(spark):
     import corpus_pipeline
 
     rows = [(1, "Home\n\nAll rights reserved\na b c d e"), (2, " Home \n\nall rights reserved\na b c d"), (3, "All  rights\treserved\nHome page\n\na b c d\na b c d e"), (4, "Home\nHome"), (5, None)]
     for source in (rows, [r[:2] for r in make_docs()[:69]]):
-        gone = gone_of(source)
         table = spark.createDataFrame(source, "doc_id long, text string").withColumn("n_chars", F.lit(0))
-        got = {r["doc_id"]: r["text"] for r in corpus_pipeline.drop_lines(spark, table, "").collect()}
-        assert got == {r[0]: None if r[1] is None else "\n".join(x for no, x in enumerate(r[1].split("\n")) if (i, no) not in gone) for i, r in enumerate(source)}
-    linededup.clean_up(spark)
+        assert Counter((r["doc_id"], r["text"]) for r in corpus_pipeline.drop_lines(spark, table, "").collect()) == cut(source)
+    common.release(spark)
 
 
 def near_groups(rows):
