@@ -129,15 +129,33 @@ def keyed_copy(docs: DataFrame, key: str, row: str) -> DataFrame:
 
 
 def groups_of(prefixes: DataFrame, hot_rank: int) -> DataFrame:
-    """The rows of :func:`prefixes` whose token has more than one line, with ``early``, its first line, and ``common``, its most copied one."""
-    line = F.struct("key", "row", "x", "y")
-    stats = {"lines": F.count("*"), "early": F.min(line), "common": F.max(F.struct(F.expr("y & 255").alias("c"), line.alias("p"))).getField("p")}
+    """``token, key, row, no, n, pos`` of the prefix rows whose token has more than one line, with ``early``, its first line, and ``common``, its most copied one.
+
+    One exchange deals all rows by their token, frequent ones by a salt as well. Those are then brought together by partial
+    aggregates and a join, which no single task has to read.
+    """
+    number, size, spot = "cast(shiftright({0}x, 32) as int)", "cast({0}x & 4294967295 as int)", "cast(shiftright({0}y, 8) as int)"
+
+    def unpacked(of: str = "") -> list[Column]:
+        return [F.col(f"{of}key"), F.col(f"{of}row"), F.expr(number.format(of)).alias("no"), F.expr(size.format(of)).alias("n"), F.expr(spot.format(of)).alias("pos")]
+
     hot = F.expr(f"shiftright(token, 56) >= {hot_rank}")
-    group = Window.partitionBy("token")
-    cold = prefixes.where(~hot).select("*", F.count("*").over(group).alias("lines"), F.min(line).over(group).alias("early"),
-        F.max(F.struct(F.expr("y & 255").alias("c"), line.alias("p"))).over(group).getField("p").alias("common"))
-    summed = prefixes.where(hot).groupBy("token").agg(*(v.alias(k) for k, v in stats.items())).where("lines > 1")
-    return cold.where("lines > 1").unionByName(prefixes.where(hot).join(summed, "token"))
+    salt = F.when(hot, F.pmod(F.xxhash64("key", "row", "x"), F.lit(partitions(prefixes.sparkSession)))).otherwise(0)
+    group, line = Window.partitionBy("token", "salt"), F.struct("key", "row", "x", "y")
+    most = F.max(F.struct(F.expr("y & 255").alias("c"), line.alias("p")))
+    # the count first: most tokens have one line, and what the other windows need is not made before the exchange
+    met = prefixes.withColumn("salt", salt).withColumn("lines", F.count("*").over(group)).where((F.col("lines") > 1) | hot)
+    met = met.withColumn("early", F.min(line).over(group)).withColumn("most", most.over(group))
+    met = met.select(
+        "token", *unpacked(), F.struct(*unpacked("early.")).alias("early"), F.struct("most.c", F.struct(*unpacked("most.p.")).alias("p")).alias("most"), hot.alias("hot")
+    )
+    met = durable(met)
+    own = ["token", *_PLACE, "n", "pos"]
+    cold = met.where("NOT hot").select(*own, "early", F.col("most.p").alias("common"))
+    if not met.where("hot").limit(1).count():
+        return cold
+    stats = met.where("hot").groupBy("token").agg(F.count("*").alias("lines"), F.min("early").alias("early"), F.max("most").getField("p").alias("common"))
+    return durable(cold.unionByName(met.where("hot").select(*own).join(stats.where("lines > 1").drop("lines"), "token")))
 
 
 def lasting_lines(copy: DataFrame, hot: int = HOT, floor: int = 10_000) -> DataFrame:
@@ -170,12 +188,6 @@ def lasting_lines(copy: DataFrame, hot: int = HOT, floor: int = 10_000) -> DataF
     line_and_size = F.shiftleft(F.col("no").cast("long"), 32).bitwiseOR(F.col("n").cast("long"))
     place_and_copies = F.shiftleft(F.col("pos").cast("long"), 8).bitwiseOR(F.col("c").cast("long"))
     met = groups_of(prefixes.select("token", "key", "row", line_and_size.alias("x"), place_and_copies.alias("y")), hot_rank)
-    number, size, spot = "cast(shiftright({0}x, 32) as int)", "cast({0}x & 4294967295 as int)", "cast(shiftright({0}y, 8) as int)"
-
-    def unpacked(of: str = "") -> list[Column]:
-        return [F.col(f"{of}key"), F.col(f"{of}row"), F.expr(number.format(of)).alias("no"), F.expr(size.format(of)).alias("n"), F.expr(spot.format(of)).alias("pos")]
-
-    met = durable(met.select("token", *unpacked(), F.struct(*unpacked("early.")).alias("early"), F.struct(*unpacked("common.")).alias("common")))
     compared = lines_at(met.select(*_PLACE).distinct().withColumn("c", F.lit(0)))
     tokens = durable(tokens_of(compared, ranks, *_PLACE).repartition(partitions(copy.sparkSession), *_PLACE), *_PLACE)
 
