@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 ASCII_SPACE = "\t\n\x0b\x0c\r "
 #: Bytes that a writer of intermediate tables holds before it writes a group of rows.
 _ROW_GROUP = 8 << 20
+#: Files that a bucketed table may have without a shuffle before it.
+FILES = 50_000
 #: Paths of intermediate tables that results may still read, and whether the catalog knows them.
 _HELD: list[tuple[str, bool]] = []
 
@@ -44,13 +46,16 @@ def shared_dir(spark: SparkSession) -> str:
 def durable(df: DataFrame, *keys: str) -> DataFrame:
     """``df`` by way of a compressed table in the shared folder: its lineage ends there, whatever executors are lost.
 
-    With ``keys`` its rows lie in buckets of them, so that joins on the keys need not shuffle it. The table
-    stays until :func:`release`.
+    With ``keys`` its rows lie in buckets of them, so that joins on the keys need not shuffle it. Each task writes to
+    each bucket as long as that makes at most ``FILES`` files, beyond which the rows are first dealt by their keys. The
+    table stays until :func:`release`.
     """
     spark, name = df.sparkSession, f"held_{uuid4().hex}"
     path, options = f"{shared_dir(spark)}/{name}", {"compression": "zstd", "parquet.block.size": _ROW_GROUP}
     _HELD.append((path, bool(keys)))
     if keys:
+        if df.rdd.getNumPartitions() * partitions(spark) > FILES:
+            df = df.repartition(partitions(spark), *keys)
         df.write.format("parquet").options(**options).option("path", path).bucketBy(partitions(spark), *keys).saveAsTable(name)
         return spark.table(name)
     df.write.options(**options).parquet(path)
@@ -62,17 +67,23 @@ def mark() -> int:
     return len(_HELD)
 
 
-def release(spark: SparkSession, since: int = 0, but: int = 0) -> None:
-    """Remove the tables made since :func:`mark`, all but the last ``but``; nothing may read them any more.
+def release(spark: SparkSession, since: int = 0, but: int = 0, read_by: DataFrame | None = None) -> None:
+    """Remove the tables made since :func:`mark`, all but the last ``but`` and those that ``read_by`` reads.
 
-    A driver that dies leaves its tables behind, all named ``held_...``.
+    Nothing else may read them any more. A driver that dies leaves its tables behind, all named ``held_...``.
     """
+    needed = set() if read_by is None else {part for f in read_by.inputFiles() for part in f.split("/") if part.startswith("held_")}
+    stay = []
     for path, named in _HELD[since : len(_HELD) - but]:
+        name = path.rpartition("/")[2]
+        if name in needed:
+            stay.append((path, named))
+            continue
         if named:
-            spark.sql(f"DROP TABLE IF EXISTS {path.rpartition('/')[2]}")
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
         at = spark._jvm.org.apache.hadoop.fs.Path(path)
         at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
-    del _HELD[since : len(_HELD) - but]
+    _HELD[since : len(_HELD) - but] = stay
 
 
 def free_name(df: DataFrame, name: str) -> str:

@@ -25,6 +25,15 @@ from driftlake.llm.components import components
 FAN = 8
 
 
+def majority(hashes: np.ndarray) -> int:
+    """The bits that are set in over half of the hashes; zero without any."""
+    total = np.zeros(64, np.int64)
+    for at in range(0, len(hashes), 65_536):
+        part = np.ascontiguousarray(hashes[at : at + 65_536], "<u8")
+        total += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+    return int(np.packbits(2 * total > len(hashes), bitorder="little").view("<u8")[0])
+
+
 def fingerprint(text: str | None, words: int = 4) -> int:
     """The unsigned fingerprint of a text; zero without words."""
     import xxhash
@@ -226,3 +235,16 @@ def near_duplicates(docs: DataFrame, words: int = 4, limit: int = 4) -> DataFram
     linked = named.join(least, "root").select("fp", "least")
     ids = prints.join(linked, "fp", "left").select("fp", F.coalesce("least", "first").alias("component_id"))
     return found.join(ids, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def keep_one(docs: DataFrame, words: int = 5, limit: int = 4) -> DataFrame:
+    """``docs`` with one row of each group of near copies, for corpora: similarity decides, fingerprints come first.
+
+    The Gray index links documents whose fingerprints differ in at most ``limit`` bits; every such link is verified by
+    the Jaccard similarity of the whole shingle sets, which needs to be 4/5, and similar documents that fingerprints leave
+    apart are found by an exact join. Null and blank texts are one group. A group keeps the row of least ``doc_id``, null
+    ids last, of several the first. Repeated rows are copies. Any column names are safe; an empty table gives an empty result.
+    """
+    from driftlake.llm import neardup
+
+    return neardup.keep_one(docs, words, limit)
