@@ -53,23 +53,80 @@ def base_failed(n_words: int, n_repeat_words: int) -> bool:
     return n_words < 50 or 100 * n_repeat_words > 50 * n_words
 
 
+def _counted(hashes: np.ndarray, bits: int) -> np.ndarray:
+    """Counts of the top bits of 32-bit hashes."""
+    return np.bincount(hashes >> np.uint32(32 - bits), minlength=1 << bits)
+
+
 def features(text: str, words: list[bytes]) -> np.ndarray:
-    """Hashed counts of words, word pairs and four-byte windows, damped and of unit length."""
+    """Hashed counts of words, word pairs and windows of four characters, damped and of unit length."""
     out = np.zeros(BUCKETS, np.float32)
     if words:
         hashes = np.fromiter(map(zlib.crc32, words), np.uint32, len(words))
         pairs = (hashes[:-1] * np.uint32(2654435761)) ^ (hashes[1:] * np.uint32(2246822519))
-        mixed = np.concatenate([hashes, pairs]) >> np.uint32(19)
-        out[:WORD_BUCKETS] = np.bincount(mixed, minlength=WORD_BUCKETS)
-    data = np.frombuffer(text.encode(), np.uint8).astype(np.uint32)
-    if len(data) > 3:
-        grams = data[:-3] | data[1:-2] << np.uint32(8) | data[2:-1] << np.uint32(16) | data[3:] << np.uint32(24)
-        out[WORD_BUCKETS:] = np.bincount((grams * np.uint32(2654435761)) >> np.uint32(20), minlength=CHAR_BUCKETS)
+        out[:WORD_BUCKETS] = _counted(np.concatenate([hashes, pairs]), 13)
+    points = np.frombuffer(text.encode("utf-32-le"), "<u4")
+    if len(points) > 3:
+        grams = points[:-3]
+        for shift, factor in ((1, 2654435761), (2, 2246822519), (3, 3266489917)):
+            grams = grams * np.uint32(668265263) + points[shift : len(points) - 3 + shift] * np.uint32(factor)
+        out[WORD_BUCKETS:] = _counted((grams ^ (grams >> np.uint32(15))) * np.uint32(2654435761), 12)
     np.log1p(out, out)
     norm = float(np.sqrt(out @ out))
     return out / norm if norm else out
 
 
+@dataclass
+class Rows:
+    """Sparse feature rows: ``spots`` and ``values`` of row ``i`` lie between ``ends[i]`` and ``ends[i + 1]``."""
+
+    spots: np.ndarray
+    values: np.ndarray
+    ends: np.ndarray
+
+    def __len__(self) -> int:
+        return len(self.ends) - 1
+
+    def part(self, first: int, last: int) -> Rows:
+        a, b = self.ends[first], self.ends[last]
+        return Rows(self.spots[a:b], self.values[a:b], self.ends[first : last + 1] - a)
+
+    def blocks(self, rows: int = 256) -> Iterator[tuple[int, Rows]]:
+        for at in range(0, len(self), rows):
+            yield at, self.part(at, min(at + rows, len(self)))
+
+    def times(self, weights: np.ndarray) -> np.ndarray:
+        """The product of each row with the weights."""
+        out = np.zeros(len(self))
+        for at, x in self.blocks():
+            sums = np.concatenate([np.zeros(1), np.cumsum(x.values * weights[x.spots], dtype=np.float64)])
+            out[at : at + len(x)] = sums[x.ends[1:]] - sums[x.ends[:-1]]
+        return out
+
+    def weighted(self, of_row: np.ndarray) -> np.ndarray:
+        """The sum of the rows, each times its weight."""
+        out = np.zeros(BUCKETS)
+        for at, x in self.blocks():
+            out += np.bincount(x.spots, x.values * np.repeat(of_row[at : at + len(x)], np.diff(x.ends)), BUCKETS)
+        return out
+
+
+def sparse(vector: np.ndarray) -> bytes:
+    """The spots of the entries that are not zero, and the entries, two bytes each."""
+    spots = np.flatnonzero(vector)
+    return spots.astype("<u2").tobytes() + vector[spots].astype("<f2").tobytes()
+
+
+def rows_of(packed: list[bytes]) -> Rows:
+    """The rows that :func:`sparse` packed."""
+    sizes = [len(p) // 4 for p in packed]
+    ends = np.cumsum([0, *sizes])
+    spots, values = np.empty(ends[-1], np.uint16), np.empty(ends[-1], np.float16)
+    for p, n, a in zip(packed, sizes, ends[:-1], strict=True):
+        spots[a : a + n], values[a : a + n] = np.frombuffer(p, "<u2", n), np.frombuffer(p, "<f2", n, 2 * n)
+    return Rows(spots, values, ends)
+
+
 @dataclass
 class Model:
     """``probability`` of a good document; without both labels to learn from, every document is good."""
@@ -96,21 +153,21 @@ def _descend(gradient, size: int, rounds: int, rate: float) -> np.ndarray:
     return at
 
 
-def fit(vectors: np.ndarray, good: np.ndarray) -> Model:
-    """Train on the first two thirds of the rows and calibrate on the others, without copying either."""
+def fit(rows: Rows, good: np.ndarray) -> Model:
+    """Train on the first two thirds of the rows and calibrate on the others."""
     cut = len(good) - len(good) // 3
     if len(set(good[:cut].tolist())) < 2:
         return Model(np.zeros(BUCKETS, np.float32), 0.0, 0.0, 50.0)
-    x, y = vectors[:cut], good[:cut].astype(float)
+    x, y = rows.part(0, cut), good[:cut].astype(float)
     weight = np.where(y > 0, 0.5 / y.mean(), 0.5 / (1 - y.mean()))
 
     def gradient(p: np.ndarray) -> np.ndarray:
-        error = weight * (_sigmoid(x @ p[:-1].astype(np.float32) + p[-1]) - y) / len(y)
-        return np.append(error.astype(np.float32) @ x + 1e-6 * p[:-1], error.sum())
+        error = weight * (_sigmoid(x.times(p[:-1]) + p[-1]) - y) / len(y)
+        return np.append(x.weighted(error) + 1e-6 * p[:-1], error.sum())
 
     found = _descend(gradient, BUCKETS + 1, 150, 0.2)
     weights, bias = found[:-1].astype(np.float32), float(found[-1])
-    scores, truth = vectors[cut:] @ weights + bias, good[cut:].astype(float)
+    scores, truth = rows.part(cut, len(rows)).times(weights) + bias, good[cut:].astype(float)
     # Platt's targets keep the slope finite when the scores separate the labels
     truth = np.where(truth > 0, (truth.sum() + 1) / (truth.sum() + 2), 1 / ((1 - truth).sum() + 2))
 
@@ -123,7 +180,11 @@ def fit(vectors: np.ndarray, good: np.ndarray) -> Model:
 
 
 def train(docs: DataFrame, labels: DataFrame, max_rows: int = 2000) -> Model:
-    """Fit on at most ``max_rows`` labelled documents, the first by a hash of their id."""
+    """Fit on at most ``max_rows`` labelled documents, the first by a hash of their id.
+
+    Rows without an id, a label of 0 or 1 or a document teach nothing; of several labels of an id the least counts, of
+    several texts one; a null text counts as empty. Without both labels, as in an empty table, every document is good.
+    """
     small_batches(docs.sparkSession)
     known = labels.select(F.col("doc_id").cast("long"), F.col("quality").cast("int").alias("good")).where("doc_id IS NOT NULL AND good IN (0, 1)")
     sample = known.groupBy("doc_id").agg(F.min("good").alias("good")).orderBy(F.xxhash64("doc_id", F.lit(5)), "doc_id").limit(max_rows)
@@ -132,18 +193,13 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = 2000) -> Model:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            vectors = [features(t or "", (t or "").encode().split()).astype(np.float16).tobytes() for t in batch.column(2).to_pylist()]
+            vectors = [sparse(features(t or "", (t or "").encode().split())) for t in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(vectors, pa.binary())], ["doc_id", "good", "vector"])
 
     got = rows.mapInArrow(run, "doc_id long, good int, vector binary")
     last = Window.partitionBy("doc_id").orderBy("vector")
     found = got.withColumn("n", F.row_number().over(last)).where("n = 1").orderBy(F.xxhash64("doc_id", F.lit(6)), "doc_id").limit(max_rows).toArrow()
-    vectors = np.empty((found.num_rows, BUCKETS), np.float32)
-    for i, v in enumerate(found["vector"]):
-        vectors[i] = np.frombuffer(v.as_buffer(), np.float16)
-    good = found["good"].to_numpy() > 0
-    del found
-    return fit(vectors, good)
+    return fit(rows_of(found["vector"].to_pylist()), found["good"].to_numpy() > 0)
 
 
 SCORED = "doc_id long, " + ", ".join(f"{c} long" for c in COUNTS) + ", base_failed boolean, kept boolean, probability double"
@@ -175,7 +231,10 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` that pass, with all their columns, without a join."""
+    """The rows of ``docs`` that pass, with all their columns, whatever their names, without a join.
+
+    A null or empty text has no words and goes; repeated rows are judged alike; an empty table gives an empty result.
+    """
     small_batches(docs.sparkSession)
 
     @F.pandas_udf("boolean")
