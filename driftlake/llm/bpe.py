@@ -1,16 +1,17 @@
 """Byte-level BPE encoding and decoding with DuckDB recursive queries in each partition.
 
 A text is cut into pieces by the vocabulary's pattern. Every distinct new piece of a block of texts
-becomes token-position rows; the recursive query joins adjacent tokens with the merge table and
-contracts each piece's leftmost pair of minimum rank until no piece has a pair left. Ids are decoded by
-joining the vocabulary and aggregating in position order. A bounded cache keeps pieces between
-blocks, so work follows distinct pieces rather than running text.
+becomes token-position rows, keyed by word and place; the recursive query joins adjacent tokens with the merge table and
+contracts each word's leftmost pair of minimum rank until no word has a pair left. Where the new tokens form no pair of
+lower rank with what stands next to them, the pair's other places in the word come next in any case and are
+contracted in the same step, so a word takes as many steps as it has different pairs to contract. A block's ids are decoded by joining the vocabulary and
+aggregating in position order. A bounded cache keeps the ids of pieces between blocks, so merging follows distinct pieces
+rather than running text.
 """
 
 from __future__ import annotations
 
 import base64
-import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,28 +21,36 @@ from pyspark.sql import functions as F
 
 from driftlake.llm.common import small_batches
 
-#: Positions in a piece that a row key has room for; longer pieces take the sequential way.
-SLOTS = 1024
+#: Rows that one run of the recursive query may make; longer work goes on from the state it has reached.
+STATE_ROWS = 2_000_000
 
-MERGE_SQL = f"""
-WITH RECURSIVE state(step, place, token) AS (
-  SELECT 0, place, token FROM start
+MERGE_SQL = """
+WITH RECURSIVE state(step, word, place, token) AS (
+  SELECT 0, word, place, token FROM start
   UNION ALL
   (WITH pairs AS (
-     SELECT step, place, token, lead(token) OVER w AS next_token, lead(place) OVER w AS next_place
-     FROM state WINDOW w AS (ORDER BY place)),
-   best AS (
-     SELECT place // {SLOTS} AS word, min(merged::BIGINT * {SLOTS} + place % {SLOTS}) AS pick,
-       arg_min(next_place, merged::BIGINT * {SLOTS} + place % {SLOTS}) AS absorbed
-     FROM pairs JOIN merges ON first = token AND second = next_token
-     WHERE place // {SLOTS} = next_place // {SLOTS} GROUP BY 1)
-   SELECT step + 1, place, CASE WHEN place % {SLOTS} = pick % {SLOTS} THEN (pick // {SLOTS})::INTEGER ELSE token END
-   FROM pairs JOIN best ON word = place // {SLOTS}
-   WHERE place <> absorbed)
-)
-SELECT word, list(token ORDER BY place) AS ids
-FROM state JOIN (SELECT place // {SLOTS} AS word, max(step) AS final FROM state GROUP BY 1) ON word = place // {SLOTS}
-WHERE step = final GROUP BY word ORDER BY word
+     SELECT step, word, place, token, row_number() OVER w AS i,
+       lead(token) OVER w AS next_token, lag(token) OVER w AS left_token, lead(token, 2) OVER w AS right_token
+     FROM state WINDOW w AS (PARTITION BY word ORDER BY place)),
+   ranked AS (
+     SELECT pairs.*, merged, early, min(merged) OVER (PARTITION BY word) AS least
+     FROM pairs LEFT JOIN merges ON first = token AND second = next_token),
+   picks AS (
+     SELECT word, i, early, least, left_token, right_token, row_number() OVER (PARTITION BY word ORDER BY i) AS n
+     FROM ranked WHERE merged = least),
+   near AS (
+     SELECT word, least, left_token AS first, least AS second FROM picks WHERE early UNION ALL
+     SELECT word, least, least, right_token FROM picks WHERE early UNION ALL SELECT word, least, least, least FROM picks WHERE early),
+   alone AS (SELECT DISTINCT word FROM near JOIN merges USING (first, second) WHERE merged < least),
+   chosen AS (
+     SELECT word, i FROM (SELECT *, (i - min(i) OVER (PARTITION BY word, i - n)) % 2 AS odd FROM picks)
+     WHERE n = 1 OR odd = 0 AND word NOT IN (SELECT word FROM alone))
+   SELECT step + 1, r.word, place, CASE WHEN c.i IS NOT NULL THEN least ELSE token END
+   FROM ranked r LEFT JOIN chosen c ON c.word = r.word AND c.i = r.i LEFT JOIN chosen d ON d.word = r.word AND d.i = r.i - 1
+   WHERE least IS NOT NULL AND d.i IS NULL AND step < {steps})
+),
+last AS (SELECT word, max(step) AS step FROM state GROUP BY word)
+SELECT word, list(token ORDER BY place) AS ids, any_value(step) >= {steps} AS open FROM state JOIN last USING (word, step) GROUP BY word ORDER BY word
 """
 
 DECODE_SQL = """
@@ -68,9 +77,11 @@ class ByteBPE:
         self.byte_ids = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
         found = ((self.ranks.get(t[:k]), self.ranks.get(t[k:]), r) for t, r in self.ranks.items() for k in range(1, len(t)))
         rows = np.array([x for x in found if x[0] is not None and x[1] is not None], np.int32).reshape(-1, 3)
+        later = rows[rows[:, 2] < rows[:, :2].max(1)]  # tokens that come before a part of theirs
+        early = np.isin(rows[:, 2], later[:, :2])
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "500MB"})
         self.db.execute("SET temp_directory = ''")
-        self.db.register("given", pa.table({"first": rows[:, 0], "second": rows[:, 1], "merged": rows[:, 2]}))
+        self.db.register("given", pa.table({"first": rows[:, 0], "second": rows[:, 1], "merged": rows[:, 2], "early": early}))
         self.db.execute("CREATE TABLE merges AS SELECT * FROM given")
         self.db.unregister("given")
         # bytes as the characters of the same code: DuckDB's strings must be valid UTF-8
@@ -78,8 +89,8 @@ class ByteBPE:
         self.db.register("given", pa.table(tokens))
         self.db.execute("CREATE TABLE vocabulary AS SELECT * FROM given")
         self.db.unregister("given")
-        self.cache: dict[str, tuple[bytes, str]] = {}
-        self.older: dict[str, tuple[bytes, str]] = {}
+        self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.cache_pieces = cache_pieces
 
     def _query(self, name: str, rows: pa.Table, sql: str) -> pa.Table:
@@ -101,52 +112,33 @@ class ByteBPE:
         return out
 
     def _merge(self, pieces: list[bytes]) -> list[np.ndarray]:
-        lengths = np.array([len(p) for p in pieces], np.int64)
-        flat = np.frombuffer(b"".join(pieces), np.uint8)
-        word = np.repeat(np.arange(len(pieces), dtype=np.int64), lengths)
-        at = np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-        ids = self._query("start", pa.table({"place": word * SLOTS + at, "token": self.byte_ids[flat]}), MERGE_SQL)["ids"].combine_chunks()
-        values, offsets = ids.values.to_numpy().astype("<u4"), ids.offsets.to_numpy()
-        return [values[a:b] for a, b in zip(offsets, offsets[1:], strict=False)]
-
-    def _merge_long(self, piece: bytes) -> np.ndarray:
-        """The same fixpoint for a piece with more positions than a row key has room for."""
-        spans = {i: piece[i : i + 1] for i in range(len(piece))}
-        after = list(range(1, len(piece) + 1))
-        before = list(range(-1, len(piece) - 1))
-        heap = []
-
-        def offer(i: int) -> None:
-            j = after[i] if i >= 0 else len(piece)
-            if j < len(piece) and (rank := self.ranks.get(spans[i] + spans[j])) is not None:
-                heapq.heappush(heap, (rank, i, spans[i], spans[j]))
-
-        for i in range(len(piece) - 1):
-            offer(i)
-        while heap:
-            _, i, left, right = heapq.heappop(heap)
-            j = after[i]
-            if spans.get(i) != left or j >= len(piece) or spans[j] != right:
-                continue
-            spans[i] = left + right
-            del spans[j]
-            after[i] = after[j]
-            if after[j] < len(piece):
-                before[after[j]] = i
-            offer(i)
-            offer(before[i])
-        return np.array([self.ranks[spans[i]] for i in sorted(spans)], "<u4")
+        """The ids of each piece; a run of the query whose steps are used up is followed by another from where it stopped."""
+        tokens = [self.byte_ids[np.frombuffer(p, np.uint8)] for p in pieces]
+        left = np.arange(len(pieces))
+        while len(left):
+            lengths = [len(tokens[i]) for i in left]
+            places = np.concatenate([np.arange(n, dtype=np.int32) for n in lengths])
+            start = pa.table({"word": np.repeat(left, lengths), "place": places, "token": np.concatenate([tokens[i] for i in left])})
+            got = self._query("start", start, MERGE_SQL.format(steps=max(8, STATE_ROWS // start.num_rows)))
+            ids = got["ids"].combine_chunks()
+            values, offsets = ids.values.to_numpy(), ids.offsets.to_numpy()
+            for word, a, b in zip(got["word"].to_pylist(), offsets, offsets[1:], strict=False):
+                tokens[word] = values[a:b]
+            left = got["word"].to_numpy()[got["open"].to_numpy()]
+        return tokens
 
     def _learn(self, pieces: list[str]) -> None:
-        for at in range(0, len(pieces), 20_000):
-            block = pieces[at : at + 20_000]
-            data = [p.encode() for p in block]
-            short = [i for i, d in enumerate(data) if len(d) <= SLOTS]
-            ids = dict(zip(short, self._merge([data[i] for i in short]), strict=True)) if short else {}
-            ids = [ids[i] if i in ids else self._merge_long(d) for i, d in enumerate(data)]
-            for piece, found, given, decoded in zip(block, ids, data, self.decode(ids), strict=True):
-                # the decoded text is mostly the piece itself, which is then kept once
-                self.cache[piece] = (found.tobytes(), piece if decoded == given else decoded.decode("utf-8", "surrogateescape"))
+        """Put the ids of the pieces into the cache, blocks of like length together."""
+        data = sorted(((p.encode(), p) for p in pieces), key=lambda x: len(x[0]))
+        at = 0
+        while at < len(data):
+            end, held = at, 0
+            while end < len(data) and (end == at or held < 200_000):
+                held += len(data[end][0])
+                end += 1
+            for (_, piece), ids in zip(data[at:end], self._merge([d for d, _ in data[at:end]]), strict=True):
+                self.cache[piece] = ids.astype("<u4").tobytes()
+            at = end
 
     def round_trip(self, texts: list[str | None]) -> list[tuple[bytes, bytes]]:
         """For each text its ids, little-endian unsigned 32-bit, and the bytes that they decode to."""
@@ -170,11 +162,8 @@ class ByteBPE:
             else:
                 self.cache[piece] = known
         self._learn(new)
-        out = []
-        for pieces in texts:
-            got = list(map(self.cache.__getitem__, pieces))
-            out.append((b"".join([x[0] for x in got]), "".join([x[1] for x in got]).encode("utf-8", "surrogateescape")))
-        return out
+        ids = [b"".join(map(self.cache.__getitem__, pieces)) for pieces in texts]
+        return list(zip(ids, self.decode([np.frombuffer(x, "<u4") for x in ids]), strict=True))
 
 
 _LOADED: dict[tuple[str, str], ByteBPE] = {}
