@@ -1,11 +1,12 @@
 """Training-order materialisation: token ids in fixed-stride binary shards, in a keyed random order.
 
-The ids of an input partition's documents, each with a closing id, form one stream, cut into sequences
-of ``length`` ids; only a partition's last sequence is padded. Sequences are numbered without gaps, and
-a keyed Feistel permutation of the numbers, cycle-walking where its domain of even bits is larger, gives each
-its global slot: no sort by a random key, no table of the order, and any slot can be computed alone. A
-shard holds a fixed number of slots. Records of one shard are gathered and compressed before the
-shuffle; range partitions put them in order and write one file each, through Spark's committer, so a
+The documents' ids, each with a closing id, form one stream in the order of ``doc_id``, cut into sequences of ``length``
+ids; only the last sequence is padded. A document's place in the stream is a running sum of lengths, made from one small
+row for each document, so neither texts nor ids are sorted, and the stream doesn't depend on how the files are split.
+Sequences are numbered without gaps, and a keyed Feistel permutation of the numbers, cycle-walking where its domain of
+even bits is larger, gives each its global slot: no sort by a random key, no table of the order, and any slot can be
+computed alone. A shard holds a fixed number of slots. Pieces of one shard are gathered and compressed before the
+shuffle; range partitions of several shards put them in place and write one file for each, through Spark's committer, so a
 lost task leaves no half file. A record is ``2 * length`` bytes of little-endian ids, padded with id 0,
 two bytes of length and a newline, so a reader that stopped after slot n goes on at byte
 ``(n mod rows) * stride`` of shard ``n div rows``.
@@ -22,10 +23,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from driftlake.llm.common import shared_dir, small_batches
+from driftlake.llm.common import durable, mark, partitions, release, shared_dir, small_batches
 from driftlake.llm.tokens import default_vocabulary, word_bpe
 
 ROUNDS = 6
+#: Shards that a range partition writes, of 8 MB each by default.
+SHARDS_EACH = 16
 
 
 def stride(length: int) -> int:
@@ -66,91 +69,96 @@ def slots(numbers: np.ndarray, total: int, key: int) -> np.ndarray:
     return out
 
 
-PIECES = "pieces array<struct<doc_id long, piece int, start long, offset int, length int, ids_crc32 long>>"
-_PIECE = pa.struct([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("offset", pa.int32()), ("length", pa.int32()), ("ids_crc32", pa.int64())])
-
-
-def sequences(docs: DataFrame, length: int, vocabulary: str | None = None) -> DataFrame:
-    """``length, pieces, record``: every sequence as its binary record, and which documents' ids lie where in it."""
+def coded(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
+    """``doc_id, ids, n``: each document's ids, two bytes each, with the closing id 0, and their number."""
     small_batches(docs.sparkSession)
     path = vocabulary or default_vocabulary()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = word_bpe(path)
-        used: list[int] = []
-        pieces: list[list[dict]] = []
-        records: list[bytes] = []
-        open_data, open_pieces = bytearray(), []
-
-        def close() -> None:
-            nonlocal open_data, open_pieces
-            used.append(len(open_data) // 2)
-            pieces.append(open_pieces)
-            records.append(bytes(open_data).ljust(2 * length, b"\0") + (len(open_data) // 2).to_bytes(2, "little") + b"\n")
-            open_data, open_pieces = bytearray(), []
-
-        def flush() -> pa.RecordBatch:
-            batch = pa.RecordBatch.from_arrays(
-                [pa.array(used, pa.int32()), pa.array(pieces, pa.list_(_PIECE)), pa.array(records, pa.binary())], ["length", "pieces", "record"]
-            )
-            used.clear()
-            pieces.clear()
-            records.clear()
-            return batch
-
         for batch in batches:
-            for doc_id, ids in zip(batch.column(0).to_pylist(), tokenizer.many(batch.column(1).to_pylist()), strict=True):
+            out = []
+            for ids in tokenizer.many(batch.column(1).to_pylist()):
                 wide = np.append(np.frombuffer(ids, "<u4"), np.uint32(0))
                 if int(wide.max()) >= 1 << 16:
                     raise ValueError("ids do not fit into two bytes")
-                data = wide.astype("<u2").tobytes()
-                at, piece = 0, 0
-                while at < len(data):
-                    part = data[at : at + 2 * length - len(open_data)]
-                    open_pieces.append(
-                        {"doc_id": doc_id, "piece": piece, "start": at // 2, "offset": len(open_data) // 2, "length": len(part) // 2, "ids_crc32": zlib.crc32(part)}
-                    )
-                    open_data += part
-                    at, piece = at + len(part), piece + 1
-                    if len(open_data) == 2 * length:
-                        close()
-            if len(records) >= 1000:
-                yield flush()
-        if open_data:
-            close()
-        yield flush()
-
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, f"length int, {PIECES}, record binary")
-
-
-def gather(placed: DataFrame) -> DataFrame:
-    """``shard, run``: the records of a batch that go to one shard, with their places, compressed."""
+                out.append(wide.astype("<u2").tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary()), pa.array([len(x) // 2 for x in out], pa.int64())], ["doc_id", "ids", "n"])
+
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, ids binary, n long")
+
+
+def starts_of(tokens: DataFrame) -> DataFrame:
+    """``row, begin``: where each document's ids begin in the stream, by ``doc_id``, nulls first, then by a hash of the ids.
+
+    Ranges of the order are summed each by itself and offset by the sums of those before them.
+    """
+    light = tokens.select("row", "doc_id", F.xxhash64("ids").alias("h"), "n")
+    ranged = durable(light.repartitionByRange(partitions(tokens.sparkSession), "doc_id", "h", "row").withColumn("part", F.spark_partition_id()))
+    sums = ranged.groupBy("part").agg(F.sum("n").alias("n"))  # a row for each range
+    before = sums.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before"))
+    within = Window.partitionBy("part").orderBy("doc_id", "h", "row").rowsBetween(Window.unboundedPreceding, 0)
+    begun = ranged.select("row", "part", (F.sum("n").over(within) - F.col("n")).alias("inside"))
+    return begun.join(F.broadcast(before), "part").select("row", (F.col("before") + F.col("inside")).alias("begin"))
+
+
+PIECES = "doc_id long, piece int, start long, offset int, length int, ids_crc32 long, sequence long, data binary"
+
+
+def pieces(placed: DataFrame, length: int) -> DataFrame:
+    """Each document of ``doc_id, ids, begin`` cut where sequences begin."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = [x.split()[0] for x in PIECES.split(", ")]
+        kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
+        for batch in batches:
+            out: list[list] = [[] for _ in names]
+            for doc_id, ids, begin in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                at, number, total = 0, 0, len(ids) // 2
+                while at < total:
+                    sequence, offset = divmod(begin + at, length)
+                    data = ids[2 * at : 2 * min(total, at + length - offset)]
+                    for column, value in zip(out, (doc_id, number, at, offset, len(data) // 2, zlib.crc32(data), sequence, data), strict=True):
+                        column.append(value)
+                    at, number = at + len(data) // 2, number + 1
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names)
+
+    return placed.select("doc_id", "ids", "begin").mapInArrow(run, PIECES)
+
+
+def gather(cut: DataFrame) -> DataFrame:
+    """``shard, run``: the pieces of a batch that go to one shard, with their places, offsets and lengths, compressed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
         squeeze = zstandard.ZstdCompressor(level=3)
         for batch in batches:
-            shard, place = batch.column(0).to_numpy(), batch.column(1).to_numpy().astype("<i4")
-            records = batch.column(2).to_pylist()
-            order = np.lexsort((place, shard))
+            shard = batch.column(0).to_numpy()
+            spots = np.stack([batch.column(i).to_numpy().astype("<i4") for i in (1, 2, 3)], axis=1)
+            data = batch.column(4).to_pylist()
+            order = np.argsort(shard, kind="stable")
             groups = np.split(order, np.flatnonzero(np.diff(shard[order])) + 1) if len(order) else []
-            runs = [squeeze.compress(len(g).to_bytes(4, "little") + place[g].tobytes() + b"".join(records[i] for i in g)) for g in groups]
+            runs = [squeeze.compress(len(g).to_bytes(4, "little") + spots[g].tobytes() + b"".join([data[i] for i in g])) for g in groups]
             yield pa.RecordBatch.from_arrays([pa.array([int(shard[g[0]]) for g in groups], pa.int32()), pa.array(runs, pa.binary())], ["shard", "run"])
 
-    return placed.select("shard", "place", "record").mapInArrow(run, "shard int, run binary")
+    return cut.select("shard", "place", "offset", "length", "data").mapInArrow(run, "shard int, run binary")
 
 
-def assemble(runs: DataFrame, size: int) -> DataFrame:
+def assemble(runs: DataFrame, length: int) -> DataFrame:
     """``shard, content`` from runs that are ordered by shard; at most one shard of fixed size is held."""
+    size = stride(length)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
         expand = zstandard.ZstdDecompressor()
-        held, content = None, bytearray()
+        held, content, used = None, bytearray(), {}
 
         def out() -> pa.RecordBatch:
+            for place, n in used.items():
+                end = (place + 1) * size
+                content[end - 3 : end] = n.to_bytes(2, "little") + b"\n"
             return pa.RecordBatch.from_arrays([pa.array([held], pa.int32()), pa.array([bytes(content)], pa.binary())], ["shard", "content"])
 
         for batch in batches:
@@ -158,14 +166,17 @@ def assemble(runs: DataFrame, size: int) -> DataFrame:
                 if shard != held:
                     if held is not None:
                         yield out()
-                    held, content = shard, bytearray()
+                    held, content, used = shard, bytearray(), {}
                 data = expand.decompress(packed)
                 n = int.from_bytes(data[:4], "little")
-                for i, place in enumerate(np.frombuffer(data[4 : 4 + 4 * n], "<i4").tolist()):
+                at = 4 + 12 * n
+                for place, offset, count in np.frombuffer(data[4:at], "<i4").reshape(-1, 3).tolist():
                     if len(content) < (place + 1) * size:
                         content.extend(bytes((place + 1) * size - len(content)))
-                    start = 4 + 4 * n + i * size
-                    content[place * size : (place + 1) * size] = data[start : start + size]
+                    begin = place * size + 2 * offset
+                    content[begin : begin + 2 * count] = data[at : at + 2 * count]
+                    used[place] = max(used.get(place, 0), offset + count)
+                    at += 2 * count
         if held is not None:
             yield out()
 
@@ -185,30 +196,33 @@ def slot_of(total: int, key: int):
 
 
 def materialise(docs: DataFrame, path: str, length: int = 2048, rows: int = 2048, key: int = 20, vocabulary: str | None = None) -> DataFrame:
-    """Write the shards under ``path`` and return the manifest: a row for each document's piece in a sequence.
+    """Write the shards to ``path/shards/shard=N``, one file of records each, and return the manifest.
 
-    ``path/tokens`` keeps the numbered sequences, ``path/shards/shard=N`` one file of records each. The
-    manifest has ``doc_id, piece, start, offset, length, ids_crc32, sequence, slot, shard, place``. A
-    null or empty text is its closing id; repeated rows are all written; only ``doc_id`` and ``text`` are
-    read; an empty table writes no shard.
+    It has a row for each document's piece in a sequence: ``doc_id, piece, start, offset, length, ids_crc32, sequence, slot,
+    shard, place``. A null or empty text is its closing id; texts of any length are cut, never shortened; rows without a
+    ``doc_id`` come first; repeated rows are all written, next to each other; rows that share a ``doc_id`` follow a hash of
+    their ids. Only ``doc_id`` and ``text`` are read; an empty table writes no shard. ``length`` is at most 65,535. The manifest
+    reads the token table in the shared folder, until :func:`common.release`.
     """
-    spark = docs.sparkSession
-    row = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
-    numbered = sequences(docs, length, vocabulary).withColumn("part", F.spark_partition_id()).withColumn("row", row)
-    numbered.write.option("compression", "zstd").parquet(f"{path}/tokens")
-    tokens = spark.read.parquet(f"{path}/tokens")
-    counts = tokens.groupBy("part").agg(F.count("*").alias("n"))  # a row for each input partition
-    before = counts.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before"))
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    slot = slot_of(max(total, 1), key)("sequence")
-    placed = tokens.join(F.broadcast(before), "part").withColumn("sequence", F.col("before") + F.col("row")).withColumn("slot", slot)
-    placed = placed.withColumn("shard", F.expr(f"slot div {rows}").cast("int")).withColumn("place", F.expr(f"slot % {rows}").cast("int"))
-    if shards := -(-total // rows):
-        runs = gather(placed).repartitionByRange(shards, "shard").sortWithinPartitions("shard")
-        # the last record's own newline is the line's end, so the text writer puts out the bytes as they are
-        body = F.expr("substring(content, 1, length(content) - 1)").cast("string").alias("value")
-        assemble(runs, stride(length)).select("shard", body).write.partitionBy("shard").text(f"{path}/shards", lineSep="\n")
-    return placed.select("sequence", "slot", "shard", "place", F.explode("pieces").alias("p")).select("p.*", "sequence", "slot", "shard", "place")
+    if not 0 < length < 1 << 16:
+        raise ValueError("a sequence has 1 to 65,535 ids")
+    spark, began = docs.sparkSession, mark()
+    try:
+        tokens = durable(coded(docs, vocabulary).withColumn("row", F.monotonically_increasing_id()), "row")
+        total = tokens.agg(F.sum("n")).first()[0] or 0
+        count = -(-total // length)
+        cut = pieces(tokens.join(starts_of(tokens), "row"), length).withColumn("slot", slot_of(max(count, 1), key)("sequence"))
+        cut = cut.withColumn("shard", F.expr(f"slot div {rows}").cast("int")).withColumn("place", F.expr(f"slot % {rows}").cast("int"))
+        if shards := -(-count // rows):
+            dealt = max(-(-shards // SHARDS_EACH), min(shards, partitions(spark)))
+            runs = gather(cut).repartitionByRange(dealt, "shard").sortWithinPartitions("shard")
+            # the last record's own newline is the line's end, so the text writer puts out the bytes as they are
+            body = F.expr("substring(content, 1, length(content) - 1)").cast("string").alias("value")
+            assemble(runs, length).select("shard", body).write.partitionBy("shard").text(f"{path}/shards", lineSep="\n")
+    except BaseException:
+        release(spark, began)
+        raise
+    return cut.drop("data").select("doc_id", "piece", "start", "offset", "length", "ids_crc32", "sequence", "slot", "shard", "place")
 
 
 def read_slots(spark: SparkSession, path: str, first: int, count: int, length: int = 2048, rows: int = 2048) -> DataFrame:

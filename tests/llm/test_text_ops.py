@@ -151,7 +151,7 @@ def test_byte_bpe(docs, empty):
     library = tiktoken.Encoding("t", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.read_ranks(path), special_tokens={})
     rng = random.Random(2)
     odd = ["".join(rng.choice("aB'st é\n\t\x0b\x85\xa0　\x00\x1c<|>09²一😀_.") for _ in range(rng.randint(0, 30))) for _ in range(300)]
-    odd += ["a" * 3000, "ab" * 900 + " x", "<|endoftext|>"]
+    odd += ["a" * 3000, "ab" * 900 + " x", "<|endoftext|>", "-" * 70_000, " " * 5001, "".join(rng.choice("aeiounrst") for _ in range(3000))]
     for text, (ids, decoded) in zip(odd, bpe.byte_bpe(path, pattern).round_trip(odd)):
         assert np.frombuffer(ids, "<u4").tolist() == library.encode_ordinary(text) and decoded == text.encode()
     coded = bpe.encode(docs)
@@ -171,26 +171,50 @@ def test_word_bpe_equals_the_library():
 
 
 def test_training_order(spark, docs, empty, tmp_path):
+    from tokenizers import Tokenizer
+
     for total in (1, 2, 3, 17, 1000, 4097):
         found = materialise.slots(np.arange(total), total, 9)
         assert sorted(found) == list(range(total)) and [materialise.feistel(i, total, 9) for i in range(min(total, 50))] == found[:50].tolist()
-    path = str(tmp_path / "a")
-    rows = materialise.materialise(docs, path, length=64, rows=16, key=5).collect()
-    total = 1 + max(r["slot"] for r in rows)
-    assert {r["slot"] for r in rows} == set(range(total)) and all(r["shard"] * 16 + r["place"] == r["slot"] for r in rows)
-    record = {r["slot"]: bytes(r["ids"]) for r in materialise.read_slots(spark, path, 5, total - 5, length=64, rows=16).collect()}
-    assert set(record) == set(range(5, total))
-    coder, parts = tokens.word_bpe(tokens.default_vocabulary()), defaultdict(list)
-    for r in rows:
-        if r["slot"] >= 5:
-            assert zlib.crc32(record[r["slot"]][2 * r["offset"] : 2 * (r["offset"] + r["length"])]) == r["ids_crc32"]
-        parts[r["doc_id"]].append((r["start"], r["length"]))
-    for doc_id, text, *_ in make_docs()[:60]:
-        if doc_id != 3:
-            assert sum(n for _, n in parts[doc_id]) == len(coder.ids(text)) // 4 + 1
+    library = Tokenizer.from_file(tokens.default_vocabulary())
+    want = Counter()
+    for doc_id, text, *_ in make_docs():
+        want[doc_id, np.array([*library.encode(text or "", add_special_tokens=False).ids, 0], "<u2").tobytes()] += 1
+    written = []
+    for name, table in (("a", docs.repartition(1)), ("b", docs.repartition(7))):  # the order doesn't depend on how rows are dealt
+        path = str(tmp_path / name)
+        rows = materialise.materialise(table, path, length=64, rows=16, key=5).collect()
+        total = 1 + max(r["slot"] for r in rows)
+        assert {r["slot"] for r in rows} == set(range(total)) and all(r["shard"] * 16 + r["place"] == r["slot"] for r in rows)
+        assert all(r["slot"] == materialise.feistel(r["sequence"], total, 5) for r in rows)
+        record = {r["slot"]: bytes(r["ids"]) for r in materialise.read_slots(spark, path, 5, total - 5, length=64, rows=16).collect()}
+        assert set(record) == set(range(5, total))
+        record = {r["slot"]: bytes(r["ids"]) for r in materialise.read_slots(spark, path, 0, total, length=64, rows=16).collect()}
+        assert sorted(len(r) for r in record.values())[1:] == [128] * (total - 1)  # only the last sequence is padded
+        # by the shards alone: the stream is the library's ids of all documents in order
+        stream = b"".join(record[materialise.feistel(i, total, 5)] for i in range(total))
+        rows.sort(key=lambda r: (r["sequence"], r["offset"]))
+        found, at = Counter(), 0
+        for r in rows:
+            part = stream[at : at + 2 * r["length"]]
+            assert zlib.crc32(part) == r["ids_crc32"] and (r["sequence"] * 64 + r["offset"]) * 2 == at
+            at += len(part)
+            if not r["start"]:
+                whole = b""
+            whole += part
+            if whole.endswith(b"\0\0") and (r is rows[-1] or not rows[rows.index(r) + 1]["start"]):
+                found[r["doc_id"], whole] += 1
+        assert found == want and at == len(stream)
+        ids = [-1 if r["doc_id"] is None else r["doc_id"] for r in rows]
+        assert ids == sorted(ids)
+        written.append(record)
+    assert written[0] == written[1]
     size = materialise.stride(64)
-    assert all(len(r["content"]) % size == 0 for r in spark.read.format("binaryFile").load(f"{path}/shards").collect())
-    assert materialise.materialise(empty, str(tmp_path / "b")).count() == 0
+    assert all(len(r["content"]) % size == 0 for r in spark.read.format("binaryFile").load(f"{tmp_path}/a/shards").collect())
+    assert materialise.materialise(empty, str(tmp_path / "c")).count() == 0
+    with pytest.raises(ValueError):
+        materialise.materialise(docs, str(tmp_path / "d"), length=1 << 16)
+    common.release(spark)
 
 
 def brute_counts(text):
@@ -497,6 +521,36 @@ def test_near_copies_keep_one_row(spark, monkeypatch):
         assert Counter(kept) == Counter([(5, a), (5, b), (9, c), (None, "")])
 
 
+@pytest.mark.parametrize("hot", [16, 0])
+def test_near_copies_of_frequent_tokens(spark, monkeypatch, hot):
+    whole = neardup.keep_one
+    monkeypatch.setattr(neardup, "keep_one", lambda docs, words, limit: whole(docs, words, limit, hot, 0))
+    rng = random.Random(5)
+    shared = [f"s{i}" for i in range(40)]
+    rows = []
+    for i in range(60):  # texts with a common passage, some of them near copies
+        own = [f"o{rng.randint(0, 12)}x{k}" for k in range(rng.choice([5, 30, 200]))]
+        rows.append((i, " ".join(own + shared)))
+        if i % 3 == 0:
+            rows.append((100 + i, " ".join([*own, "new", *shared])))
+    roots = near_groups(rows)
+    table = spark.createDataFrame(rows, "doc_id long, text string").withColumn("_near_row", F.lit("x")).withColumn("row", F.lit(1)).withColumn("_key", F.col("doc_id"))
+    kept = simhash.keep_one(table).collect()
+    assert sorted(r["doc_id"] for r in kept) == sorted({r: min(rows[i][0] for i in range(len(rows)) if roots[i] == r) for r in roots}.values())
+    assert all(r["_near_row"] == "x" and r["row"] == 1 and r["_key"] == r["doc_id"] for r in kept)
+    common.release(spark)
+
+
+def test_quality_rows():
+    vectors = [quality.features(t, t.encode().split()) for t in ("a b c d", "", "straße naïve " * 40, "x")]
+    rows = quality.rows_of([quality.sparse(v) for v in vectors])
+    weights = np.random.default_rng(1).standard_normal(quality.BUCKETS)
+    assert np.allclose(rows.times(weights), np.array(vectors) @ weights, atol=2e-2)
+    assert np.allclose(rows.weighted(np.array([1.0, 2, 3, 4])), np.array([1.0, 2, 3, 4]) @ np.array(vectors), atol=1e-2)
+    same = quality.features("abcdé", []), quality.features("abcdè", [])
+    assert (same[0] != same[1]).sum() == 2  # one window of characters differs, however many bytes they have
+
+
 def test_pipeline(spark, tmp_path):
     import corpus_pipeline
 
