@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from driftlake.functions.ordered import WEEK_S, lookups, neighbours, running_total
+from driftlake.session import settled
 
 
 def nearest(probes: DataFrame, candidates: DataFrame, by: list[str], at: str, candidate_at: str, tolerance: int, strict: bool = False, width: int = WEEK_S) -> DataFrame:
@@ -79,7 +80,19 @@ def closest_anchor(probes: DataFrame, anchors: DataFrame, by: list[str], at: str
     (``interpolated``); without any there is no time (``no_nearby_reference``, or ``no_reference_data``
     where the series has no anchor at all).
     """
-    x = F.col(at)
-    found = lookups(probes, with_sums(anchors, by, width), by, {"_hit": x, "_low": x - around - 1, "_high": x + around}, "unix", width)
+    x, summed = F.col(at), with_sums(anchors, by, width)
+    found = neighbours(probes, summed, by, at, "unix", "before", width)
+    near = F.least(x - F.col("prev.unix"), F.col("next.unix") - x) <= horizon
+    nothing = F.lit(None).cast(found.select(F.struct("prev", "next").alias("s")).schema["s"].dataType)
+    found = settled(found.select(*probes.columns, F.struct("prev", "next").alias("_hit"), (~near).alias("_far")))
+    # only probes without an anchor within the horizon look up what lies around them
+    own = [*probes.columns, "_hit"]
+    close = found.where("NOT coalesce(_far, false)").select(*own, nothing.alias("_low"), nothing.alias("_high"))
+    far = lookups(found.where("_far").select(*own), summed, by, {"_low": x - around - 1, "_high": x + around}, "unix", width)
     columns = closest_of(x, "_hit", "_low", "_high", horizon)
-    return found.select(*probes.columns, *[c.alias(n) for n, c in columns.items()])
+    return close.unionByName(far).select(*probes.columns, *[c.alias(n) for n, c in columns.items()])
+
+
+def usable_counts(rows: DataFrame, by: list[str], least: float) -> DataFrame:
+    """The rows of at least this confidence in each group, which can serve as anchors of others."""
+    return rows.where(F.col("confidence") >= least).groupBy(*by).agg(F.count("*").alias("n"))

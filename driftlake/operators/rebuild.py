@@ -39,7 +39,8 @@ def spread(df: DataFrame, by: list[str], at: str, rtc: str, order: list[str], in
     ``step_bounds_s``, else the device's ``interval`` in seconds. A run of equal times is one window, so
     no series is one task.
     """
-    within = Window.partitionBy(*by, at).orderBy(rtc, *order)
+    # rows without a time get none, so they need not meet
+    within = Window.partitionBy(*by, at, F.when(F.col(at).isNull(), F.col(rtc))).orderBy(rtc, *order)
     low, high = (s * SECOND for s in settings.step_bounds_s)
     interval = F.lit(interval) if isinstance(interval, int) else interval
     step = F.col(rtc) - F.lag(rtc).over(within)

@@ -224,8 +224,8 @@ back AS (SELECT b.* REPLACE (CASE WHEN rtc < r[1] AND confidence < 0.6 THEN rtc
 """
 
 
-def aligned_of(ev, strategy="adaptive"):
-    return settled(align.align(segments_of(ev).drop("unix_time"), anchors_of(ev), BY, strategy))
+def aligned_of(ev, strategy="adaptive", settings=Settings()):
+    return settled(align.align(segments_of(ev).drop("unix_time"), anchors_of(ev), BY, strategy, settings))
 
 
 def borrowed_of(ev):
@@ -282,9 +282,17 @@ def segment_drift_rate(ev):
 
 # statistics of the alignment
 
-@query("SELECT segment_id, count(*) AS num_samples, round(avg(d), 4) AS mean_drift_seconds, round(median(d), 4) AS median_drift_seconds, round(stddev_samp(d), 4) AS std_drift_seconds, round(min(d), 4) AS min_drift_seconds, round(max(d), 4) AS max_drift_seconds, round(avg(confidence), 4) AS mean_confidence, round(100.0::DOUBLE * count(*) FILTER (WHERE confidence >= 0.9) / count(*), 4) AS pct_high_confidence, round(100.0::DOUBLE * count(*) FILTER (WHERE confidence < 0.6) / count(*), 4) AS pct_low_confidence, count(DISTINCT method) AS methods FROM (SELECT *, (aligned - rtc) / 1e6 AS d FROM borrowed) GROUP BY ALL", BORROWED)
+METHODS = "string_agg(method || ':' || n, ',' ORDER BY method)"
+
+
+def method_text(column: str):
+    """A map of method counts as one text, which both engines can compare."""
+    return F.array_join(F.transform(F.array_sort(F.map_entries(column)), lambda x: F.concat(x["key"], F.lit(":"), x["value"].cast("string"))), ",")
+
+
+@query(f"SELECT * FROM (SELECT user_id, segment_id, count(*) AS num_samples, round(avg(d), 4) AS mean_drift_seconds, round(median(d), 4) AS median_drift_seconds, round(stddev_samp(d), 4) AS std_drift_seconds, round(min(d), 4) AS min_drift_seconds, round(max(d), 4) AS max_drift_seconds, round(avg(confidence), 4) AS mean_confidence, round(100.0::DOUBLE * count(*) FILTER (WHERE confidence >= 0.9) / count(*), 4) AS pct_high_confidence, round(100.0::DOUBLE * count(*) FILTER (WHERE confidence < 0.6) / count(*), 4) AS pct_low_confidence FROM (SELECT *, (aligned - rtc) / 1e6 AS d FROM borrowed) GROUP BY ALL) JOIN (SELECT user_id, segment_id, {METHODS} AS methods FROM (SELECT user_id, segment_id, method, count(*) AS n FROM borrowed GROUP BY ALL) GROUP BY ALL) USING (user_id, segment_id)", BORROWED)
 def alignment_stats(ev):
-    return stats.alignment_stats(borrowed_of(ev), ["segment_id"]).withColumn("methods", F.size("alignment_methods").cast("long")).drop("alignment_methods")
+    return stats.alignment_stats(borrowed_of(ev), [*BY, "segment_id"]).withColumn("methods", method_text("alignment_methods")).drop("alignment_methods")
 
 
 @query("SELECT method, round(avg(confidence), 2) AS confidence_mean, round(min(confidence), 2) AS confidence_min, round(max(confidence), 2) AS confidence_max, count(*) AS count, round(avg(d), 2) AS drift_mean, round(stddev_samp(d), 2) AS drift_std, round(min(d), 2) AS drift_min, round(max(d), 2) AS drift_max FROM (SELECT *, (aligned - rtc) / 1e6 AS d FROM borrowed) GROUP BY ALL", BORROWED)
@@ -306,12 +314,18 @@ def _five(x, name):
 
 @query(f"SELECT {_five('d', 'drift')}, round(max(d) - min(d), 4) AS range_drift FROM (SELECT (aligned - rtc) / 1e6 AS d FROM borrowed)", BORROWED)
 def drift_pattern(ev):
-    return borrowed_of(ev).agg(*stats.spread_of(F.col("drift_seconds"), "drift", True))
+    return stats.drift_pattern(borrowed_of(ev))
 
 
-@query(f"SELECT * FROM (SELECT count(*) AS total, min(aligned) AS first_time, max(aligned) AS last_time, {_five('confidence', 'confidence')}, {PCT}, {_five('d', 'drift')}, round((max(d) - min(d)) / 3600, 4) AS drift_range_hours FROM (SELECT *, (aligned - rtc) / 1e6 AS d FROM borrowed)), (SELECT count(*) AS num_segments, round(avg(size), 4) AS mean_segment, round(median(size), 4) AS median_segment FROM (SELECT count(*) AS size FROM borrowed GROUP BY segment_id))", BORROWED)
+@query(f"SELECT * FROM (SELECT count(*) AS total, min(rtc) AS first_rtc, max(rtc) AS last_rtc, min(aligned) AS first_time, max(aligned) AS last_time, {_five('confidence', 'confidence')}, {PCT}, {_five('d', 'drift')}, round((max(d) - min(d)) / 3600, 4) AS drift_range_hours FROM (SELECT *, (aligned - rtc) / 1e6 AS d FROM borrowed)), (SELECT count(*) AS num_segments, round(avg(size), 4) AS mean_segment, round(median(size), 4) AS median_segment FROM (SELECT count(*) AS size FROM borrowed GROUP BY user_id, segment_id)), (SELECT {METHODS} AS methods FROM (SELECT method, count(*) AS n FROM borrowed GROUP BY ALL))", BORROWED)
 def quality_report(ev):
-    return stats.quality_report(borrowed_of(ev))
+    return stats.quality_report(borrowed_of(ev), BY).withColumn("methods", method_text("methods"))
+
+
+@query("SELECT event_id, c AS confidence FROM (SELECT event_id, confidence + CASE event_id % 5 WHEN 0 THEN 0.5 WHEN 1 THEN -0.5 ELSE 0 END AS c FROM borrowed) WHERE c < 0 OR c > 1", BORROWED)
+def confidence_out_of_range(ev):
+    shifted = F.when(F.expr("event_id % 5 = 0"), 0.5).when(F.expr("event_id % 5 = 1"), -0.5).otherwise(0.0)
+    return stats.invalid_confidence(borrowed_of(ev).withColumn("confidence", F.col("confidence") + shifted)).select("event_id", "confidence")
 
 
 ERR = BORROWED + """,
@@ -323,9 +337,10 @@ err AS (SELECT user_id, unix, received, m.s.aligned AS aligned, m.s.rtc AS rtc,
 ERRORS = "count(*) AS n, round(avg(abs(e)), 4) AS mae, round(median(abs(e)), 4) AS median_abs, round(sqrt(avg(e * e)), 4) AS rmse, round(quantile_cont(abs(e), 0.95), 4) AS p95, round(max(abs(e)), 4) AS max_abs, round(avg(abs(r) - abs(e)), 4) AS mean_improvement"
 
 
-def errors_of(ev):
-    rows = borrowed_of(ev).select("user_id", "aligned", "rtc", "confidence", "position", "event_id")
-    found = matching.nearest(anchors_of(ev), rows, BY, "received", "aligned", 3600 * SECOND, width=WIDE).where("match IS NOT NULL")
+def errors_of(ev, probes=None, strict=False, borrowed=None):
+    rows = (borrowed_of(ev) if borrowed is None else borrowed).select("user_id", "aligned", "rtc", "confidence", "position", "event_id")
+    probes = anchors_of(ev) if probes is None else probes.select("user_id", "unix", "received")
+    found = matching.nearest(probes, rows, BY, "received", "aligned", 3600 * SECOND, strict, WIDE).where("match IS NOT NULL")
     return stats.errors(found.select("user_id", "unix", "received", "match.*"))
 
 
@@ -344,14 +359,24 @@ def error_stats_by_position(ev):
     return stats.error_stats(errors_of(ev), ["position"])
 
 
-@query(f"SELECT {ERRORS} FROM err WHERE unix % 5 = 0", ERR)
+#: The split's hash: the last seven of a digest's digits, as a number in DuckDB and in Spark.
+TESTED = "CAST('0x' || right(md5('42:' || unix), 7) AS BIGINT) % 10000 < 2000"
+
+
+@query(f"SELECT user_id, unix, k >= 5 AND {TESTED} AS is_test FROM (SELECT *, count(*) OVER (PARTITION BY user_id) AS k FROM anchors)")
+def holdout_split(ev):
+    return stats.holdout(anchors_of(ev), BY, least=5).select("user_id", "unix", "is_test")
+
+
+@query(f"SELECT {ERRORS} FROM err JOIN (SELECT user_id, count(*) AS k FROM anchors GROUP BY ALL) USING (user_id) WHERE k >= 5 AND {TESTED} AND abs(received - aligned) < 3600000000", ERR)
 def holdout_stats(ev):
-    return stats.error_stats(errors_of(ev).where("unix % 5 = 0"), [])
+    tests = stats.holdout(anchors_of(ev), BY, least=5).where("is_test")
+    return stats.error_stats(errors_of(ev, tests, strict=True), [])
 
 
 @query("SELECT position, count(*) AS n FROM borrowed WHERE confidence >= 0.7 GROUP BY ALL", BORROWED)
 def anchor_counts(ev):
-    return borrowed_of(ev).where(F.col("confidence") >= Settings().usable_confidence).groupBy("position").agg(F.count("*").alias("n"))
+    return matching.usable_counts(borrowed_of(ev), ["position"], Settings().usable_confidence)
 
 
 @query("SELECT user_id, segment_id, count(*) AS rows, round(avg(confidence), 4) AS mean_confidence, min(confidence) AS min_confidence FROM borrowed GROUP BY ALL HAVING avg(confidence) < 0.6", BORROWED)
@@ -364,14 +389,37 @@ def high_confidence(ev):
     return writers.high_confidence(borrowed_of(ev)).select("event_id", "confidence")
 
 
+@query("SELECT count(*) AS rows, count(*) FILTER (WHERE confidence >= 0.9) AS kept, round(100.0::DOUBLE * count(*) FILTER (WHERE confidence >= 0.9) / count(*), 4) AS kept_pct FROM borrowed", BORROWED)
+def high_confidence_share(ev):
+    return writers.kept_share(borrowed_of(ev))
+
+
 @query("SELECT least(floor(confidence / 0.02::DOUBLE), 49)::INTEGER AS bin, count(*) AS n FROM borrowed WHERE confidence BETWEEN 0 AND 1 GROUP BY ALL", BORROWED)
 def hist_confidence(ev):
     return stats.histogram(borrowed_of(ev), "confidence", 0.0, 1.0)
 
 
-@query()
+@query("SELECT event_id, rtc, aligned FROM borrowed ORDER BY md5('42:' || event_id), event_id LIMIT 1000", BORROWED)
 def plot_sample(ev):
-    return stats.plot_sample(borrowed_of(ev).select("event_id", "rtc", "aligned"), 1000)
+    return stats.plot_sample(borrowed_of(ev).select("event_id", "rtc", "aligned"), ["event_id"], 1000)
+
+
+@query("SELECT user_id, least(floor((aligned - lo) * 100.0::DOUBLE / (hi - lo + 1)), 99)::INTEGER AS bin, count(*) AS n, round(avg(d), 4) AS mean_drift, round(min(d), 4) AS min_drift, round(max(d), 4) AS max_drift FROM (SELECT *, (aligned - rtc) / 1e6 AS d FROM borrowed) JOIN (SELECT user_id, min(aligned) AS lo, max(aligned) AS hi FROM borrowed GROUP BY ALL) USING (user_id) GROUP BY ALL", BORROWED)
+def plot_drift_line(ev):
+    return stats.drift_line(borrowed_of(ev), BY, 100)
+
+
+@query("SELECT user_id, segment_id, count(*) AS n, round(avg(confidence), 4) AS mean_confidence FROM borrowed GROUP BY ALL", BORROWED)
+def plot_segment_bars(ev):
+    return stats.segment_bars(borrowed_of(ev), BY)
+
+
+@query("SELECT user_id, count(*) AS total_points, min(unix) AS first_unix, max(unix) AS last_unix, min(us) AS first_received, max(us) AS last_received, count(*) - count(DISTINCT unix) AS duplicates, count(*) FILTER (WHERE f = 'NEW') AS new_points, count(*) FILTER (WHERE f = 'OLD') AS old_points FROM (SELECT *, us // 86400000000 AS unix, CASE WHEN event_id % 3 = 0 THEN 'OLD' ELSE 'NEW' END AS f FROM ev) GROUP BY ALL")
+def anchor_load_check(ev):
+    kind = F.when(F.expr("event_id % 3 = 0"), "OLD").otherwise("NEW")
+    out = stats.anchor_check(ev.withColumn("unix", F.expr(f"us div {DAY_US}")).withColumn("format", kind), BY, "us")
+    n = {k: F.coalesce(F.try_element_at("formats", F.lit(k)), F.lit(0)) for k in ("NEW", "OLD")}
+    return out.withColumns({"new_points": n["NEW"], "old_points": n["OLD"]}).drop("formats")
 
 
 # rebuilding
@@ -430,7 +478,7 @@ def distinct_anchors(ev):
 
 @query("SELECT event_id, ts - INTERVAL 60 MINUTE AS utc, epoch_us(ts) // 1000000 AS unix_time FROM events")
 def fixed_offset_to_utc(ev):
-    utc = F.timestamp_micros("us") - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(60))
+    utc = sd_text.to_utc(F.timestamp_micros("us"), 60)
     return ev.select("event_id", utc.cast("timestamp_ntz").alias("utc"), F.expr("us div 1000000").alias("unix_time"))
 
 
@@ -452,7 +500,7 @@ def overlap(ev):
     return stats.overlap(rows_of(ev), anchors_of(ev), BY, "rtc", "received")
 
 
-@query(f"SELECT * FROM (SELECT user_id, count(*) AS total_rows, count(DISTINCT us // {DAY_US}) AS files, min(us) AS first_time, max(us) AS last_time, count(*) FILTER (WHERE us BETWEEN {FROM} AND {TO}) AS valid_rows, count(*) FILTER (WHERE NOT us BETWEEN {FROM} AND {TO}) AS invalid_rows, round(100.0::DOUBLE * count(*) FILTER (WHERE us BETWEEN {FROM} AND {TO}) / count(*), 4) AS valid_pct, count(*) FILTER (WHERE event_type = 'error') AS recovered_rows, round(100.0::DOUBLE * count(*) FILTER (WHERE event_type = 'error') / count(*), 4) AS recovered_pct, count(DISTINCT us // {DAY_US}) FILTER (WHERE event_type = 'error') AS files_recovered FROM ev GROUP BY ALL) JOIN (SELECT user_id, sum(n - 1)::BIGINT AS duplicates FROM (SELECT user_id, count(*) AS n FROM ev GROUP BY user_id, us, us // {DAY_US}) GROUP BY ALL) USING (user_id)")
+@query(f"SELECT * FROM (SELECT user_id, count(*) AS total_rows, count(DISTINCT us // {DAY_US}) AS files, min(us) AS first_time, max(us) AS last_time, count(*) FILTER (WHERE us BETWEEN {FROM} AND {TO}) AS valid_rows, count(*) FILTER (WHERE NOT us BETWEEN {FROM} AND {TO}) AS invalid_rows, round(100.0::DOUBLE * count(*) FILTER (WHERE us BETWEEN {FROM} AND {TO}) / count(*), 4) AS valid_pct, count(*) FILTER (WHERE event_type = 'error') AS recovered_rows, round(100.0::DOUBLE * count(*) FILTER (WHERE event_type = 'error') / count(*), 4) AS recovered_pct, count(DISTINCT us // {DAY_US}) FILTER (WHERE event_type = 'error') AS files_recovered, count(*) FILTER (WHERE event_type = 'error' AND us BETWEEN {FROM} AND {TO}) AS recovered_valid_rows FROM ev GROUP BY ALL) JOIN (SELECT user_id, sum(n - 1)::BIGINT AS duplicates FROM (SELECT user_id, count(*) AS n FROM ev GROUP BY user_id, us, us // {DAY_US}) GROUP BY ALL) USING (user_id)")
 def load_check(ev):
     rows = ev.withColumn("file", F.expr(f"us div {DAY_US}")).withColumn("recovered", F.col("event_type") == "error")
     return stats.load_check(rows, BY, "us", "file", "recovered", FROM, TO)
@@ -471,19 +519,19 @@ status AS (SELECT *, CASE WHEN len(issues) = 0 THEN 'OK' ELSE array_to_string(is
 """
 
 
-def qa_of(ev):
+def qa_of(ev, least=2):
     lines = ev.select("user_id", F.expr(f"us div {DAY_US}").alias("day"), "us", "event_id", F.expr("event_id % 4 + 3").alias("n_fields"))
-    return stats.file_qa(lines, ["user_id", "day"], "us", "event_id", F.expr("cast(user_id % 24 as int)"), samples=3)
+    return stats.file_qa(lines, ["user_id", "day"], "us", "event_id", F.expr("cast(user_id % 24 as int)"), samples=3, least=least)
 
 
 def status_of(ev):
-    return stats.file_status(qa_of(ev))
+    return stats.file_status(qa_of(ev, 0))
 
 
 QA = "user_id, day, num_lines, num_valid_timestamps, is_chronological, num_reversals, first_reversal, round(max_reversal_seconds, 4) AS max_reversal_seconds, round(max_gap_seconds, 4) AS max_gap_seconds, round(mean_gap_seconds, 4) AS mean_gap_seconds, round(median_gap_seconds, 4) AS median_gap_seconds, num_large_gaps, expected_hour, round(correct_hour_pct, 4) AS correct_hour_pct, start_time, end_time, round(duration_minutes, 4) AS duration_minutes, min_fields, max_fields, inconsistent_fields, sample_count_deviation"
 
 
-@query(f"SELECT {QA} FROM qa", FILES)
+@query(f"SELECT {QA} FROM qa WHERE num_valid_timestamps >= 2", FILES)
 def file_qa(ev):
     return qa_of(ev).drop("mean_drift_seconds", "expected_samples")
 
@@ -493,7 +541,7 @@ def file_qa_status(ev):
     return status_of(ev).select("user_id", "day", "status", "num_issues")
 
 
-@query("SELECT user_id, day FROM qa WHERE NOT is_chronological OR num_reversals > 0 OR correct_hour_pct < 80", FILES)
+@query("SELECT user_id, day FROM qa WHERE num_valid_timestamps >= 2 AND (NOT is_chronological OR num_reversals > 0 OR correct_hour_pct < 80)", FILES)
 def problem_files(ev):
     return stats.problem_files(qa_of(ev)).select("user_id", "day")
 
@@ -511,7 +559,7 @@ def top_issue_files(ev):
 STEPS = "(SELECT user_id, (us - lag(us) OVER (PARTITION BY user_id ORDER BY us, event_id)) / 1000000 AS s FROM ev)"
 
 
-@query(f"SELECT user_id, count(*) AS intervals, round(avg(s), 4) AS mean_s, round(median(s), 4) AS median_s, round(stddev_pop(s), 4) AS std_s, round(100.0::DOUBLE * count(*) FILTER (WHERE abs(s - 3600) <= 0.1) / count(*), 4) AS pct_exact, round(100.0::DOUBLE * count(*) FILTER (WHERE s BETWEEN 2880 AND 4320) / count(*), 4) AS pct_near, count(*) FILTER (WHERE s > 60) AS over_minute FROM {STEPS} WHERE s IS NOT NULL GROUP BY ALL")
+@query(f"SELECT user_id, count(*) AS intervals, round(avg(s), 4) AS mean_s, round(median(s), 4) AS median_s, round(stddev_pop(s), 4) AS std_s, round(100.0::DOUBLE * count(*) FILTER (WHERE abs(s - 3600) < 0.1) / count(*), 4) AS pct_exact, round(100.0::DOUBLE * count(*) FILTER (WHERE s BETWEEN 2880 AND 4320) / count(*), 4) AS pct_near, count(*) FILTER (WHERE s > 60) AS over_minute FROM {STEPS} WHERE s IS NOT NULL GROUP BY ALL")
 def interval_stats(ev):
     return stats.interval_stats(ev, BY, "us", ["event_id"], 3600, (2880, 4320))
 
@@ -537,7 +585,7 @@ def span_summary(ev):
 @query(f"SELECT user_id, day, round(minutes, 4) AS minutes FROM {SPANS} ORDER BY minutes, user_id, day LIMIT 10")
 def shortest_files(ev):
     spans = stats.file_spans(ev.withColumn("day", F.expr(f"us div {DAY_US}")), ["user_id", "day"], "us")
-    return spans.orderBy("minutes", "user_id", "day").limit(10).select("user_id", "day", "minutes")
+    return stats.shortest(spans, ["user_id", "day"]).select("user_id", "day", "minutes")
 
 
 @query(f"SELECT count(*) AS files, round(avg(n), 4) AS mean_lines, round(median(n), 4) AS median_lines, min(n) AS min_lines, max(n) AS max_lines, round(stddev_pop(n), 4) AS std_lines, round(100.0::DOUBLE * sum(n) / (count(*) * 3), 4) AS coverage_pct FROM (SELECT count(*) AS n FROM ev GROUP BY user_id, us // {DAY_US})")
@@ -550,7 +598,7 @@ def row_reconciliation(ev):
     return stats.reconcile(ev, rows_of(ev))
 
 
-LABEL = "CASE WHEN {x} >= {a} THEN 'excellent' WHEN {x} >= {b} THEN 'good' WHEN {x} >= {c} THEN 'fair' ELSE 'poor' END"
+LABEL = "CASE WHEN {x} >= {a} THEN 'excellent' WHEN {x} >= {b} THEN 'good' WHEN {x} >= {c} THEN '{third}' ELSE 'poor' END"
 TOTALS = """(SELECT user_id, 100.0::DOUBLE * count(*) FILTER (WHERE value >= 0) / count(*) AS valid_pct, 100.0::DOUBLE * count(*) FILTER (WHERE event_type <> 'error') / count(*) AS chronological_pct, 100.0::DOUBLE * count(*) FILTER (WHERE event_type <> 'view') / count(*) AS interval_pct, 100.0::DOUBLE * count(*) FILTER (WHERE event_id % 10 > 0) / count(*) AS duplicate_free_pct, count(*) FILTER (WHERE event_id % 97 = 0) AS critical, count(*) FILTER (WHERE event_id % 31 = 0) AS reversals, count(*) FILTER (WHERE event_id % 7 = 0) AS duplicates FROM ev GROUP BY ALL)"""
 SCORE = "0.3 * valid_pct + 0.3 * chronological_pct + 0.2 * interval_pct + 0.2 * duplicate_free_pct"
 
@@ -563,21 +611,32 @@ def totals_of(ev):
     )
 
 
-@query(f"SELECT user_id, round(q, 4) AS quality_score, {LABEL.format(x='q', a=95, b=85, c=70)} AS quality_label FROM (SELECT *, {SCORE} AS q FROM {TOTALS})")
+@query(f"SELECT user_id, round(q, 4) AS quality_score, {LABEL.format(x='q', a=95, b=85, c=70, third='fair')} AS quality_label FROM (SELECT *, {SCORE} AS q FROM {TOTALS})")
 def quality_score(ev):
     return stats.quality_score(totals_of(ev)).select("user_id", "quality_score", "quality_label")
 
 
-@query(f"SELECT user_id, v AS verdict_score, {LABEL.format(x='v', a=90, b=75, c=50)} AS verdict FROM (SELECT *, CASE WHEN critical = 0 THEN 40 ELSE 0 END + CASE WHEN q >= 90 THEN 30 WHEN q >= 80 THEN 20 WHEN q >= 70 THEN 10 ELSE 0 END + CASE WHEN reversals = 0 THEN 15 ELSE 0 END + CASE WHEN duplicates < 10 THEN 15 ELSE 0 END AS v FROM (SELECT *, {SCORE} AS q FROM {TOTALS}))")
+@query(f"SELECT user_id, v AS verdict_score, {LABEL.format(x='v', a=90, b=75, c=50, third='acceptable')} AS verdict FROM (SELECT *, CASE WHEN critical = 0 THEN 40 ELSE 0 END + CASE WHEN q >= 90 THEN 30 WHEN q >= 80 THEN 20 WHEN q >= 70 THEN 10 ELSE 0 END + CASE WHEN reversals = 0 THEN 15 ELSE 0 END + CASE WHEN duplicates < 10 THEN 15 ELSE 0 END AS v FROM (SELECT *, {SCORE} AS q FROM {TOTALS}))")
 def verdict(ev):
     return stats.verdict(stats.quality_score(totals_of(ev))).select("user_id", "verdict_score", "verdict")
 
 
-@query("SELECT CASE event_type WHEN 'error' THEN 'critical' WHEN 'click' THEN 'warning' ELSE 'other' END AS severity, count(*) AS n, min(event_id) AS first FROM ev GROUP BY ALL")
-def severity_lists(ev):
+SEVERITY = "CASE event_type WHEN 'error' THEN 'critical' WHEN 'click' THEN 'warning' ELSE 'other' END"
+
+
+def issues_of(ev):
     kind = F.when(F.col("event_type") == "error", "CRITICAL").when(F.col("event_type") == "click", "warning").otherwise(F.col("event_type"))
-    out = stats.severity_lists(ev.select(kind.alias("severity"), F.col("event_id").alias("number"), F.col("event_id").alias("message")))
-    return out.select("severity", "n", F.col("messages")[0].alias("first"))
+    return ev.select(kind.alias("severity"), F.col("event_id").alias("number"), F.concat(F.lit("event "), F.col("event_id").cast("string")).alias("message"))
+
+
+@query(f"SELECT {SEVERITY} AS severity, row_number() OVER (PARTITION BY {SEVERITY} ORDER BY event_id) AS place, event_id AS number, 'event ' || event_id AS message FROM ev")
+def severity_lists(ev):
+    return stats.severity_lists(issues_of(ev))
+
+
+@query(f"SELECT {SEVERITY} AS severity, count(*) AS n FROM ev GROUP BY ALL")
+def severity_counts(ev):
+    return stats.severity_counts(issues_of(ev))
 
 
 @query(f"SELECT user_id, day, count(*) AS num_samples, min(us) AS start_time, max(us) AS end_time, round((max(us) - min(us)) / 60000000.0::DOUBLE, 4) AS duration_minutes, round(avg(s), 4) AS mean_interval, round(max(s), 4) AS max_gap, round(avg(value), 4) AS value_mean, round(stddev_samp(value), 4) AS value_std FROM (SELECT *, us // {DAY_US} AS day, (us - lag(us) OVER (PARTITION BY user_id, us // {DAY_US} ORDER BY us, event_id)) / 1000000 AS s FROM ev) GROUP BY ALL")
@@ -685,7 +744,28 @@ def device_history(ev):
     return tables.device_history(log, 3).select("device_id", "run_id", "run_number")
 
 
-@query("SELECT * FROM (SELECT count(*) AS rows, count(DISTINCT segment_id) AS segments, round(avg(confidence), 4) AS mean_confidence, round(avg((aligned - rtc) / 1e6), 4) AS mean_drift FROM borrowed), (SELECT count(*) AS files FROM (SELECT DISTINCT user_id, us // 86400000000 FROM ev))", BORROWED)
+@query("SELECT * FROM (SELECT count(*) AS rows, count(DISTINCT (user_id, segment_id)) AS segments, min(rtc) AS first_rtc, max(rtc) AS last_rtc, min(aligned) AS first_time, max(aligned) AS last_time, round(avg(confidence), 4) AS mean_confidence, round(100.0::DOUBLE * count(*) FILTER (WHERE confidence >= 0.9) / count(*), 4) AS high_pct, round(100.0::DOUBLE * count(*) FILTER (WHERE confidence >= 0.6 AND confidence < 0.9) / count(*), 4) AS medium_pct, round(100.0::DOUBLE * count(*) FILTER (WHERE confidence < 0.6) / count(*), 4) AS low_pct, round(avg((aligned - rtc) / 1e6), 4) AS mean_drift, round(avg((aligned - rtc) / 1e6) / 86400, 4) AS mean_days, round(max((aligned - rtc) / 1e6) / 86400, 4) AS max_days FROM borrowed), "
+       "(SELECT count(*) AS files, sum(num_lines)::BIGINT AS lines, count(*) FILTER (WHERE is_chronological) AS chronological_files, count(*) FILTER (WHERE num_reversals > 0) AS files_with_reversals, round(avg(correct_hour_pct), 4) AS mean_hour_pct FROM qa WHERE num_valid_timestamps >= 2), "
+       "(SELECT count(*) AS points, round(avg(abs(e)), 4) AS mae, round(median(abs(e)), 4) AS median_abs FROM err)", ERR + "," + FILES.removeprefix(CTE).lstrip().removeprefix(","))
 def summary_report(ev):
-    out = stats.summary(borrowed_of(ev), qa_of(ev))
-    return out.select("data.rows", "data.segments", F.col("confidence.mean").alias("mean_confidence"), F.col("drift.mean_s").alias("mean_drift"), "output.files")
+    borrowed = borrowed_of(ev)
+    out = stats.summary(borrowed, qa_of(ev), BY, stats.error_stats(errors_of(ev, borrowed=borrowed), []))
+    data, drift, files = ("rows", "segments", "first_rtc", "last_rtc"), ("mean_days", "max_days"), ("files", "lines", "chronological_files", "files_with_reversals", "mean_hour_pct")
+    return out.select(
+        *(f"data.{c}" for c in data), F.col("data.first").alias("first_time"), F.col("data.last").alias("last_time"), F.col("confidence.mean").alias("mean_confidence"),
+        "confidence.high_pct", "confidence.medium_pct", "confidence.low_pct", F.col("drift.mean_s").alias("mean_drift"), *(f"drift.{c}" for c in drift), *(f"output.{c}" for c in files),
+        F.col("direct_validation.n").alias("points"), "direct_validation.mae", "direct_validation.median_abs",
+    )
+
+
+STRICT = FACTS.replace("coalesce(m0.match_received + (e.r0 - m0.matched_unix * 1000000), m0.match_received) AS t0, coalesce(m1.match_received + (e.r1 - m1.matched_unix * 1000000), m1.match_received) AS t1", "m0.match_received AS t0, m1.match_received AS t1")
+
+
+@query(SHOWN.format(t="aligned"), STRICT.format(want="'anchor'"))
+def align_anchor_strict(ev):
+    return shown(aligned_of(ev, "anchor", Settings(strict_reference=True)))
+
+
+@query(SHOWN.format(t="aligned"), STRICT.format(want="'linear_drift'"))
+def align_linear_strict(ev):
+    return shown(aligned_of(ev, "linear_drift", Settings(strict_reference=True)))

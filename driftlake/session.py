@@ -10,9 +10,13 @@ from pyspark.sql import DataFrame
 def settled(df: DataFrame) -> DataFrame:
     """``df`` through a reliable checkpoint, so that what follows neither replans nor recomputes it.
 
-    ``spark.checkpoint.dir`` names the shared folder; a local one is set only where the session names none.
+    ``spark.checkpoint.dir`` names the shared folder; a local one is set only where a local session names none.
+    The files go when nothing refers to them any more if ``spark.cleaner.referenceTracking.cleanCheckpoints`` is set.
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-"))
+        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if named is None and not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoints-"))
     return df.checkpoint()

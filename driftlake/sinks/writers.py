@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import json
 import logging
+from collections import Counter
+from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from uuid import uuid4
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftlake.operators.rebuild import header, local_time, pad
@@ -29,34 +32,68 @@ def hourly_lines(df: DataFrame, zone: str, by: list[str]) -> DataFrame:
     return tops.unionByName(rows)
 
 
-def write_hourly(df: DataFrame, path: str, zone: str) -> int:
-    """Write ``{MM}/{YYMMDDHH}.TXT`` under ``path`` and return the number of files.
+def write_hourly(df: DataFrame, path: str, zone: str, by: list[str]) -> dict[str, int]:
+    """Write ``{device}/hourly/{MM}/{YYMMDDHH}.TXT`` under ``path``, for the one key in ``by``, and return each device's number of files.
 
-    Spark's committer writes one file for each hour into a staging folder; the driver then only renames.
+    Spark's committer writes one file for each hour into a staging folder; the driver then only renames, several at a time.
     """
-    spark = df.sparkSession
+    spark, (key,) = df.sparkSession, by
     staging = f"{path.rstrip('/')}/_staging-{uuid4().hex}"
-    lines = hourly_lines(df, zone, [])
-    lines = lines.repartition("month_folder", "hour_key").sortWithinPartitions("month_folder", "hour_key", "rank", "line")
-    lines.select("month_folder", "hour_key", F.col("line").alias("value")).write.partitionBy("month_folder", "hour_key").text(staging)
+    lines = hourly_lines(df, zone, by).select(F.col(key).alias("_device"), "month_folder", "hour_key", "rank", "line")
+    lines = lines.repartition("_device", "month_folder", "hour_key").sortWithinPartitions("_device", "month_folder", "hour_key", "rank", "line")
+    lines.select("_device", "month_folder", "hour_key", F.col("line").alias("value")).write.partitionBy("_device", "month_folder", "hour_key").text(staging)
     hadoop = spark._jvm.org.apache.hadoop.fs
+    unescape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
     root = hadoop.Path(staging)
     fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    files, count = fs.listFiles(root, True), 0
-    while files.hasNext():
-        at = files.next().getPath()
-        if at.getName().startswith("part-"):
-            hour = at.getParent().getName().split("=")[1]
-            month = at.getParent().getParent().getName().split("=")[1]
-            fs.mkdirs(hadoop.Path(f"{path}/{month}"))
-            target = hadoop.Path(f"{path}/{month}/{hour}.TXT")
-            fs.delete(target, False)
-            fs.rename(at, target)
-            count += 1
+
+    def found():
+        files = fs.listFiles(root, True)
+        while files.hasNext():
+            at = files.next().getPath()
+            if at.getName().startswith("part-"):
+                yield at
+
+    def put(at) -> str:
+        hour, month, device = (unescape(p.getName().split("=", 1)[1]) for p in (at.getParent(), at.getParent().getParent(), at.getParent().getParent().getParent()))
+        folder = hadoop.Path(f"{path.rstrip('/')}/{device}/hourly/{month}")
+        fs.mkdirs(folder)
+        target = hadoop.Path(folder, f"{hour}.TXT")
+        fs.delete(target, False)
+        if not fs.rename(at, target):
+            raise OSError(f"cannot write {target}")
+        return device
+
+    with ThreadPoolExecutor(16) as pool:
+        count = Counter(pool.map(put, found()))
     fs.delete(root, True)
     return count
 
 
+@contextmanager
+def run_log(spark: SparkSession, path: str):
+    """What is logged meanwhile, as text lines under ``path``, through Spark's writer; the console gets it as well if it listens."""
+    lines: list[tuple[str]] = []
+
+    class Keep(logging.Handler):
+        def emit(self, record: logging.LogRecord) -> None:
+            lines.append((self.format(record),))
+
+    keep, before = Keep(), log.level
+    keep.setFormatter(logging.Formatter("%(asctime)s - %(levelname)s - %(message)s"))
+    log.addHandler(keep)
+    log.setLevel(logging.INFO)
+    try:
+        yield
+    except BaseException:
+        log.exception("the run failed")
+        raise
+    finally:
+        log.removeHandler(keep)
+        log.setLevel(before)
+        spark.createDataFrame(lines or [("",)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+
 def write_table(df: DataFrame, path: str, kind: str = "parquet") -> None:
     """``parquet`` or ``csv`` with a header, replacing what is there."""
     writer = df.write.mode("overwrite")
@@ -92,3 +129,9 @@ def merge_devices(frames: dict[str, DataFrame]) -> DataFrame:
 def high_confidence(df: DataFrame, least: float = 0.9) -> DataFrame:
     """The rows of at least this confidence."""
     return df.where(F.col("confidence") >= least)
+
+
+def kept_share(df: DataFrame, least: float = 0.9) -> DataFrame:
+    """How many rows :func:`high_confidence` keeps, and their percentage."""
+    kept = F.count_if(F.col("confidence") >= least)
+    return df.agg(F.count("*").alias("rows"), kept.alias("kept"), (100.0 * kept / F.count("*")).alias("kept_pct"))

@@ -58,6 +58,12 @@ def pieces(line: str, strict: bool) -> Column:
     return F.expr(f"transform({placed}, (x, i) -> substring({line}, {start}, x.z - {start}))")
 
 
+def to_utc(local: Column, offset_min: Column | int) -> Column:
+    """The UTC time of a device's local one, less its fixed offset in minutes."""
+    minutes = F.lit(offset_min) if isinstance(offset_min, int) else offset_min
+    return local - F.make_dt_interval(F.lit(0), F.lit(0), minutes)
+
+
 def parse(lines: DataFrame, strict: bool = False, offset_min: Column | int = 60) -> DataFrame:
     """Measurement rows from lines with ``file_name, line_number, line``.
 
@@ -75,13 +81,12 @@ def parse(lines: DataFrame, strict: bool = False, offset_min: Column | int = 60)
     rows = rows.withColumn("line_content", body).withColumn("_foreign", foreign).withColumn("_f", fields)
     last = strip(F.element_at("_f", -1))
     local = F.when(~F.col("_foreign") & (F.size("_f") >= 2), parse_time(last))
-    minutes = F.lit(offset_min) if isinstance(offset_min, int) else offset_min
     reason = (
         F.when(F.col("_piece").isNull() | (F.col("line_content") == ""), "empty piece").when(F.col("_foreign"), "foreign characters")
         .when(F.size("_f") < 2, "too few fields").when(F.col("rtc_time").isNull(), "no time in the last field")
     )
     values = F.transform(F.slice("_f", F.lit(1), F.greatest(F.size("_f") - 1, F.lit(0))), strip)
-    out = rows.withColumn("rtc_time", local - F.make_dt_interval(F.lit(0), F.lit(0), minutes)).withColumn("timestamp_str", last).withColumn("data_values", values)
+    out = rows.withColumn("rtc_time", to_utc(local, offset_min)).withColumn("timestamp_str", last).withColumn("data_values", values)
     return out.select(
         *lines.columns,
         F.concat_ws(":", "file_name", F.col("line_number").cast("string")).alias("concat_group_id"),

@@ -46,6 +46,17 @@ def read_hourly(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+#: The names of a reconstructed file's columns.
+SENSOR_NAMES = ("CH4_1", "CH4_2", "CO2", "RH", "Temp", "Pressure", "timestamp")
+
+
+def read_sensors(spark: SparkSession, path: str, names: tuple[str, ...] = SENSOR_NAMES) -> DataFrame:
+    """Files without a header as typed columns: numbers, and a ``timestamp`` as the last; unreadable values are null."""
+    raw = spark.read.option("recursiveFileLookup", "true").schema(", ".join(f"`{n}` string" for n in names)).csv(path)
+    numbers = [F.expr(f"try_cast(trim(`{n}`) AS double)").alias(n) for n in names if n != "timestamp"]
+    return raw.select(*numbers, *[parse_time(strip(F.col(n))).alias(n) for n in names if n == "timestamp"])
+
+
 def read_report(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.json(path, multiLine=True)
 

@@ -134,3 +134,31 @@ def test_empty_series(spark):
     assert align.borrow_positions(align.align(rows, anchors, BY), BY).count() == 0
     with pytest.raises(ValueError):
         align.align(rows, anchors, BY, "best", Settings())
+
+
+def test_quantiles_equal_the_exact_ones(spark):
+    import random
+
+    import numpy as np
+
+    from driftlake.functions import stats
+
+    rng = random.Random(3)
+    for values in ([rng.choice([1.5, rng.random(), float(rng.randint(0, 5))]) for _ in range(999)], [2.0] * 50, [7.25], [1.0, None, 4.0]):
+        df = spark.createDataFrame([(v,) for v in values], "x double")
+        got = stats.quantiles(df, {"low": ("x", 0.0), "middle": ("x", 0.5), "high": ("x", 0.95), "top": ("x", 1.0)})
+        known = [v for v in values if v is not None]
+        assert [got[k] for k in ("low", "middle", "high", "top")] == pytest.approx([np.quantile(known, q) for q in (0, 0.5, 0.95, 1)])
+    assert stats.quantiles(spark.createDataFrame([], "x double"), {"m": ("x", 0.5)}) == {"m": None}
+
+
+def test_statuses_and_ranges(spark):
+    from driftlake.functions import stats
+
+    lines = spark.createDataFrame([("a", 1, 0, 3), ("a", 2, 5_000_000, 3), ("b", 1, None, 1), ("c", 1, 7, 2)], "f string, i int, at long, n_fields int")
+    files = spark.createDataFrame([("a",), ("b",), ("c",), ("d",)], "f string")
+    qa = stats.file_qa(lines, ["f"], "at", "i", F.lit(0), samples=2, files=files)
+    assert {r["f"]: r["status"] for r in stats.file_status(qa).collect()} == {"a": "OK", "b": "NO_VALID_TIMESTAMPS", "c": "UNEXPECTED_COUNT", "d": "EMPTY"}
+    assert [r["f"] for r in stats.file_qa(lines, ["f"], "at", "i", F.lit(0), least=2).collect()] == ["a"]
+    odd = spark.createDataFrame([(0.0,), (1.0,), (-0.1,), (1.1,), (None,), (float("nan"),)], "confidence double")
+    assert stats.invalid_confidence(odd).count() == 3

@@ -86,6 +86,16 @@ def test_whole_run(spark, tmp_path):
     written = (out / "A" / "hourly" / "06" / "25060113.TXT").read_text().splitlines()
     assert written[0] == "Original_RTC,Sensor_Volt,CH4_Raw,CO2_ppm,Temp_C,RH_pct,Corrected_Time,Corrected_Local_Time" and len(written) == 101
     assert written[1] == "01.06.2025 11:00:00,0,2,3,4,5,01.06.2025 11:00:40,01.06.2025 13:00:40"
+    assert got["A"]["chronological_pct"] == 100 and got["A"]["report"]["direct_validation"]["n"] > 0 and got["B"]["status"].startswith("failed: anchor folder")
+    for name in ("aligned", "anchor_check", "run_log"):
+        assert spark.read.parquet(str(out / name)).count() >= 1
+    for name in ("load_check", "segments", "manifest", "direct_validation", "holdout_validation", "output_validation", "problem_files"):
+        assert (out / name).is_dir()
+    runs = spark.read.parquet(str(out / "run_log"))
+    assert {r["device_id"]: r["status"][:6] for r in tables.latest_runs(runs).collect()} == {"A": "ok", "B": "failed"}
+    assert any("A: ok" in r[0] for r in spark.read.option("recursiveFileLookup", "true").text(str(out / "logs")).collect())
+    late = correct.run(spark, {"A": (str(tmp_path / "data"), str(log))}, str(tmp_path / "late"), Settings(cutoff="2030-01-01 00:00:00"))
+    assert late["A"]["status"].startswith("failed: no rows from 2030")
     back = tables.read_hourly(spark, str(out / "A" / "hourly"))
     assert back.count() == 100 and back.where(F.col("corrected_local").isNull()).count() == 0
     assert tables.list_files(spark, str(out / "A" / "hourly")).where("file_name = '25060113.TXT'").count() == 1
@@ -115,3 +125,21 @@ def test_live_segments(spark, tmp_path):
     query.processAllAvailable()
     query.stop()
     assert [r["size"] for r in spark.sql("SELECT * FROM live").collect()] == [5]
+
+
+def test_typed_files(spark, tmp_path):
+    (tmp_path / "25060113.TXT").write_text("1,2.5,400,50,x,1013,01.06.2025 11:00:00\n1,2,3,4,5,6,later\n")
+    rows = tables.read_sensors(spark, str(tmp_path)).collect()
+    assert rows[0]["CO2"] == 400.0 and rows[0]["Temp"] is None and str(rows[0]["timestamp"]) == "2025-06-01 11:00:00" and rows[1]["timestamp"] is None
+
+
+def test_live_hours(spark, tmp_path):
+    from driftlake.streaming.live import live_hours
+
+    rows = [("a", datetime(2025, 1, 1, h, m), 0.5 + h / 10) for h in (0, 1) for m in (0, 30)] + [("a", datetime(2025, 1, 2), 0.9)]
+    spark.createDataFrame(rows, "device_id string, t timestamp, confidence double").coalesce(1).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("device_id string, t timestamp, confidence double").parquet(str(tmp_path / "in"))
+    query = live_hours(stream, ["device_id"], "t").writeStream.format("memory").queryName("hours").outputMode("append").start()
+    query.processAllAvailable()
+    query.stop()
+    assert sorted((r["hour"].hour, r["lines"]) for r in spark.sql("SELECT * FROM hours").collect()) == [(0, 2), (1, 2)]
