@@ -328,27 +328,50 @@ def test_packing_plans(seed):
     assert sum(c for _, c in runs) <= 1.02 * bound + 1
 
 
-def test_substrings(docs, empty):
-    rows = make_docs()
+def check_substrings(source, rows, **options):
     first = {}
-    for doc_id, text, *_ in rows:
+    for doc_id, text in rows:
         words = (text or "").encode().split()
         for i in range(len(words) - 12):
             if doc_id is not None:
                 key = tuple(words[i : i + 13])
                 first[key] = min(first.get(key, doc_id), doc_id)
     want = Counter()
-    for doc_id, text, *_ in rows:
+    for doc_id, text in rows:
         words = (text or "").encode().split()
         gone = {j for i in range(len(words) - 12) if doc_id is not None and first[tuple(words[i : i + 13])] < doc_id for j in range(i, i + 13)}
         want[doc_id, len(words), len(gone), b" ".join(w for j, w in enumerate(words) if j not in gone).decode()] += 1
-    got = substring.remove_repeats(docs).collect()
+    got = substring.remove_repeats(source, **options).collect()
     assert Counter((r["doc_id"], r["n_words"], r["n_removed"], r["kept"]) for r in got) == want
-    assert sum(r["n_removed"] for r in got) > 100
+    return sum(r["n_removed"] for r in got)
+
+
+@pytest.mark.parametrize("options", [{}, {"hot": 0, "floor": 0}])
+def test_substrings(spark, docs, empty, options):
+    # a doc_id with two texts, each with a passage of its own that an earlier document has
+    one, two, three = (" ".join(f"{x}{i}" for i in range(20)) for x in "pqr")
+    more = [(900, f"{one} {two}"), (901, f"start {one}"), (901, f"{three} {two}"), (902, f"{three}"), (None, one)]
+    table = docs.select("doc_id", "text").union(spark.createDataFrame(more, "doc_id long, text string"))
+    assert check_substrings(table, [r[:2] for r in make_docs()] + more, **options) > 100
     assert substring.remove_repeats(empty).count() == 0
+    common.release(spark)
+
+
+def test_substrings_when_anchors_collide(spark, docs):
+    rows = [r[:2] for r in make_docs()]
+    by_anchor = defaultdict(set)
+    for _, text in rows:
+        codes = substring.word_codes((text or "").encode().split())
+        for spot, a in enumerate(substring.anchors(codes, 13, 1).tolist()):
+            by_anchor[a].add(tuple(codes[spot : spot + 13].tolist()))
+    assert sum(len(w) > 20 for w in by_anchor.values()) > 20  # an anchor of one word stands for many different windows
+    assert check_substrings(docs.select("doc_id", "text"), rows, anchor=1) > 100
+    codes = substring.word_codes([w.encode() for w in "a b c d e f g h i j k l m n".split()])
+    assert len(set(substring.runs(codes, 13).tolist())) == 2 == len(set(substring.checks(codes, 13).tolist()))
     long = [b"w" * 70_000, b"x", b"w" * 70_000, b"x"]
     codes = substring.word_codes(long)
     assert codes[0] == codes[2] != codes[1] == codes[3]
+    common.release(spark)
 
 
 def test_embeddings(spark):
