@@ -4,7 +4,7 @@ A line's tokens are its distinct five-word shingles, ordered by rarity: by the l
 shingle's hash bucket over the whole corpus, then by hash. A line of one to four words has all its words as its one
 token; a line without words has none and stays. Two lines whose Jaccard similarity is at least 4/5 share a token
 among the first n - ceil(4n/5) + 1 of the longer and the first n - ceil(8n/9) + 1 of the shorter, so only these prefixes
-are joined; length and positional filters drop pairs before their token sets are compared. Equal lines are one
+are joined; length and positional filters and sketches of the sets drop pairs before their token sets are compared. Equal lines are one
 node from the start, named by their first place. A line goes if any earlier line, by ``doc_id``, row and line
 number, is similar to it, kept or not. To know that, not all pairs are needed: each line first meets
 the earliest and the most copied line of its prefix tokens' groups, and only lines that match neither
@@ -84,6 +84,11 @@ def in_short_prefix(a: str, b: str) -> str:
     return f"CASE WHEN {a}n < {b}n OR {a}n = {b}n AND {later(b, a)} THEN 9 * {a}pos <= {a}n ELSE 9 * {b}pos <= {b}n END"
 
 
+def in_sketch(a: str, b: str) -> str:
+    """No more bits of the lines' sketches differ than tokens may."""
+    return f"9 * bit_count({a}sketch ^ {b}sketch) <= {a}n + {b}n"
+
+
 def candidates(met: DataFrame) -> DataFrame:
     """The pairs ``key, row, no, okey, orow, ono`` that the tokens met in both prefixes leave possible.
 
@@ -194,9 +199,14 @@ def lasting_lines(copy: DataFrame, hot: int = HOT, floor: int = 10_000) -> DataF
     leaders = met.select(*_PLACE, "n", "pos", F.explode(F.array_distinct(F.array("early", "common"))).alias("o"))
     leaders = leaders.select(*_PLACE, "n", "pos", "o.*").toDF(*_PLACE, "n", "pos", "okey", "orow", "ono", "on", "opos")
     led = durable(similar(candidates(leaders.where(f"{later('', 'o')} AND {may_match('', 'o')}")), tokens))
-    rest = met.join(led, _PLACE, "left_anti").select("token", *_PLACE, "n", "pos")
-    others = met.select("token", *(F.col(c).alias("o" + c) for c in (*_PLACE, "n", "pos")))
-    pairs = rest.join(others, F.expr(f"{later('', 'o')} AND {may_match('', 'o')} AND {in_short_prefix('', 'o')}") & (rest["token"] == others["token"]))
+    # a sketch has a bit flipped for each token, so that two differ in at most as many bits as the lines do in tokens
+    sketch = F.expr("aggregate(tokens, 0L, (s, t) -> s ^ shiftleft(1L, cast(t & 63 as int)))").alias("sketch")
+    own = ["token", *_PLACE, "n", "pos", "sketch"]
+    marked = met.select(*own[:-1]).join(tokens.select(*_PLACE, sketch), _PLACE)
+    rest = marked.join(led, _PLACE, "left_anti").select(*own)
+    others = marked.select("token", *(F.col(c).alias("o" + c) for c in own[1:]))
+    filters = (later("", "o"), may_match("", "o"), in_short_prefix("", "o"), in_sketch("", "o"))
+    pairs = rest.join(others, F.expr(" AND ".join(filters)) & (rest["token"] == others["token"]))
     gone = led.union(similar(candidates(pairs), tokens))
     return firsts.select(*_PLACE).join(gone, _PLACE, "left_anti")
 
