@@ -140,7 +140,7 @@ def meeting(rows: DataFrame, keys: list[str], keep: str) -> DataFrame:
     return cold.unionByName(met.where("hot").drop("low", "high").join(ends, keys).where(keep).select(*own))
 
 
-def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, keep_text: bool = True, hot: int = HOT, floor: int = 10_000) -> DataFrame:
+def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, keep_text: bool = True, hot: int = HOT, floor: int = 1000) -> DataFrame:
     """``doc_id, n_words, n_removed, kept`` for every row; ``kept``: the words left, joined by one space.
 
     Windows are judged on the input. A null or short text has no windows and loses nothing. Rows that
