@@ -21,9 +21,33 @@ from pyspark.sql import functions as F
 
 from driftlake.llm.common import small_batches
 
+#: Bytes of a word that is contracted pair by pair, with its word and place in one number.
+SLOTS = 64
 #: Rows that one run of the recursive query may make; longer work goes on from the state it has reached.
 STATE_ROWS = 2_000_000
 
+SHORT_SQL = f"""
+WITH RECURSIVE state(step, place, token) AS (
+  SELECT 0, place, token FROM start
+  UNION ALL
+  (WITH pairs AS (
+     SELECT step, place, token, lead(token) OVER w AS next_token, lead(place) OVER w AS next_place
+     FROM state WINDOW w AS (ORDER BY place)),
+   best AS (
+     SELECT place // {SLOTS} AS word, min(merged::BIGINT * {SLOTS} + place % {SLOTS}) AS pick,
+       arg_min(next_place, merged::BIGINT * {SLOTS} + place % {SLOTS}) AS absorbed
+     FROM pairs JOIN merges ON first = token AND second = next_token
+     WHERE place // {SLOTS} = next_place // {SLOTS} GROUP BY 1)
+   SELECT step + 1, place, CASE WHEN place % {SLOTS} = pick % {SLOTS} THEN (pick // {SLOTS})::INTEGER ELSE token END
+   FROM pairs JOIN best ON word = place // {SLOTS}
+   WHERE place <> absorbed)
+)
+SELECT word, list(token ORDER BY place) AS ids
+FROM state JOIN (SELECT place // {SLOTS} AS word, max(step) AS final FROM state GROUP BY 1) ON word = place // {SLOTS}
+WHERE step = final GROUP BY word ORDER BY word
+"""
+
+#: The same for words of any length, with places that can be contracted in one step.
 MERGE_SQL = """
 WITH RECURSIVE state(step, word, place, token) AS (
   SELECT 0, word, place, token FROM start
@@ -54,9 +78,8 @@ SELECT word, list(token ORDER BY place) AS ids, any_value(step) >= {steps} AS op
 """
 
 DECODE_SQL = """
-SELECT text, string_agg(piece, '' ORDER BY spot) AS bytes
-FROM (SELECT text, unnest(ids) AS id, generate_subscripts(ids, 1) AS spot FROM given) JOIN vocabulary USING (id)
-GROUP BY text ORDER BY text
+SELECT text, array_to_string(list(piece ORDER BY spot), '') AS bytes
+FROM given JOIN vocabulary USING (id) GROUP BY text ORDER BY text
 """
 
 
@@ -102,17 +125,27 @@ class ByteBPE:
 
     def decode(self, ids: list[np.ndarray]) -> list[bytes]:
         """The bytes of each id sequence."""
-        offsets = np.cumsum([0, *map(len, ids)], dtype=np.int32)
+        sizes = [len(x) for x in ids]
         flat = np.concatenate([*ids, np.zeros(0, np.int32)]).astype(np.int32)
-        rows = pa.table({"text": np.arange(len(ids), dtype=np.int64), "ids": pa.ListArray.from_arrays(offsets, flat)})
+        rows = pa.table({"text": np.repeat(np.arange(len(ids)), sizes), "spot": np.arange(len(flat)), "id": flat})
         got = self._query("given", rows, DECODE_SQL)
         out = [b""] * len(ids)
         for i, piece in zip(got["text"].to_pylist(), got["bytes"].to_pylist(), strict=True):
             out[i] = piece.encode("latin-1")
         return out
 
+    def _merge_short(self, pieces: list[bytes]) -> list[np.ndarray]:
+        """The ids of pieces of at most ``SLOTS`` bytes."""
+        lengths = np.array([len(p) for p in pieces], np.int64)
+        flat = np.frombuffer(b"".join(pieces), np.uint8)
+        word = np.repeat(np.arange(len(pieces), dtype=np.int64), lengths)
+        at = np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        ids = self._query("start", pa.table({"place": word * SLOTS + at, "token": self.byte_ids[flat]}), SHORT_SQL)["ids"].combine_chunks()
+        values, offsets = ids.values.to_numpy(), ids.offsets.to_numpy()
+        return [values[a:b] for a, b in zip(offsets, offsets[1:], strict=False)]
+
     def _merge(self, pieces: list[bytes]) -> list[np.ndarray]:
-        """The ids of each piece; a run of the query whose steps are used up is followed by another from where it stopped."""
+        """The ids of each piece, of any length; a run of the query whose steps are used up is followed by another from where it stopped."""
         tokens = [self.byte_ids[np.frombuffer(p, np.uint8)] for p in pieces]
         left = np.arange(len(pieces))
         while len(left):
@@ -130,7 +163,12 @@ class ByteBPE:
     def _learn(self, pieces: list[str]) -> None:
         """Put the ids of the pieces into the cache, blocks of like length together."""
         data = sorted(((p.encode(), p) for p in pieces), key=lambda x: len(x[0]))
-        at = 0
+        cut = sum(len(d) <= SLOTS for d, _ in data)
+        for at in range(0, cut, 20_000):
+            block = data[at : min(at + 20_000, cut)]
+            for (_, piece), ids in zip(block, self._merge_short([d for d, _ in block]), strict=True):
+                self.cache[piece] = ids.astype("<u4").tobytes()
+        at = cut
         while at < len(data):
             end, held = at, 0
             while end < len(data) and (end == at or held < 200_000):
