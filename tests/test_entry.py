@@ -13,7 +13,8 @@ import pytest
 import __spark_entry__ as entry
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-SOME = ["interp_drift", "asof_nearest", "segment_gaps", "align_adaptive", "position_fallback", "spread_duplicates", "hour_manifest", "coverage_gaps", "file_qa_status", "concat_recovery", "new_anchor_text", "overlap"]
+#: The training-data queries have tests of their own.
+NAMES = sorted(set(entry.event_queries.ORACLES) & set(entry.queries()))
 
 
 def plain(x):
@@ -29,7 +30,7 @@ def rows(frame):
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
-@pytest.mark.parametrize("name", SOME)
+@pytest.mark.parametrize("name", NAMES)
 def test_query_equals_oracle(spark, name):
     con = duckdb.connect()
     for path in glob.glob(f"{SF}/*.parquet"):
