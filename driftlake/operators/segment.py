@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -65,6 +67,13 @@ def distinct_segments(df: DataFrame, by: list[str]) -> DataFrame:
 
 
 def problem_segments(df: DataFrame, by: list[str], confidence: str = "confidence", least: float = 0.6) -> DataFrame:
-    """Segments of a mean confidence under ``least``."""
-    means = df.groupBy(*by, "segment_id").agg(F.count("*").alias("rows"), F.avg(confidence).alias("mean_confidence"), F.min(confidence).alias("min_confidence"))
-    return means.where(F.col("mean_confidence") < least).orderBy("mean_confidence", *by, "segment_id")
+    """Segments of a mean confidence under ``least``.
+
+    Sums of doubles depend on the order of the rows, so means next to ``least`` are decided by exact decimal sums.
+    """
+    c, bound = F.col(confidence), F.lit(Decimal(str(least)))
+    exact = F.sum(c.try_cast("decimal(28,18)")) < bound * F.count(c)
+    means = df.groupBy(*by, "segment_id").agg(F.count("*").alias("rows"), F.avg(c).alias("mean_confidence"), F.min(c).alias("min_confidence"), exact.alias("_under"))
+    plain = F.col("mean_confidence") < least
+    under = F.when(F.abs(F.col("mean_confidence") - least) < 1e-6, F.coalesce("_under", plain)).otherwise(plain)
+    return means.where(under).drop("_under").orderBy("mean_confidence", *by, "segment_id")

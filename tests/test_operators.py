@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -162,3 +164,12 @@ def test_statuses_and_ranges(spark):
     assert [r["f"] for r in stats.file_qa(lines, ["f"], "at", "i", F.lit(0), least=2).collect()] == ["a"]
     odd = spark.createDataFrame([(0.0,), (1.0,), (-0.1,), (1.1,), (None,), (float("nan"),)], "confidence double")
     assert stats.invalid_confidence(odd).count() == 3
+
+
+def test_a_mean_at_the_bound_is_no_problem_in_any_order(spark):
+    """Sums of doubles put a mean of exactly 0.6 below or above it, by the order of the rows."""
+    values = (0.5, 0.9, 0.7, 0.3)
+    found = [("a", i, float(c)) for i, order in enumerate(itertools.permutations(values)) for c in order]
+    df = spark.createDataFrame([*found, ("b", 0, 0.59), ("b", 0, 0.6), ("c", 0, float("nan")), ("c", 0, 0.1), ("d", 0, None), ("d", 0, 0.5)], "device_id string, segment_id int, confidence double")
+    got = [(r["device_id"], r["segment_id"], r["rows"]) for r in segment.problem_segments(df.coalesce(1), BY).collect()]
+    assert got == [("d", 0, 2), ("b", 0, 2)]
