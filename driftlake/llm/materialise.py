@@ -5,8 +5,8 @@ ids; only the last sequence is padded. A document's place in the stream is a run
 row for each document, so neither texts nor ids are sorted, and the stream doesn't depend on how the files are split.
 Sequences are numbered without gaps, and a keyed Feistel permutation of the numbers, cycle-walking where its domain of
 even bits is larger, gives each its global slot: no sort by a random key, no table of the order, and any slot can be
-computed alone. A shard holds a fixed number of slots. Pieces of one shard are gathered and compressed before the
-shuffle; range partitions of several shards put them in place and write one file for each, through Spark's committer, so a
+computed alone. A shard holds a fixed number of slots. Documents are cut, placed, gathered by shard and compressed in one
+call before the shuffle, since each call of its own is one more Python worker beside every task; range partitions of several shards put them in place and write one file for each, through Spark's committer, so a
 lost task leaves no half file. A record is ``2 * length`` bytes of little-endian ids, padded with id 0,
 two bytes of length and a newline, so a reader that stopped after slot n goes on at byte
 ``(n mod rows) * stride`` of shard ``n div rows``.
@@ -36,7 +36,7 @@ def stride(length: int) -> int:
 
 
 def feistel(number: int, total: int, key: int) -> int:
-    """The slot of a sequence number: the same permutation as :func:`slot_of`, one value at a time."""
+    """The slot of a sequence number: the same permutation as :func:`slots`, one value at a time."""
     half = max(1, ((total - 1).bit_length() + 1) // 2)
     mask = (1 << half) - 1
     while True:
@@ -102,47 +102,62 @@ def starts_of(tokens: DataFrame) -> DataFrame:
     return begun.join(F.broadcast(before), "part").select("row", (F.col("before") + F.col("inside")).alias("begin"))
 
 
-PIECES = "doc_id long, piece int, start long, offset int, length int, ids_crc32 long, sequence long, data binary"
+def cuts(begin: np.ndarray, n: np.ndarray, length: int, total: int, rows: int, key: int) -> dict[str, np.ndarray]:
+    """The pieces of documents of ``n`` ids that begin there in the stream, in order, each with the number ``at`` of its document."""
+    first = begin // length
+    count = np.where(n > 0, (begin + n - 1) // length - first + 1, 0)
+    at = np.repeat(np.arange(len(n)), count)
+    piece = np.arange(len(at)) - np.repeat(np.cumsum(count) - count, count)
+    sequence = first[at] + piece
+    low = np.maximum(begin[at], sequence * length)
+    high = np.minimum(begin[at] + n[at], (sequence + 1) * length)
+    slot = slots(sequence, total, key)
+    found = {"piece": piece, "start": low - begin[at], "offset": low - sequence * length, "length": high - low, "sequence": sequence, "slot": slot}
+    return {"at": at} | found | {"shard": slot // rows, "place": slot % rows}
 
 
-def pieces(placed: DataFrame, length: int) -> DataFrame:
-    """Each document of ``doc_id, ids, begin`` cut where sequences begin."""
+MANIFEST = "doc_id long, piece int, start long, offset int, length int, ids_crc32 long, sequence long, slot long, shard int, place int"
+
+
+def manifest(placed: DataFrame, length: int, total: int, rows: int, key: int) -> DataFrame:
+    """A row for each piece of the documents of ``doc_id, ids, begin``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = [x.split()[0] for x in PIECES.split(", ")]
-        kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
+        names = [x.split()[0] for x in MANIFEST.split(", ")]
+        kinds = [pa.int64() if x.endswith("long") else pa.int32() for x in MANIFEST.split(", ")]
         for batch in batches:
-            out: list[list] = [[] for _ in names]
-            for doc_id, ids, begin in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                at, number, total = 0, 0, len(ids) // 2
-                while at < total:
-                    sequence, offset = divmod(begin + at, length)
-                    data = ids[2 * at : 2 * min(total, at + length - offset)]
-                    for column, value in zip(out, (doc_id, number, at, offset, len(data) // 2, zlib.crc32(data), sequence, data), strict=True):
-                        column.append(value)
-                    at, number = at + len(data) // 2, number + 1
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names)
+            doc_ids, ids, begin = batch.columns
+            n = np.array([len(x.as_buffer()) // 2 for x in ids], np.int64)
+            found = cuts(begin.to_numpy(), n, length, total, rows, key)
+            views = [memoryview(x.as_buffer()) for x in ids]
+            spans = zip(found["at"].tolist(), (2 * found["start"]).tolist(), (2 * (found["start"] + found["length"])).tolist(), strict=True)
+            sums = np.array([zlib.crc32(views[i][a:b]) for i, a, b in spans], np.int64)
+            columns = [doc_ids.take(pa.array(found["at"])), *(pa.array(found.get(x, sums), k) for x, k in zip(names[1:], kinds[1:], strict=True))]
+            yield pa.RecordBatch.from_arrays(columns, names)
 
-    return placed.select("doc_id", "ids", "begin").mapInArrow(run, PIECES)
+    return placed.select("doc_id", "ids", "begin").mapInArrow(run, MANIFEST)
 
 
-def gather(cut: DataFrame) -> DataFrame:
-    """``shard, run``: the pieces of a batch that go to one shard, with their places, offsets and lengths, compressed."""
+def gather(placed: DataFrame, length: int, total: int, rows: int, key: int) -> DataFrame:
+    """``shard, run``: the pieces of a batch of ``ids, begin`` that go to one shard, with their places, offsets and lengths, compressed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
         squeeze = zstandard.ZstdCompressor(level=3)
         for batch in batches:
-            shard = batch.column(0).to_numpy()
-            spots = np.stack([batch.column(i).to_numpy().astype("<i4") for i in (1, 2, 3)], axis=1)
-            data = batch.column(4).to_pylist()
+            views = [memoryview(x.as_buffer()) for x in batch.column(0)]
+            n = np.array([len(x) // 2 for x in views], np.int64)
+            found = cuts(batch.column(1).to_numpy(), n, length, total, rows, key)
+            shard, at = found["shard"], found["at"].tolist()
+            low, high = (2 * found["start"]).tolist(), (2 * (found["start"] + found["length"])).tolist()
+            spots = np.stack([found[x] for x in ("place", "offset", "length")], axis=1).astype("<i4")
             order = np.argsort(shard, kind="stable")
             groups = np.split(order, np.flatnonzero(np.diff(shard[order])) + 1) if len(order) else []
-            runs = [squeeze.compress(len(g).to_bytes(4, "little") + spots[g].tobytes() + b"".join([data[i] for i in g])) for g in groups]
+            runs = [squeeze.compress(b"".join((len(g).to_bytes(4, "little"), spots[g].tobytes(), *(views[at[i]][low[i] : high[i]] for i in g)))) for g in groups]
             yield pa.RecordBatch.from_arrays([pa.array([int(shard[g[0]]) for g in groups], pa.int32()), pa.array(runs, pa.binary())], ["shard", "run"])
 
-    return cut.select("shard", "place", "offset", "length", "data").mapInArrow(run, "shard int, run binary")
+    return placed.select("ids", "begin").mapInArrow(run, "shard int, run binary")
 
 
 def assemble(runs: DataFrame, length: int) -> DataFrame:
@@ -183,18 +198,6 @@ def assemble(runs: DataFrame, length: int) -> DataFrame:
     return runs.mapInArrow(run, "shard int, content binary")
 
 
-def slot_of(total: int, key: int):
-    """A column function from sequence numbers to slots."""
-
-    @F.pandas_udf("long")
-    def apply(numbers):
-        import pandas as pd
-
-        return pd.Series(slots(numbers.to_numpy(), total, key))
-
-    return apply
-
-
 def materialise(docs: DataFrame, path: str, length: int = 2048, rows: int = 2048, key: int = 20, vocabulary: str | None = None) -> DataFrame:
     """Write the shards to ``path/shards/shard=N``, one file of records each, and return the manifest.
 
@@ -211,18 +214,17 @@ def materialise(docs: DataFrame, path: str, length: int = 2048, rows: int = 2048
         tokens = durable(coded(docs, vocabulary).withColumn("row", F.monotonically_increasing_id()), "row")
         total = tokens.agg(F.sum("n")).first()[0] or 0
         count = -(-total // length)
-        cut = pieces(tokens.join(starts_of(tokens), "row"), length).withColumn("slot", slot_of(max(count, 1), key)("sequence"))
-        cut = cut.withColumn("shard", F.expr(f"slot div {rows}").cast("int")).withColumn("place", F.expr(f"slot % {rows}").cast("int"))
+        placed = tokens.join(starts_of(tokens), "row")
         if shards := -(-count // rows):
             dealt = max(-(-shards // SHARDS_EACH), min(shards, partitions(spark)))
-            runs = gather(cut).repartitionByRange(dealt, "shard").sortWithinPartitions("shard")
+            runs = gather(placed, length, count, rows, key).repartitionByRange(dealt, "shard").sortWithinPartitions("shard")
             # the last record's own newline is the line's end, so the text writer puts out the bytes as they are
             body = F.expr("substring(content, 1, length(content) - 1)").cast("string").alias("value")
             assemble(runs, length).select("shard", body).write.partitionBy("shard").text(f"{path}/shards", lineSep="\n")
     except BaseException:
         release(spark, began)
         raise
-    return cut.drop("data").select("doc_id", "piece", "start", "offset", "length", "ids_crc32", "sequence", "slot", "shard", "place")
+    return manifest(placed, length, max(count, 1), rows, key)
 
 
 def read_slots(spark: SparkSession, path: str, first: int, count: int, length: int = 2048, rows: int = 2048) -> DataFrame:

@@ -592,3 +592,14 @@ def test_pipeline(spark, tmp_path):
     assert len(kept) >= 40 and set(range(40)) <= set(kept)
     packed = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert {r["doc_id"] for r in packed} == set(kept)
+
+
+def test_training_order_runs_one_python_call_beside_a_task(spark, docs, tmp_path, monkeypatch):
+    """Each call of a plan is a Python worker of its own beside every task, which counts as the executor's memory."""
+    gathered = []
+    gather = materialise.gather
+    monkeypatch.setattr(materialise, "gather", lambda *a: gathered.append(gather(*a)) or gathered[0])
+    found = materialise.materialise(docs, str(tmp_path / "one"), length=64, rows=16)
+    plans = [df._jdf.queryExecution().sparkPlan().toString() for df in (found, *gathered)]
+    assert [(p.count("MapInArrow"), p.count("EvalPython")) for p in plans] == [(1, 0), (1, 0)]
+    common.release(spark)
