@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -43,22 +45,42 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """What is written meanwhile leaves no shuffle files, which else stay until the driver happens to collect its garbage."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
+def _tasks(df: DataFrame) -> int:
+    """The tasks that write ``df``; a plan with exchanges isn't asked, since it would run them to answer."""
+    if df._jdf.queryExecution().executedPlan().nodeName() == "AdaptiveSparkPlan":
+        return partitions(df.sparkSession)
+    return df.rdd.getNumPartitions()
+
+
 def durable(df: DataFrame, *keys: str) -> DataFrame:
     """``df`` by way of a compressed table in the shared folder: its lineage ends there, whatever executors are lost.
 
     With ``keys`` its rows lie in buckets of them, so that joins on the keys need not shuffle it. Each task writes to
     each bucket as long as that makes at most ``FILES`` files, beyond which the rows are first dealt by their keys. The
-    table stays until :func:`release`.
+    table stays until :func:`release`; the shuffle files that led to it go at once.
     """
     spark, name = df.sparkSession, f"held_{uuid4().hex}"
     path, options = f"{shared_dir(spark)}/{name}", {"compression": "zstd", "parquet.block.size": _ROW_GROUP}
     _HELD.append((path, bool(keys)))
-    if keys:
-        if df.rdd.getNumPartitions() * partitions(spark) > FILES:
-            df = df.repartition(partitions(spark), *keys)
-        df.write.format("parquet").options(**options).option("path", path).bucketBy(partitions(spark), *keys).saveAsTable(name)
-        return spark.table(name)
-    df.write.options(**options).parquet(path)
+    with shuffles_removed(spark):
+        if keys:
+            if _tasks(df) * partitions(spark) > FILES:
+                df = df.repartition(partitions(spark), *keys)
+            df.write.format("parquet").options(**options).option("path", path).bucketBy(partitions(spark), *keys).saveAsTable(name)
+            return spark.table(name)
+        df.write.options(**options).parquet(path)
     return spark.read.parquet(path)
 
 

@@ -7,7 +7,7 @@ differ, far more than an index can search exactly, so fingerprints within four b
 together. An exact join finds the others. Tokens are ordered by rarity, as in
 :mod:`linededup`: by the logarithm of the count of the token's hash bucket, then by hash. Linked nodes share a token
 among the first n - ceil(4n/5) + 1 of the longer and the first n - ceil(8n/9) + 1 of the shorter, so only these prefixes
-are joined, and every pair that the length and positional filters leave is verified by its whole token sets. No link is
+are joined, and every pair that the length and positional filters and sketches of the sets leave is verified by its whole token sets. No link is
 missed but those whose nodes are connected already: besides what the index links, each node meets the least and the
 greatest node of its tokens' groups, and after that only nodes of different components are paired.
 """
@@ -34,6 +34,8 @@ FLAGS = 1 << 18
 FEW = 1 << 20
 #: Tokens of buckets with so many times the mean count are grouped by partial aggregates and a join instead of a window.
 HOT = 16
+#: Bits of a token set's sketch.
+BITS = 1024
 
 
 def words_of(text: str | None) -> bytes:
@@ -115,8 +117,14 @@ def prefixes(copy: DataFrame, ranks: np.ndarray, words: int) -> DataFrame:
     return needed.mapInArrow(run, "row long, doc_id long, node long, fp long, n int, tokens array<long>")
 
 
+def sketch_of(tokens: np.ndarray) -> np.ndarray:
+    """``BITS`` bits as longs, one flipped for each token: two sketches differ in at most as many bits as the sets do in tokens."""
+    odd = np.bincount(tokens & (BITS - 1), minlength=BITS) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
+
+
 def token_sets(copy: DataFrame, ranks: np.ndarray, words: int, nodes: DataFrame) -> DataFrame:
-    """``node, tokens`` of all ``nodes``; a hash bucket's flag spares most others the work."""
+    """``node, n, sketch, tokens`` of all ``nodes``; a hash bucket's flag spares most others the work."""
     flags = np.zeros(FLAGS, bool)
     for row in nodes.select((F.col("node").bitwiseAND(F.lit(FLAGS - 1))).cast("int").alias("b")).distinct().collect():  # at most FLAGS rows
         flags[row["b"]] = True
@@ -132,9 +140,12 @@ def token_sets(copy: DataFrame, ranks: np.ndarray, words: int, nodes: DataFrame)
                     sets.append(by_rarity(tokens_of(data, words), ranks))
             ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*sets, np.zeros(0, np.int64)])))
-            yield pa.RecordBatch.from_arrays([pa.array(np.array(ids, np.uint64).view(np.int64)), lists], ["node", "tokens"])
+            bits = np.concatenate([*map(sketch_of, sets), np.zeros(0, np.int64)])
+            sketches = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1, dtype=np.int32) * (BITS // 64)), pa.array(bits))
+            columns = [pa.array(np.array(ids, np.uint64).view(np.int64)), pa.array(np.diff(ends)), sketches, lists]
+            yield pa.RecordBatch.from_arrays(columns, ["node", "n", "sketch", "tokens"])
 
-    found = copy.select(F.col("text").cast("string")).mapInArrow(run, "node long, tokens array<long>")
+    found = copy.select(F.col("text").cast("string")).mapInArrow(run, "node long, n int, sketch array<long>, tokens array<long>")
     return found.join(nodes, "node", "left_semi").dropDuplicates(["node"])
 
 
@@ -145,9 +156,16 @@ def candidates(met: DataFrame) -> DataFrame:
 
 
 def similar(copy: DataFrame, ranks: np.ndarray, words: int, pairs: DataFrame) -> DataFrame:
-    """Those of the pairs ``a, b`` whose token sets are similar."""
+    """Those of the pairs ``a, b`` whose token sets are similar.
+
+    Sketches drop most of the others, and none of these, before whole sets travel to each pair.
+    """
     pairs = durable(pairs.where("a <> b").distinct())
     tokens = durable(token_sets(copy, ranks, words, pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()))
+    drawn = pairs.join(tokens.select(F.col("node").alias("a"), "n", "sketch"), "a")
+    drawn = drawn.join(tokens.select(F.col("node").alias("b"), F.col("n").alias("on"), F.col("sketch").alias("osketch")), "b")
+    differ = " + ".join(f"bit_count(sketch[{i}] ^ osketch[{i}])" for i in range(BITS // 64))
+    pairs = durable(drawn.where(f"9 * ({differ}) <= n + on").select("a", "b"))
     mine = tokens.select(F.col("node").alias("a"), F.col("tokens").alias("t"))
     theirs = tokens.select(F.col("node").alias("b"), F.col("tokens").alias("o"))
     shared = F.size(F.array_intersect("t", "o"))
@@ -184,16 +202,24 @@ def groups_of(placed: DataFrame, hot_rank: int) -> DataFrame:
 
 
 def links(copy: DataFrame, firsts: DataFrame, ranks: np.ndarray, hot_rank: int, words: int, limit: int) -> DataFrame:
-    """``a, b`` links that connect exactly the nodes that pairs of similar nodes connect."""
+    """``a, b`` links that connect exactly the nodes that pairs of similar nodes connect.
+
+    Tables that only an earlier step reads go before the pairs of the last one are made, when the disk is fullest.
+    """
+    spark, began = copy.sparkSession, mark()
     nodes = firsts.groupBy("node").agg(F.first("n").alias("n"), F.first("tokens").alias("tokens"))
     met = groups_of(nodes.select("node", "n", F.posexplode("tokens").alias("pos", "token")), hot_rank)
 
     near = "5 * on >= 4 * n AND 5 * n >= 4 * on AND 9 * (least(pos, opos) + least(n - pos, on - opos)) >= 4 * (n + on)"
     led = met.select(F.col("node").alias("a"), "n", "pos", F.explode(F.array_distinct(F.array("low", "high"))).alias("o"))
     led = led.select("a", "n", "pos", F.col("o.node").alias("b"), F.col("o.n").alias("on"), F.col("o.pos").alias("opos")).where(f"a <> b AND {near}")
+    grouped = mark()
     first = durable(similar(copy, ranks, words, print_links(firsts, limit).union(candidates(led))))
+    release(spark, grouped, but=1)
     roots = components(first)
     held = durable(met.select("token", "node", "n", "pos").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
+    release(spark, began, read_by=first.select("a").union(held.select("node")))
+    release(spark, began, read_by=first.select("a").union(held.select("node")))
     apart = held.groupBy("token").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("token")
     held = held.join(apart, "token")
     other = held.select("token", F.col("node").alias("b"), F.col("n").alias("on"), F.col("pos").alias("opos"), F.col("root").alias("oroot"))

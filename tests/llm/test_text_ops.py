@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -603,3 +604,58 @@ def test_training_order_runs_one_python_call_beside_a_task(spark, docs, tmp_path
     plans = [df._jdf.queryExecution().sparkPlan().toString() for df in (found, *gathered)]
     assert [(p.count("MapInArrow"), p.count("EvalPython")) for p in plans] == [(1, 0), (1, 0)]
     common.release(spark)
+
+
+def test_intermediate_tables_leave_no_shuffle_files(spark):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        files = disk.getAllFiles()
+        return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+    before = shuffled()
+    rows = spark.range(1000).groupBy((F.col("id") % 10).alias("k")).count()
+    made = [common.durable(rows, *keys) for keys in ((), ("k",))]
+    left = shuffled() - before
+    for _ in range(20):  # executors remove them a moment later
+        left &= shuffled()
+        time.sleep(0.1)
+    assert not left and [m.count() for m in made] == [10, 10]
+    common.release(spark)
+
+
+def test_a_bucketed_table_is_made_once(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    rows = spark.range(1000).mapInArrow(seen, "id long").repartition(3, "id")
+    assert common.durable(rows, "id").count() == 1000 and made.value == 1000
+    common.release(spark)
+
+
+def test_sketches_drop_pairs_before_whole_sets_travel(spark, monkeypatch):
+    """Texts that share a rare passage and no more are candidates, which else carried both token sets to each pair."""
+    rng = random.Random(8)
+    sets = [rng.sample(range(1 << 40), rng.randint(1, 400)) for _ in range(60)]
+    sets += [[*s[: len(s) * 19 // 20], 7] for s in sets]
+    sketches = [neardup.sketch_of(np.array(s, np.int64)) for s in sets]
+    for s, x in zip(sets, sketches, strict=True):
+        for t, y in zip(sets, sketches, strict=True):
+            assert int(np.bitwise_count((x ^ y).view(np.uint64)).sum()) <= len(set(s) ^ set(t))
+    nodes = [" ".join(f"w{rng.randint(0, 10**6)}" for _ in range(150)) for _ in range(20)]
+    nodes += [n + " more" for n in nodes[:5]]
+    table = spark.createDataFrame(list(enumerate(nodes)), "doc_id long, text string")
+    ids = [int(np.uint64(neardup.node_of(neardup.words_of(n))).view(np.int64)) for n in nodes]
+    pairs = spark.createDataFrame([(a, b) for a in ids for b in ids if a < b], "a long, b long")
+    sizes = []
+    durable = common.durable
+    monkeypatch.setattr(neardup, "durable", lambda df: sizes.append(durable(df)) or sizes[-1])
+    ranks = np.zeros(neardup.BUCKETS, np.int64)
+    got = {frozenset((r["a"], r["b"])) for r in neardup.similar(table, ranks, 5, pairs).collect()}
+    assert got == {frozenset((ids[i], ids[20 + i])) for i in range(5)}
+    assert sizes[0].count() == 300 and sizes[-1].count() == 5
+    common.release(spark)
