@@ -29,6 +29,8 @@ from driftlake.llm.tokens import default_vocabulary, word_bpe
 ROUNDS = 6
 #: Shards that a range partition writes, of 8 MB each by default.
 SHARDS_EACH = 16
+#: The id after each document, four bytes as the tokenizer gives them.
+CLOSING = bytes(4)
 
 
 def stride(length: int) -> int:
@@ -77,23 +79,24 @@ def coded(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = word_bpe(path)
         for batch in batches:
-            out = []
-            for ids in tokenizer.many(batch.column(1).to_pylist()):
-                wide = np.append(np.frombuffer(ids, "<u4"), np.uint32(0))
-                if int(wide.max()) >= 1 << 16:
-                    raise ValueError("ids do not fit into two bytes")
-                out.append(wide.astype("<u2").tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary()), pa.array([len(x) // 2 for x in out], pa.int64())], ["doc_id", "ids", "n"])
+            ids = tokenizer.many(batch.column(1).to_pylist())
+            wide = np.frombuffer(b"".join([x + CLOSING for x in ids]), "<u4")
+            if len(wide) and int(wide.max()) >= 1 << 16:
+                raise ValueError("ids do not fit into two bytes")
+            n = np.array([len(x) // 4 + 1 for x in ids], np.int64)
+            ends = np.cumsum([0, *(2 * n)]).astype(np.int32)
+            narrow = pa.Array.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer(ends), pa.py_buffer(wide.astype("<u2"))])
+            yield pa.RecordBatch.from_arrays([batch.column(0), narrow, pa.array(n)], ["doc_id", "ids", "n"])
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, ids binary, n long")
 
 
 def starts_of(tokens: DataFrame) -> DataFrame:
-    """``row, begin``: where each document's ids begin in the stream, by ``doc_id``, nulls first, then by a hash of the ids.
+    """``row, begin``: where each document's ids begin in the stream, by ``doc_id``, nulls first, then by ``h``, a hash of the ids.
 
     Ranges of the order are summed each by itself and offset by the sums of those before them.
     """
-    light = tokens.select("row", "doc_id", F.xxhash64("ids").alias("h"), "n")
+    light = tokens.select("row", "doc_id", "h", "n")
     ranged = durable(light.repartitionByRange(partitions(tokens.sparkSession), "doc_id", "h", "row").withColumn("part", F.spark_partition_id()))
     sums = ranged.groupBy("part").agg(F.sum("n").alias("n"))  # a row for each range
     before = sums.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before"))
@@ -211,13 +214,16 @@ def materialise(docs: DataFrame, path: str, length: int = 2048, rows: int = 2048
         raise ValueError("a sequence has 1 to 65,535 ids")
     spark, began = docs.sparkSession, mark()
     try:
-        tokens = durable(coded(docs, vocabulary).withColumn("row", F.monotonically_increasing_id()), "row")
+        numbered = coded(docs, vocabulary).withColumn("row", F.monotonically_increasing_id())
+        tokens = durable(numbered.withColumn("h", F.xxhash64("ids")), "row")  # so that only the cutting reads the ids again
         total = tokens.agg(F.sum("n")).first()[0] or 0
         count = -(-total // length)
         placed = tokens.join(starts_of(tokens), "row")
         if shards := -(-count // rows):
-            dealt = max(-(-shards // SHARDS_EACH), min(shards, partitions(spark)))
-            runs = gather(placed, length, count, rows, key).repartitionByRange(dealt, "shard").sortWithinPartitions("shard")
+            # the partition of a shard is known, so no sample of the runs has to be gathered for ranges
+            each = min(SHARDS_EACH, -(-shards // partitions(spark)))
+            dealt = gather(placed, length, count, rows, key).repartitionById(-(-shards // each), F.expr(f"shard div {each}").cast("int"))
+            runs = dealt.sortWithinPartitions("shard")
             # the last record's own newline is the line's end, so the text writer puts out the bytes as they are
             body = F.expr("substring(content, 1, length(content) - 1)").cast("string").alias("value")
             assemble(runs, length).select("shard", body).write.partitionBy("shard").text(f"{path}/shards", lineSep="\n")

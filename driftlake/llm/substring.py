@@ -121,7 +121,8 @@ def anchor_counts(rows: DataFrame, window: int, anchor: int) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(held.astype(np.int32)), pa.array(total[held])], ["b", "n"])
 
     out = np.zeros(BUCKETS, np.int64)
-    for row in rows.select("text").mapInArrow(run, "b int, n long").groupBy("b").agg(F.sum("n").alias("n")).collect():  # at most BUCKETS rows
+    few = rows.select("text").coalesce(partitions(rows.sparkSession))  # each task sends on a row for each bucket
+    for row in few.mapInArrow(run, "b int, n long").groupBy("b").agg(F.sum("n").alias("n")).collect():  # at most BUCKETS rows
         out[row["b"]] = row["n"]
     return out
 
