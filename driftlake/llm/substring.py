@@ -128,17 +128,20 @@ def anchor_counts(rows: DataFrame, window: int, anchor: int) -> np.ndarray:
 
 
 def meeting(rows: DataFrame, keys: list[str], keep: str) -> DataFrame:
-    """The rows of ``key, hot`` and ``keys`` for which ``keep`` holds of the least and greatest ``key`` of their ``keys``, ``low`` and ``high``."""
+    """The rows of ``key, hot`` and ``keys`` for which ``keep`` holds of the least and greatest ``key`` of their ``keys``, ``low`` and ``high``.
+
+    What holds within a salt's part of a group holds in the whole, so only frequent rows for which it does not meet the group's ends.
+    """
     salt = F.when(F.col("hot"), F.pmod(F.xxhash64("key", "row"), F.lit(partitions(rows.sparkSession)))).otherwise(0)
     group = Window.partitionBy(*keys, "salt")
     met = rows.withColumn("salt", salt).withColumn("low", F.min("key").over(group)).withColumn("high", F.max("key").over(group))
     met = durable(met.where(f"hot OR {keep}").drop("salt"))
     own = [c for c in rows.columns if c != "hot"]
-    cold = met.where("NOT hot").select(*own)
-    if not met.where("hot").limit(1).count():
-        return cold
+    known, open_ = met.where(keep).select(*own), met.where(f"hot AND NOT ({keep})")
+    if not open_.limit(1).count():
+        return known
     ends = met.where("hot").groupBy(*keys).agg(F.min("low").alias("low"), F.max("high").alias("high"))
-    return cold.unionByName(met.where("hot").drop("low", "high").join(ends, keys).where(keep).select(*own))
+    return known.unionByName(open_.drop("low", "high").join(ends, keys).where(keep).select(*own))
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, keep_text: bool = True, hot: int = HOT, floor: int = 1000) -> DataFrame:

@@ -659,3 +659,16 @@ def test_sketches_drop_pairs_before_whole_sets_travel(spark, monkeypatch):
     assert got == {frozenset((ids[i], ids[20 + i])) for i in range(5)}
     assert sizes[0].count() == 300 and sizes[-1].count() == 5
     common.release(spark)
+
+
+def test_frequent_windows_that_are_known_to_repeat_meet_nothing(spark, monkeypatch):
+    """Of a frequent group only the first rows of each salt need the ends of the whole group."""
+    rows = spark.range(1000).selectExpr("id AS key", "0L AS row", "id % 2 AS anchor", "true AS hot")
+    joined = []
+    frame = type(rows)
+    join = frame.join
+    monkeypatch.setattr(frame, "join", lambda self, *a: joined.append(self) or join(self, *a))
+    kept = substring.meeting(rows, ["anchor"], "low < key")
+    assert sorted(r["key"] for r in kept.collect()) == list(range(2, 1000))
+    assert [j.count() <= 2 * common.partitions(spark) for j in joined] == [True]
+    common.release(spark)
