@@ -1,10 +1,12 @@
 """Line dedup by an exact set-similarity join, in DataFrame operations alone.
 
-A line's tokens are its distinct five-word shingles, ordered by rarity: by the logarithm of the count of the
-shingle's hash bucket over the whole corpus, then by hash. A line of one to four words has all its words as its one
+A line's tokens are its distinct five-word shingles. A line of one to four words has all its words as its one
 token; a line without words has none and stays. Two lines whose Jaccard similarity is at least 4/5 share a token
-among the first n - ceil(4n/5) + 1 of the longer and the first n - ceil(8n/9) + 1 of the shorter, so only these prefixes
-are joined; length and positional filters and sketches of the sets drop pairs before their token sets are compared. Equal lines are one
+among the first n - ceil(4n/5) + 1 of the longer and the first n - ceil(8n/9) + 1 of the shorter, in any order of all tokens.
+So prefixes are joined twice. The first time the order is that of the hashes of the shingles' first words, and only the shingles in the
+prefixes are made: a line that shares none of them with a different line is similar to none. For the lines left, all
+tokens are ordered by rarity, by the logarithm of the count of the token's hash bucket over these lines, then by hash. Length and
+positional filters and sketches of the sets drop pairs before their token sets are compared. Equal lines are one
 node from the start, named by their first place. A line goes if any earlier line, by ``doc_id``, row and line
 number, is similar to it, kept or not. To know that, not all pairs are needed: each line first meets
 the earliest and the most copied line of its prefix tokens' groups, and only lines that match neither
@@ -25,8 +27,8 @@ BUCKETS = 1 << 16
 #: Tokens of buckets with so many times the mean count are grouped by partial aggregates and a join instead of a window.
 HOT = 16
 _NO_KEY = -(1 << 63)
-#: A line with a word, and one with at least five, once other white space is spaces.
-_SOME, _LONG = "[^ ]", rf"^ *(?:[^ ]++ ++){{{SHINGLE - 1}}}[^ ]"
+#: A line with at least five words, once other white space is spaces.
+_LONG = rf"^ *(?:[^ ]++ ++){{{SHINGLE - 1}}}[^ ]"
 _PLACE = ["key", "row", "no"]
 
 
@@ -40,32 +42,68 @@ def words_of(line: str = "line") -> Column:
     return F.array_remove(F.split(line, " "), "")
 
 
-def _runs(words: str = "words") -> str:
-    """All runs of five of the words, as structures; none for shorter lines."""
-    return "arrays_zip(" + ", ".join(f"slice({words}, {k + 1}, greatest(size({words}), {SHINGLE - 1}) - {SHINGLE - 1})" for k in range(SHINGLE)) + ")"
+def is_long(line: str = "line") -> Column:
+    """A line of :func:`spaced` text has at least five words; only double spaces among the first need the slower pattern."""
+    head = f"substring_index(trim({line}), ' ', {SHINGLE - 1})"
+    return F.when(F.expr(f"contains(concat({head}, ' '), '  ')"), F.col(line).rlike(_LONG)).otherwise(F.expr(f"{head} <> trim({line})"))
 
 
-def bucket_counts(lines: DataFrame) -> list[int]:
-    """For each of a fixed number of hash buckets the count of its shingles over all lines."""
-    words = lines.where(F.col("line").rlike(_LONG)).select(words_of().alias("words"))
-    runs = words.select(F.expr(f"inline({_runs()})")).toDF(*(f"w{k}" for k in range(SHINGLE)))
-    bucket = F.xxhash64(*runs.columns).bitwiseAND(F.lit(BUCKETS - 1)).cast("int").alias("b")
+def word_hashes(line: str = "line") -> Column:
+    """The hashes of the words of a line of :func:`spaced` text."""
+    return F.transform(words_of(line), lambda w: F.xxhash64(w))
+
+
+def picked(lines: DataFrame) -> DataFrame:
+    """``h, token`` of the shingles of each long line that stand first in the order of their first words' hashes.
+
+    As many different first words as a prefix may have tokens, or all, come with all their shingles. So these are the prefix,
+    and a few more where words repeat. Equal lines have one ``h``, and a token twice if its shingle is.
+    """
+    hashes = lines.where(is_long()).select(F.xxhash64("line").alias("h"), word_hashes().alias("w")).withColumn("k", F.size("w") - (SHINGLE - 1))
+    first = F.sort_array(F.array_distinct(F.slice("w", F.lit(1), F.col("k"))))
+    hashes = hashes.withColumn("last", F.coalesce(F.get(first, F.expr("cast(k div 5 as int)")), F.lit((1 << 63) - 1)))
+    names = [f"w{i}" for i in range(SHINGLE)]
+    runs = F.arrays_zip(*(F.slice("w", F.lit(i + 1), F.col("k")).alias(n) for i, n in enumerate(names)))
+    return hashes.select("h", "last", F.inline(runs).alias(*names)).where("w0 <= last").select("h", F.xxhash64(*names).alias("token"))
+
+
+def bucket_counts(tokens: DataFrame) -> list[int]:
+    """For each of a fixed number of hash buckets the count of its ``token`` rows."""
+    bucket = F.col("token").bitwiseAND(F.lit(BUCKETS - 1)).cast("int").alias("b")
     out = [0] * BUCKETS
-    for row in runs.groupBy(bucket).count().collect():  # at most BUCKETS rows
+    for row in tokens.groupBy(bucket).count().collect():  # at most BUCKETS rows
         out[row["b"]] = row["count"]
     return out
 
 
+def not_alone(picks: DataFrame, hot: int, floor: int) -> DataFrame:
+    """``h`` of the lines that share one of their ``picks`` with a different line; those with a token of a frequent bucket count as well."""
+    counts = bucket_counts(picks)
+    most = max(floor, hot * sum(counts) // BUCKETS)
+    group, cold, often = Window.partitionBy("token"), picks, None
+    if max(counts) >= most:
+        flags = F.lit(bytes(48 + (c >= most) for c in counts))
+        is_hot = F.substring(flags, F.col("token").bitwiseAND(F.lit(BUCKETS - 1)).cast("int") + 1, F.lit(1)).cast("string") == "1"
+        cold, often = picks.where(~is_hot), picks.where(is_hot).select("h")
+    met = cold.withColumn("a", F.min("h").over(group)).withColumn("b", F.max("h").over(group)).where("a <> b").select("h")
+    return (met if often is None else met.union(often)).distinct()
+
+
 def rank(count: int) -> int:
     """The logarithm of a bucket's count, as the code of a letter."""
     return 48 + min(75, int(4 * math.log2(count))) if count else 48
 
 
-def tokens_of(words: DataFrame, ranks: Column, *keep: str) -> DataFrame:
-    """``keep`` columns and ``tokens``, the distinct shingles of ``words`` as longs that sort by rarity."""
-    hashed = words.select(*keep, F.expr(f"transform({_runs()}, x -> xxhash64(x))").alias("s")).withColumn("ranks", ranks)
-    letter = f"shiftleft(cast(ascii(cast(substring(ranks, cast(s & {BUCKETS - 1} as int) + 1, 1) as string)) as bigint), 56)"
-    return hashed.select(*keep, F.expr(f"sort_array(array_distinct(transform(s, s -> {letter} | shiftrightunsigned(s, 8))))").alias("tokens"))
+def tokens_of(hashes: DataFrame, *keep: str) -> DataFrame:
+    """``keep`` columns and ``tokens``, the hashes of the distinct shingles of the word hashes ``w`` of long lines."""
+    shingle = ", ".join(f"w[i + {k}]" for k in range(1, SHINGLE))
+    return hashes.select(*keep, F.expr(f"array_distinct(transform(slice(w, 1, size(w) - {SHINGLE - 1}), (x, i) -> xxhash64(x, {shingle})))").alias("tokens"))
+
+
+def by_rarity() -> Column:
+    """The ``tokens`` as longs in the order of their buckets' ``ranks``."""
+    letter = f"shiftleft(cast(ascii(cast(substring(ranks, cast(t & {BUCKETS - 1} as int) + 1, 1) as string)) as bigint), 56)"
+    return F.expr(f"sort_array(transform(tokens, t -> {letter} | shiftrightunsigned(t, 8)))")
 
 
 def later(a: str, b: str) -> str:
@@ -167,42 +205,47 @@ def lasting_lines(copy: DataFrame, hot: int = HOT, floor: int = 10_000) -> DataF
     """``key, row, no`` of the lines with words of :func:`keyed_copy` that stay; ``key`` is the ``doc_id``, with nulls before all."""
     rows = copy.select("key", "row", spaced(text_or_empty()).alias("text"))
     lines = rows.select("key", "row", F.posexplode(F.split("text", "\n")).alias("no", "line"))
-    counts = bucket_counts(lines.coalesce(partitions(copy.sparkSession)))
-    ranks, hot_rank = F.lit(bytes(map(rank, counts))), rank(max(floor, hot * sum(counts) // BUCKETS))
 
     # equal lines: the first place stands for all
-    is_long = F.col("line").rlike(_LONG)
-    same = F.when(is_long, F.col("line")).otherwise(F.array_join(words_of(), " "))
-    named = lines.where(F.col("line").rlike(_SOME)).select(*_PLACE, is_long.alias("long"), F.xxhash64(same).alias("h"), F.xxhash64(F.lit("#"), same).alias("g"))
+    same = F.when(is_long(), F.col("line")).otherwise(F.array_join(words_of(), " "))
+    named = lines.where("trim(line) <> ''").select(*_PLACE, is_long().alias("long"), F.xxhash64(same).alias("h"), F.xxhash64(F.lit("#"), same).alias("g"))
     firsts = named.groupBy("h", "g", "long").agg(F.min(F.struct(*_PLACE)).alias("f"), F.count("*").alias("copies"))
     log_copies = F.floor(F.log2(F.col("copies").cast("double"))).cast("int")
-    firsts = durable(firsts.select("f.*", "long", log_copies.alias("c")))
+    firsts = durable(firsts.select("f.*", "long", "h", log_copies.alias("c")))
 
     def lines_at(wanted: DataFrame) -> DataFrame:
         """``key, row, no, c, words`` of the ``wanted`` lines, read by one join of each document with all of its own."""
         spots = wanted.groupBy("key", "row").agg(F.collect_set(F.struct("no", "c")).alias("spots"))  # of one document
         found = rows.join(spots, ["key", "row"]).select("key", "row", "spots", F.split("text", "\n").alias("lines"))
         found = found.select("key", "row", F.expr("inline(transform(spots, s -> struct(s.no AS no, s.c AS c, lines[s.no] AS line)))"))
-        return found.select(*_PLACE, "c", words_of().alias("words"))
+        return found.select(*_PLACE, "c", word_hashes().alias("w"))
+
+    # lines that share nothing with another in a prefix are settled; of the others all tokens are made, and only here
+    own = mark()
+    left = durable(not_alone(durable(picked(lines)), hot, floor))
+    release(copy.sparkSession, own, but=1)
+    wanted = firsts.where("long").join(left, "h", "left_semi").select(*_PLACE, "c")
+    # a sketch has a bit flipped for each token, so that two differ in at most as many bits as the lines do in tokens
+    sketch = F.expr("aggregate(tokens, 0L, (s, t) -> s ^ shiftleft(1L, cast(t & 63 as int)))")
+    made = tokens_of(lines_at(wanted), *_PLACE, "c").withColumn("sketch", sketch)
+    tokens = durable(made.repartition(partitions(copy.sparkSession), *_PLACE), *_PLACE)
+    counts = bucket_counts(tokens.select(F.explode("tokens").alias("token")))
+    hot_rank = rank(max(floor, hot * sum(counts) // BUCKETS))
 
     # the first places' prefixes; a row is five longs: the token, the document's key and row, the line's
     # number and size, and the token's place and the logarithm of the line's copies
-    with_tokens = tokens_of(lines_at(firsts.where("long")), ranks, *_PLACE, "c").withColumn("n", F.size("tokens"))
+    ranked = tokens.withColumn("ranks", F.lit(bytes(map(rank, counts)))).select(*_PLACE, "c", F.size("tokens").alias("n"), by_rarity().alias("tokens"))
     first_part = F.slice("tokens", F.lit(1), F.expr("n - cast((4 * n + 4) div 5 as int) + 1"))
-    prefixes = with_tokens.select(*_PLACE, "c", "n", F.posexplode(first_part).alias("pos", "token"))
+    prefixes = ranked.select(*_PLACE, "c", "n", F.posexplode(first_part).alias("pos", "token"))
     line_and_size = F.shiftleft(F.col("no").cast("long"), 32).bitwiseOR(F.col("n").cast("long"))
     place_and_copies = F.shiftleft(F.col("pos").cast("long"), 8).bitwiseOR(F.col("c").cast("long"))
     met = groups_of(prefixes.select("token", "key", "row", line_and_size.alias("x"), place_and_copies.alias("y")), hot_rank)
-    compared = lines_at(met.select(*_PLACE).distinct().withColumn("c", F.lit(0)))
-    tokens = durable(tokens_of(compared, ranks, *_PLACE).repartition(partitions(copy.sparkSession), *_PLACE), *_PLACE)
 
     leaders = met.select(*_PLACE, "n", "pos", F.explode(F.array_distinct(F.array("early", "common"))).alias("o"))
     leaders = leaders.select(*_PLACE, "n", "pos", "o.*").toDF(*_PLACE, "n", "pos", "okey", "orow", "ono", "on", "opos")
     led = durable(similar(candidates(leaders.where(f"{later('', 'o')} AND {may_match('', 'o')}")), tokens))
-    # a sketch has a bit flipped for each token, so that two differ in at most as many bits as the lines do in tokens
-    sketch = F.expr("aggregate(tokens, 0L, (s, t) -> s ^ shiftleft(1L, cast(t & 63 as int)))").alias("sketch")
     own = ["token", *_PLACE, "n", "pos", "sketch"]
-    marked = met.select(*own[:-1]).join(tokens.select(*_PLACE, sketch), _PLACE)
+    marked = met.select(*own[:-1]).join(tokens.select(*_PLACE, "sketch"), _PLACE)
     rest = marked.join(led, _PLACE, "left_anti").select(*own)
     others = marked.select("token", *(F.col(c).alias("o" + c) for c in own[1:]))
     filters = (later("", "o"), may_match("", "o"), in_short_prefix("", "o"), in_sketch("", "o"))

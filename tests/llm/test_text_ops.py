@@ -456,6 +456,27 @@ def test_lines(spark, docs, empty, monkeypatch, hot):
     common.release(spark)
 
 
+def test_only_lines_that_share_a_prefix_get_all_tokens(spark, monkeypatch):
+    made, whole = [], linededup.tokens_of
+
+    def counted(hashes, *keep):
+        made.append(hashes.count())
+        return whole(hashes, *keep)
+
+    monkeypatch.setattr(linededup, "tokens_of", counted)
+    rows = [(i, " ".join(f"{c}{i}" for c in "abcdefghijkl")) for i in range(200)] + [(200, " ".join(f"{c}7" for c in "abcdefghijklm"))]
+    rows += [(201 + i, "x y " * 20 + f"z{i} u{i} v{i} w{i}") for i in range(2)]  # few different first words
+    got = linededup.remove_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert Counter((r["doc_id"], r["text"]) for r in got) == cut(rows)
+    assert made == [4]  # two pairs, of 203 lines
+    common.release(spark)
+
+
+@pytest.mark.parametrize("line", ["", "   ", "a b c d", "a b c d e", " a  b c d ", "a b c  d e", "  a b c d   e  ", "a b c d     ", "a b  c", "a b c   d"])
+def test_long_lines(spark, line):
+    assert spark.createDataFrame([(line,)], "line string").select(linededup.is_long()).head()[0] == (len(line.split()) >= 5)
+
+
 def test_lines_with_clashing_columns(spark):
     line = " ".join(f"a{i}" for i in range(8))
     names = ["_gone", "_dedup_key", "_dedup_row", "_dedup_nos", "_n_lines", "key", "row", "no", "tokens", "h", "a b.c"]
