@@ -124,7 +124,7 @@ def in_short_prefix(a: str, b: str) -> str:
 
 def in_sketch(a: str, b: str) -> str:
     """No more bits of the lines' sketches differ than tokens may."""
-    return f"9 * bit_count({a}sketch ^ {b}sketch) <= {a}n + {b}n"
+    return f"9 * (bit_count({a}sketch ^ {b}sketch) + bit_count({a}other ^ {b}other)) <= {a}n + {b}n"
 
 
 def candidates(met: DataFrame) -> DataFrame:
@@ -225,9 +225,9 @@ def lasting_lines(copy: DataFrame, hot: int = HOT, floor: int = 10_000) -> DataF
     left = durable(not_alone(durable(picked(lines)), hot, floor))
     release(copy.sparkSession, own, but=1)
     wanted = firsts.where("long").join(left, "h", "left_semi").select(*_PLACE, "c")
-    # a sketch has a bit flipped for each token, so that two differ in at most as many bits as the lines do in tokens
-    sketch = F.expr("aggregate(tokens, 0L, (s, t) -> s ^ shiftleft(1L, cast(t & 63 as int)))")
-    made = tokens_of(lines_at(wanted), *_PLACE, "c").withColumn("sketch", sketch)
+    # a sketch, of two longs, has a bit flipped for each token, so that two differ in at most as many bits as the lines do in tokens
+    sketch, other = (F.expr(f"aggregate(tokens, 0L, (s, t) -> s ^ if(t & 64 = {k}, shiftleft(1L, cast(t & 63 as int)), 0L))") for k in (0, 64))
+    made = tokens_of(lines_at(wanted), *_PLACE, "c").withColumn("sketch", sketch).withColumn("other", other)
     tokens = durable(made.repartition(partitions(copy.sparkSession), *_PLACE), *_PLACE)
     counts = bucket_counts(tokens.select(F.explode("tokens").alias("token")))
     hot_rank = rank(max(floor, hot * sum(counts) // BUCKETS))
@@ -244,8 +244,8 @@ def lasting_lines(copy: DataFrame, hot: int = HOT, floor: int = 10_000) -> DataF
     leaders = met.select(*_PLACE, "n", "pos", F.explode(F.array_distinct(F.array("early", "common"))).alias("o"))
     leaders = leaders.select(*_PLACE, "n", "pos", "o.*").toDF(*_PLACE, "n", "pos", "okey", "orow", "ono", "on", "opos")
     led = durable(similar(candidates(leaders.where(f"{later('', 'o')} AND {may_match('', 'o')}")), tokens))
-    own = ["token", *_PLACE, "n", "pos", "sketch"]
-    marked = met.select(*own[:-1]).join(tokens.select(*_PLACE, "sketch"), _PLACE)
+    own = ["token", *_PLACE, "n", "pos", "sketch", "other"]
+    marked = met.select(*own[:-2]).join(tokens.select(*_PLACE, "sketch", "other"), _PLACE)
     rest = marked.join(led, _PLACE, "left_anti").select(*own)
     others = marked.select("token", *(F.col(c).alias("o" + c) for c in own[1:]))
     filters = (later("", "o"), may_match("", "o"), in_short_prefix("", "o"), in_sketch("", "o"))
